@@ -34,12 +34,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def render(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Comparable form: doubles rounded, maps as sorted ``k:v``, arrays ``|``-joined."""
+    """Comparable form: doubles rounded (9 then 6 places), maps as sorted ``k:v``, arrays ``|``-joined."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, digits)
+            # two-step decimal rounding: near-ties from summation order snap
+            # to the same 9-digit value first, then round half-up
+            c = c.cast("decimal(38,9)").cast(f"decimal(38,{digits})").cast("double")
         elif isinstance(f.dataType, T.MapType):
             entries = F.array_sort(F.map_entries(c))
             c = F.array_join(F.transform(entries, lambda e: F.concat(

@@ -1,3 +1,169 @@
-"""Registry entries for data quality, sinks and streaming (filled in below)."""
+"""Registry entries for data quality, sinks and streaming.
 
-QUERIES: dict = {}
+Stream entries run the real ``readStream`` query with an ``availableNow``
+trigger over JSON files that Spark derives from the driver tables, into a
+fresh folder under the shared checkpoint root, and return what the sink
+wrote.  Sink entries write, rewrite and read back a table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import fixtures
+from .operators import quality
+from .operators.aggregate import latest_per_key
+from .operators.nested import flatten_listing, to_listing_message
+from .plans import clicks, listings
+from .schemas import ODS_KEYS
+from .session import scratch_path
+from .sinks.files import compact, overwrite_partitions
+from .streaming import pipelines
+from .streaming.sinks import append_stream, dedupe_stream, upsert_stream
+from .streaming.sources import read_click_stream, read_listing_stream
+
+AVAILABLE_NOW = {"availableNow": True}
+ORDER = ["event_time", "trace_id"]
+
+
+def _catalog():
+    from . import catalog
+    return catalog
+
+
+def read_back(spark, path: str, like: DataFrame) -> DataFrame:
+    """Read a written folder with the schema it was written with (no inference)."""
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+
+
+# ------------------------------------------------------------ data quality --
+
+def defective_listing(spark, sf) -> DataFrame:
+    """Listing rows with contract defects derived from the keys."""
+    src = fixtures.listing(spark, sf)
+    hid, up = F.col("house_id"), F.col("unit_price")
+    return (src
+            .withColumn("community", F.when(hid.endswith("-6") & (up % 3 == 0), F.lit(None))
+                        .otherwise(F.col("community")))
+            .withColumn("house_url", F.when(hid.endswith("-7") & (up % 2 == 0), F.lit(" "))
+                        .otherwise(F.col("house_url")))
+            .withColumn("total_price", F.when(hid.endswith("-1") & (up % 7 == 0), F.lit(None))
+                        .otherwise(F.col("total_price"))))
+
+
+def q_validate_valid(spark, sf):
+    valid, _ = quality.validate(defective_listing(spark, sf))
+    return valid.select("trace_id", "house_id", "city", "community", "house_url", "total_price")
+
+
+def q_validate_rejected(spark, sf):
+    _, rejected = quality.validate(defective_listing(spark, sf))
+    return rejected.select("trace_id", "house_id", "reasons")
+
+
+def first_seen(spark, sf) -> DataFrame:
+    valid, _ = quality.validate(defective_listing(spark, sf))
+    return quality.dedupe_first(valid, "house_id", ORDER)
+
+
+def q_dedupe_first_seen(spark, sf):
+    return first_seen(spark, sf).select("house_id", "trace_id", "event_time")
+
+
+def q_skip_delivered(spark, sf):
+    delivered = fixtures.listing(spark, sf).where(F.col("house_id").endswith("-1"))
+    return quality.anti_delivered(first_seen(spark, sf), delivered, "house_id").select(
+        "house_id", "trace_id")
+
+
+def q_upsert_latest_per_key(spark, sf):
+    return latest_per_key(_catalog().ods(spark, sf), list(ODS_KEYS), ORDER)
+
+
+# ------------------------------------------------------------------- sinks --
+
+def q_sink_dynamic_overwrite(spark, sf):
+    """Load all days, then re-load days >= 20240104 from corrected input:
+    only those partitions are replaced, earlier days stay as written."""
+    dwd = _catalog().dwd(spark, sf)
+    path = scratch_path(spark, "dws_house_type_daily")
+    first = listings.house_type_daily(dwd)
+    overwrite_partitions(first, path, by="ds")
+    fixed = listings.house_type_daily(dwd.where(F.col("attention_count") > 0), since="20240104")
+    overwrite_partitions(fixed, path, by="ds")
+    return read_back(spark, path, first)
+
+
+def q_compact_roundtrip(spark, sf):
+    """Write the click ODS as many small files per day, compact, read back."""
+    ods = clicks.click_ods(_catalog().click_src(spark, sf))
+    path = scratch_path(spark, "ods_user_behavior")
+    overwrite_partitions(ods.repartition(16), path, by="dt")
+    compact(spark, path, "dt")
+    return read_back(spark, path, ods)
+
+
+# --------------------------------------------------------------- streaming --
+
+def _click_stream(spark, sf):
+    msgs = clicks.click_messages(fixtures.click(spark, sf))
+    staged = pipelines.stage_json(msgs, scratch_path(spark, "click-topic"))
+    return read_click_stream(spark, source="text", path=staged)
+
+
+def _run(query) -> None:
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
+def q_stream_category_metrics(spark, sf):
+    out, ck = scratch_path(spark, "dws_category_metrics"), scratch_path(spark, "ckpt")
+    _run(pipelines.category_metrics_stream(_click_stream(spark, sf), out, ck, AVAILABLE_NOW))
+    like = clicks.category_window_metrics(_catalog().click_src(spark, sf))
+    return read_back(spark, out, like)
+
+
+def q_stream_behavior_funnel(spark, sf):
+    out, ck = scratch_path(spark, "dws_behavior_funnel"), scratch_path(spark, "ckpt")
+    _run(pipelines.behavior_funnel_stream(_click_stream(spark, sf), out, ck, AVAILABLE_NOW))
+    like = clicks.behavior_funnel_windows(_catalog().click_src(spark, sf))
+    return read_back(spark, out, like)
+
+
+def _listing_stream(spark, sf, files: int | None = None):
+    msgs = to_listing_message(fixtures.listing(spark, sf))
+    staged = pipelines.stage_json(msgs, scratch_path(spark, "listing-topic"), files,
+                                  "header.event_time" if files else None)
+    return read_listing_stream(spark, source="text", path=staged, max_files=1 if files else None)
+
+
+def q_stream_dedupe_first(spark, sf):
+    flat = flatten_listing(_listing_stream(spark, sf), with_etl_time=False)
+    out, ck = scratch_path(spark, "listing_first_seen"), scratch_path(spark, "ckpt")
+    _run(append_stream(dedupe_stream(flat, "house_id"), out, ck, trigger=AVAILABLE_NOW))
+    return read_back(spark, out, flat).select("house_id")
+
+
+def q_stream_upsert_latest(spark, sf):
+    """Three micro-batches (one staged file each) upserted on (house_id, city)."""
+    flat = flatten_listing(_listing_stream(spark, sf, files=3), with_etl_time=False)
+    out, ck = scratch_path(spark, "ods_ershoufang"), scratch_path(spark, "ckpt")
+    _run(upsert_stream(flat, out, list(ODS_KEYS), ORDER, ck, ("city",), AVAILABLE_NOW))
+    return read_back(spark, out, flat)
+
+
+QUERIES = {
+    "validate_valid": q_validate_valid,
+    "validate_rejected": q_validate_rejected,
+    "dedupe_first_seen": q_dedupe_first_seen,
+    "skip_delivered": q_skip_delivered,
+    "upsert_latest_per_key": q_upsert_latest_per_key,
+    "sink_dynamic_overwrite": q_sink_dynamic_overwrite,
+    "compact_roundtrip": q_compact_roundtrip,
+    "stream_category_metrics": q_stream_category_metrics,
+    "stream_behavior_funnel": q_stream_behavior_funnel,
+    "stream_dedupe_first": q_stream_dedupe_first,
+    "stream_upsert_latest": q_stream_upsert_latest,
+}
