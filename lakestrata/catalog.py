@@ -64,9 +64,28 @@ def ods(spark, sf) -> DataFrame:
 
 
 def dwd(spark, sf) -> DataFrame:
+    """The DWD fact computed from the listing messages (the DWD load itself)."""
     return listings.listing_fact(ods(spark, sf), TEST_BLACKLIST, tz=TZ)
 
 
+_DWD_TABLES: dict = {}
+
+
+def dwd_table(spark, sf) -> DataFrame:
+    """The DWD fact as a written ``ds``-partitioned table, as the DWS/ADS loads
+    read it.  Built once per application and scale directory (by Spark, from
+    the driver tables) under the shared checkpoint folder."""
+    from .session import scratch_path
+    from .sinks.files import overwrite_partitions
+    fact = dwd(spark, sf)
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _DWD_TABLES:
+        path = scratch_path(spark, "dwd_ershoufang_fact")
+        overwrite_partitions(fact, path, by="ds")
+        _DWD_TABLES[key] = path
+    return spark.read.schema(fact.schema).parquet(_DWD_TABLES[key]).select(*fact.columns)
+
+
 def q_listing_json_parse(spark, sf):
     msg = to_listing_message(listing(spark, sf))
     value = F.to_json(F.struct("header", "core_data", "ext_attributes"))
@@ -137,7 +156,7 @@ def q_city_blacklist(spark, sf):
 
 
 def q_incremental_since(spark, sf):
-    return listings.orientation_daily(dwd(spark, sf), since="20240103")
+    return listings.orientation_daily(dwd_table(spark, sf), since="20240103")
 
 
 def q_listing_fact(spark, sf):
@@ -145,26 +164,26 @@ def q_listing_fact(spark, sf):
 
 
 def q_approx_median(spark, sf):
-    return dwd(spark, sf).groupBy("ds", "city").agg(
+    return dwd_table(spark, sf).groupBy("ds", "city").agg(
         approx_median("total_price").alias("median_total_price"),
         approx_median("unit_price").alias("median_unit_price"),
         approx_median("area_sqm").alias("median_area_sqm"))
 
 
 def q_room_type_distribution(spark, sf):
-    base = dwd(spark, sf).dropna(subset=list(listings.ROOM_PARTS)).select(
+    base = dwd_table(spark, sf).dropna(subset=list(listings.ROOM_PARTS)).select(
         "ds", "city", X.room_type(*listings.ROOM_PARTS).alias("room_type"))
     return distribution_map(base, ["ds", "city"], "room_type", "room_type_distribution")
 
 
 def q_decoration_distribution(spark, sf):
-    base = dwd(spark, sf).dropna(subset=list(listings.ROOM_PARTS))
+    base = dwd_table(spark, sf).dropna(subset=list(listings.ROOM_PARTS))
     return distribution_map(base, ["ds", "city"], "decoration", "decoration_distribution")
 
 
 def q_hot_tags(spark, sf):
     keys = ["ds", "city", "district", "neighborhood", "community"]
-    return top_values(dwd(spark, sf), keys, "tags", "hot_tags", 5)
+    return top_values(dwd_table(spark, sf), keys, "tags", "hot_tags", 5)
 
 
 # ------------------------------------------------------------------ clicks --
@@ -226,7 +245,7 @@ def q_view_behavior_funnel(spark, sf):
 # ---------------------------------------------------------------- registry --
 
 def _on_dwd(fn, **kw) -> Query:
-    return lambda spark, sf: fn(dwd(spark, sf), **kw)
+    return lambda spark, sf: fn(dwd_table(spark, sf), **kw)
 
 
 def _on_clicks(fn) -> Query:
@@ -279,7 +298,7 @@ RAW: dict[str, Query] = {
 def _register_more() -> None:
     from . import catalog_more
     RAW.update(catalog_more.QUERIES)
-    RAW.update({k: (lambda fn: (lambda spark, sf: fn(dwd(spark, sf))))(fn)
+    RAW.update({k: (lambda fn: (lambda spark, sf: fn(dwd_table(spark, sf))))(fn)
                 for k, fn in bi.QUERIES.items()})
 
 

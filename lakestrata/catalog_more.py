@@ -86,7 +86,7 @@ def q_upsert_latest_per_key(spark, sf):
 def q_sink_dynamic_overwrite(spark, sf):
     """Load all days, then re-load days >= 20240104 from corrected input:
     only those partitions are replaced, earlier days stay as written."""
-    dwd = _catalog().dwd(spark, sf)
+    dwd = _catalog().dwd_table(spark, sf)
     path = scratch_path(spark, "dws_house_type_daily")
     first = listings.house_type_daily(dwd)
     overwrite_partitions(first, path, by="ds")

@@ -69,8 +69,19 @@ SELECT CAST(p_partkey AS STRING) AS category_id, p_brand AS category_name FROM {
 """
 
 
-def _spark_refs(sf_dir: str) -> dict[str, str]:
-    return {t: f"parquet.`{os.path.join(sf_dir, t + '.parquet')}`" for t in TABLES}
+# Fact tables that drive each mapping (the probe side of its joins); their
+# scans get the parallelism guard.  Build sides are left as scanned.
+LARGE = ("lineitem", "events")
+
+
+def _spark_refs(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> dict:
+    """Bind the SQL placeholders to DataFrames (``spark.sql(text, **frames)``)."""
+    from .sources.batch import ensure_parallelism
+    refs = {}
+    for t in names:
+        df = table(spark, sf_dir, t)
+        refs[t] = ensure_parallelism(df) if t in LARGE else df
+    return refs
 
 
 def _oracle_refs() -> dict[str, str]:
@@ -83,16 +94,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat listing messages (one row per lineitem)."""
-    return spark.sql(LISTING_SQL.format(**_spark_refs(sf_dir)))
+    return spark.sql(LISTING_SQL, **_spark_refs(
+        spark, sf_dir, ("lineitem", "orders", "customer", "nation", "region", "part")))
 
 
 def click(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Click events with wall-clock ``ts_ltz`` (TIMESTAMP_NTZ)."""
-    return spark.sql(CLICK_SQL.format(**_spark_refs(sf_dir)))
+    return spark.sql(CLICK_SQL, **_spark_refs(spark, sf_dir, ("events",)))
 
 
 def dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(DIM_SQL.format(**_spark_refs(sf_dir)))
+    return spark.sql(DIM_SQL, **_spark_refs(spark, sf_dir, ("part",)))
 
 
 def oracle_views() -> dict[str, str]:

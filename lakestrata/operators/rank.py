@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 OrderSpec = Sequence[tuple[str, bool]]  # (column, ascending)
 
 
@@ -65,13 +67,20 @@ def _sort_key(df: DataFrame, spec: OrderSpec) -> Column:
 
 
 def ranks_with_cutoff(df: DataFrame, partition_cols: Sequence[str],
-                      rankings: Mapping[str, OrderSpec], cutoff: int) -> DataFrame:
+                      rankings: Mapping[str, OrderSpec], cutoff: int,
+                      materialize: bool = True) -> DataFrame:
     """Rows ranked within ``cutoff`` by at least one ordering, with all their ranks.
 
     Equivalent to computing ``row_number() OVER (PARTITION BY p ORDER BY spec)``
     for every ranking and keeping rows where any rank <= cutoff.  Each spec
     must end in columns that make the order total (tie-breakers).
+
+    The input is read by several branches that each prune different columns,
+    so it is checkpointed once (reliably, to the shared checkpoint folder)
+    unless ``materialize=False``; pass an already-written table to skip that.
     """
+    if materialize:
+        df = cut_lineage(df)
     names = list(rankings)
     keyed = df
     for name in names:
