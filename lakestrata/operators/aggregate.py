@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions.expressions import pct
@@ -91,15 +92,22 @@ def share_of_total(df: DataFrame, within: Sequence[str], count_col: str, out_nam
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
-                   earliest: bool = False) -> DataFrame:
+                   earliest: bool = False, total_order: bool = True) -> DataFrame:
     """One row per key: the one with the greatest (or least) ``order_cols`` (AGG-11).
 
     ``max_by``/``min_by`` over a struct of the row: an aggregate with a
-    partial step, no sort of the whole key group.
+    partial step, no sort of the whole key group.  With ``total_order`` the
+    remaining columns (in column order, NULL lowest) break ties, so the pick
+    is deterministic even when ``order_cols`` tie.
     """
     cols = df.columns
     row = F.struct(*[F.col(c) for c in cols])
-    order = F.struct(*[F.col(c) for c in order_cols])
+    by = list(order_cols)
+    if total_order:
+        orderable = {f.name for f in df.schema.fields
+                     if not isinstance(f.dataType, (T.MapType,))}
+        by += [c for c in cols if c not in by and c not in keys and c in orderable]
+    order = F.struct(*[F.col(c) for c in by])
     pick = F.min_by(row, order) if earliest else F.max_by(row, order)
     return df.groupBy(*keys).agg(pick.alias("__row")).select("__row.*")
 

@@ -98,13 +98,17 @@ def ranks_with_cutoff(df: DataFrame, partition_cols: Sequence[str],
     hp = [f"__h_{p}" for p in part]
     for name in names:
         k = f"__k_{name}"
-        arr = cands.groupBy(*part).agg(F.array_sort(F.collect_list(k)).alias("__cands"))
+        ap = [f"__a_{p}" for p in part]
+        arr = cands.groupBy(*[F.col(p).alias(a) for p, a in zip(part, ap)]).agg(
+            F.array_sort(F.collect_list(k)).alias("__cands"))
+        # NULL is a group of its own in PARTITION BY, so join null-safely
+        on_arr = [F.col(p).eqNullSafe(F.col(a)) for p, a in zip(part, ap)]
         # how many candidates sort at or before each row
         le = F.size(F.filter("__cands", lambda c: c <= F.col(k)))
-        hist = (keyed.join(arr, part).select(*part, le.alias("__le"))
+        hist = (keyed.join(arr, on_arr).select(*part, le.alias("__le"))
                 .groupBy(*part, "__le").agg(F.count(F.lit(1)).alias("__cnt"))
                 .select(*[F.col(p).alias(h) for p, h in zip(part, hp)], "__le", "__cnt"))
-        pos = cands.join(arr, part).select(*part, F.col(first).alias("__id"), le.alias("__j"))
+        pos = cands.join(arr, on_arr).select(*part, F.col(first).alias("__id"), le.alias("__j"))
         cond = [F.col(p).eqNullSafe(F.col(h)) for p, h in zip(part, hp)]
         cond.append(F.col("__le") < F.col("__j"))
         ranks = (pos.join(hist, cond, "left")

@@ -28,8 +28,15 @@ VALID = "valid AS (SELECT * FROM checked WHERE reasons = '')"
 FIRST = """first_seen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY house_id
  ORDER BY event_time, trace_id) AS rn FROM valid) WHERE rn = 1)"""
 
-LATEST_ODS = _with("listing", extra="""latest AS (SELECT * FROM (SELECT *, row_number() OVER (
- PARTITION BY house_id, city ORDER BY event_time DESC, trace_id DESC) AS rn FROM listing)
+# event_time, trace_id, then every other column (ODS order) breaks ties; NULL lowest
+TIE_BREAK = ("source, version, batch_id, house_url, title, district, neighborhood, community, "
+             "total_price, unit_price, area_sqm, room_num, hall_num, bathroom_num, orientation, "
+             "floor_level, floor_total, decoration, build_year, tags, attention_count, "
+             "visit_30_days, subway_info, p1_desc, p2_desc")
+LATEST_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in
+                         ["event_time", "trace_id"] + TIE_BREAK.split(", "))
+LATEST_ODS = _with("listing", extra=f"""latest AS (SELECT * FROM (SELECT *, row_number() OVER (
+ PARTITION BY house_id, city ORDER BY {LATEST_ORDER}) AS rn FROM listing)
  WHERE rn = 1)""") + _ods_select().replace("FROM listing", "FROM latest")
 
 
