@@ -80,7 +80,7 @@ def _spark_refs(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> dic
     refs = {}
     for t in names:
         df = table(spark, sf_dir, t)
-        refs[t] = ensure_parallelism(df) if t in LARGE else df
+        refs[t] = ensure_parallelism(df, key=_path(sf_dir, t)) if t in LARGE else df
     return refs
 
 
@@ -88,8 +88,12 @@ def _oracle_refs() -> dict[str, str]:
     return {t: t for t in TABLES}
 
 
+def _path(sf_dir: str, name: str) -> str:
+    return os.path.join(sf_dir, f"{name}.parquet")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.parquet(_path(sf_dir, name))
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:

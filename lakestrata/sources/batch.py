@@ -80,21 +80,26 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
 _SPLITS: dict = {}
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
+                       key: str | None = None) -> DataFrame:
     """Spread an under-split scan over the cluster.
 
     A scan with fewer splits than the default parallelism (one unsplittable
     file or one row group) would run every pipelined operator after it in a
     handful of tasks; such a scan gets a round-robin repartition.  On a large
     input the scan already has thousands of splits and this is a no-op.
-    Counting splits is planning only (no job) and is remembered per input.
+    Counting splits is planning only (no job); with ``key`` (e.g. the input
+    path) the count is remembered for the application.
     """
     sc = df.sparkSession.sparkContext
     target = min_partitions or sc.defaultParallelism
-    key = (sc.applicationId, tuple(df.inputFiles()))
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
-    return df.repartition(target) if _SPLITS[key] < target else df
+    memo = (sc.applicationId, key) if key else None
+    n = _SPLITS.get(memo) if memo else None
+    if n is None:
+        n = df.rdd.getNumPartitions()
+        if memo:
+            _SPLITS[memo] = n
+    return df.repartition(target) if n < target else df
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
