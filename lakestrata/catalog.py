@@ -23,12 +23,14 @@ from .operators.aggregate import approx_median, distribution_map, top_values
 from .operators.nested import flatten_listing, parse_listing_json, to_listing_message
 from .plans import bi, clicks, listings
 from .sinks.files import to_message
-from .sources.batch import load_dimension, normalise_click_log
+from .sources.batch import bounded_broadcast, load_dimension, normalise_click_log
 
 # Fixture parameter: the reference's city names do not occur in the driver
 # data, so the blacklist test value is a region that does.
 TEST_BLACKLIST = ("AFRICA",)
 TZ = "UTC"
+# Largest dimension broadcast to the executors (checked by a LIMIT count).
+DIM_BROADCAST_ROWS = 1_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -235,7 +237,8 @@ def q_funnel_step(spark, sf):
 
 def q_view_category_metrics(spark, sf):
     metrics = clicks.category_window_metrics(click_src(spark, sf))
-    return clicks.view_category_metrics(metrics, q_dim_category(spark, sf))
+    dim = bounded_broadcast(q_dim_category(spark, sf), DIM_BROADCAST_ROWS)
+    return clicks.view_category_metrics(metrics, dim)
 
 
 def q_view_behavior_funnel(spark, sf):

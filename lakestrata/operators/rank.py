@@ -68,7 +68,8 @@ def _sort_key(df: DataFrame, spec: OrderSpec) -> Column:
 
 def ranks_with_cutoff(df: DataFrame, partition_cols: Sequence[str],
                       rankings: Mapping[str, OrderSpec], cutoff: int,
-                      materialize: bool = True) -> DataFrame:
+                      materialize: bool = True,
+                      max_broadcast_keys: int = 2_000_000) -> DataFrame:
     """Rows ranked within ``cutoff`` by at least one ordering, with all their ranks.
 
     Equivalent to computing ``row_number() OVER (PARTITION BY p ORDER BY spec)``
@@ -93,6 +94,12 @@ def ranks_with_cutoff(df: DataFrame, partition_cols: Sequence[str],
         cands = top if cands is None else cands.unionByName(top)
     first = f"__k_{names[0]}"
     cands = cands.dropDuplicates(part + [first])
+    # The per-group candidate arrays are joined to every row.  They hold at
+    # most cutoff x orderings keys per group; broadcast them when the number
+    # of groups keeps that under ``max_broadcast_keys`` (checked by a count on
+    # the small candidate set), otherwise leave the join to AQE (skew split).
+    n_groups = cands.select(*part).distinct().count()
+    small = n_groups * cutoff * len(names) <= max_broadcast_keys
 
     out = cands
     hp = [f"__h_{p}" for p in part]
@@ -101,6 +108,8 @@ def ranks_with_cutoff(df: DataFrame, partition_cols: Sequence[str],
         ap = [f"__a_{p}" for p in part]
         arr = cands.groupBy(*[F.col(p).alias(a) for p, a in zip(part, ap)]).agg(
             F.array_sort(F.collect_list(k)).alias("__cands"))
+        if small:
+            arr = F.broadcast(arr)
         # NULL is a group of its own in PARTITION BY, so join null-safely
         on_arr = [F.col(p).eqNullSafe(F.col(a)) for p, a in zip(part, ap)]
         # how many candidates sort at or before each row

@@ -63,25 +63,28 @@ def high_attention_profile(dwd: DataFrame, top_share: float = 0.1) -> DataFrame:
     """High-attention listings versus the rest, per day (BI-5).
 
     A listing is *high* when fewer than ``top_share`` of the day's listings
-    have strictly more attention than it.  The cut is exact: a histogram of
-    attention values per day (distinct values only) with a running count, so
-    no day is sorted in one task.
+    have strictly more attention than it.  Everything is pre-aggregated per
+    (day, attention value) first -- counts and sums, one row per distinct
+    value -- so the running count, the high/rest split and the averages are
+    computed on that small histogram and no raw row is joined or sorted.
     """
     base = dwd.where(F.col("attention_count").isNotNull())
-    hist = base.groupBy("ds", "attention_count").agg(F.count(F.lit(1)).alias("__n"))
+    measures = ("total_price", "area_sqm", "build_year", "attention_count")
+    hist = base.groupBy("ds", "attention_count").agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.sum(c).cast("double").alias(f"__s_{c}") for c in measures],
+        *[F.count(c).alias(f"__c_{c}") for c in measures])
     w = Window.partitionBy("ds").orderBy(F.col("attention_count").desc())
-    above = (hist.withColumn("__above", F.sum("__n").over(w) - F.col("__n"))
-             .withColumn("__total", F.sum("__n").over(Window.partitionBy("ds")))
-             .select("ds", "attention_count",
-                     (F.col("__above") < F.col("__total") * F.lit(Decimal(str(top_share))))
-                     .alias("__high")))
-    tagged = base.join(above, ["ds", "attention_count"])
-    return tagged.groupBy("ds", F.when(F.col("__high"), "high").otherwise("rest").alias("segment")
-                          ).agg(F.count(F.lit(1)).alias("listing_count"),
-                                F.avg("total_price").alias("avg_total_price"),
-                                F.avg("area_sqm").alias("avg_area_sqm"),
-                                F.avg("build_year").alias("avg_build_year"),
-                                F.avg("attention_count").alias("avg_attention"))
+    tagged = (hist.withColumn("__above", F.sum("__n").over(w) - F.col("__n"))
+              .withColumn("__total", F.sum("__n").over(Window.partitionBy("ds")))
+              .withColumn("segment", F.when(
+                  F.col("__above") < F.col("__total") * F.lit(Decimal(str(top_share))), "high")
+                  .otherwise("rest")))
+    names = {"total_price": "avg_total_price", "area_sqm": "avg_area_sqm",
+             "build_year": "avg_build_year", "attention_count": "avg_attention"}
+    return tagged.groupBy("ds", "segment").agg(
+        F.sum("__n").alias("listing_count"),
+        *[(F.sum(f"__s_{c}") / F.sum(f"__c_{c}")).alias(names[c]) for c in measures])
 
 
 QUERIES = {

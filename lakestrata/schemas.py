@@ -85,3 +85,17 @@ CATEGORY_METRICS_COLUMNS = ("win_start", "win_end", "category_id", "pv_cnt", "ca
                             "fav_cnt", "buy_cnt")
 BEHAVIOR_FUNNEL_COLUMNS = ("win_start", "win_end", "behavior", "step_name", "trigger_cnt")
 DIM_CATEGORY = _struct(("category_id", S), ("category_name", S))
+
+
+def conform(df, target) -> "DataFrame":  # noqa: F821
+    """Select and cast ``df`` to a target schema *by name* (PRJ-16, SNK-2).
+
+    ``target`` is a ``StructType`` (columns are cast to its types) or a list
+    of column names (order only).  Missing columns are an error; a ``rank``
+    keyword column needs no quoting because names are passed as strings.
+    """
+    from pyspark.sql import functions as F
+    if isinstance(target, T.StructType):
+        return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
+                           for f in target.fields])
+    return df.select(*[F.col(f"`{c}`") for c in target])

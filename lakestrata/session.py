@@ -23,6 +23,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # runtime (measured) size under which AQE turns a shuffle join into a broadcast
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # AQE coalesces shuffle partitions towards this size; set
+    # spark.sql.shuffle.partitions high on a cluster and let AQE shrink it
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

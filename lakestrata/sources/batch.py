@@ -86,8 +86,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
 
     A scan with fewer splits than the default parallelism (one unsplittable
     file or one row group) would run every pipelined operator after it in a
-    handful of tasks; such a scan gets a round-robin repartition.  On a large
-    input the scan already has thousands of splits and this is a no-op.
+    handful of tasks; such a scan is hash-partitioned on all its columns:
+    balanced (unless whole-row duplicates dominate), deterministic on retry,
+    and without the local sort a round-robin repartition needs for that.
+    On a large input the scan already has thousands of splits and this is a
+    no-op.
     Counting splits is planning only (no job); with ``key`` (e.g. the input
     path) the count is remembered for the application.
     """
@@ -99,7 +102,7 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
         n = df.rdd.getNumPartitions()
         if memo:
             _SPLITS[memo] = n
-    return df.repartition(target) if n < target else df
+    return df.repartition(target, *[F.col(f"`{c}`") for c in df.columns]) if n < target else df
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

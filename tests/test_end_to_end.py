@@ -90,3 +90,41 @@ def test_ensure_table_read_table_register_source(spark, tmp_dir):
     register_source(fixtures.dim(spark, SF0001), "dim_category_src")
     assert spark.table("dim_category_src").count() == 30
     spark.sql("DROP TABLE lakestrata_test_dim")
+
+
+def test_click_stream_fails_on_malformed_json(spark, tmp_dir):
+    import pytest
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    with open(f"{src}/a.json", "w") as f:
+        f.write('{"user_id":"u","item_id":"i","category_id":"c","behavior":"pv","ts":1,'
+                '"event_time":"2024-01-01 00:00:00"}\n{broken\n')
+    q = pipelines.behavior_funnel_stream(read_click_stream(spark, "text", src),
+                                         f"{tmp_dir}/out", f"{tmp_dir}/ck", NOW)
+    with pytest.raises(Exception):
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+
+
+def test_insert_by_name_into_ds_partitioned_table(spark, tmp_dir):
+    from lakestrata.schemas import DWS_ORIENTATION_COLUMNS, conform
+    from lakestrata.sinks.files import overwrite_partitions
+    out = listings.orientation_daily(catalog.dwd(spark, SF0001))
+    assert out.columns[0] == "ds"
+    schema = conform(out, [c for c in DWS_ORIENTATION_COLUMNS if c != "ds"] + ["ds"]).schema
+    ensure_table(spark, "lakestrata_test_orient", schema, ["ds"], location=f"{tmp_dir}/t")
+    overwrite_partitions(out, "lakestrata_test_orient")
+    back = spark.table("lakestrata_test_orient")
+    assert rows(back, *out.columns) == rows(out)
+    spark.sql("DROP TABLE lakestrata_test_orient")
+
+
+def test_dimension_keys_must_be_unique(spark):
+    import pytest
+    from lakestrata.sources.batch import load_dimension
+    dup = spark.createDataFrame([(1, "a"), (1, "b")], "id int, name string")
+    with pytest.raises(ValueError):
+        load_dimension(dup, "id", "name")
+    ok = load_dimension(spark.createDataFrame([(1, "a")], "id int, name string"), "id", "name")
+    assert ok.schema.simpleString() == "struct<id:string,name:string>"
