@@ -68,7 +68,7 @@ def _sort_key(df: DataFrame, spec: OrderSpec) -> Column:
 
 def ranks_with_cutoff(df: DataFrame, partition_cols: Sequence[str],
                       rankings: Mapping[str, OrderSpec], cutoff: int,
-                      materialize: bool = True,
+                      materialize_input: bool = True,
                       max_broadcast_keys: int = 2_000_000) -> DataFrame:
     """Rows ranked within ``cutoff`` by at least one ordering, with all their ranks.
 
@@ -77,10 +77,10 @@ def ranks_with_cutoff(df: DataFrame, partition_cols: Sequence[str],
     must end in columns that make the order total (tie-breakers).
 
     The input is read by several branches that each prune different columns,
-    so it is checkpointed once (reliably, to the shared checkpoint folder)
-    unless ``materialize=False``; pass an already-written table to skip that.
+    so it is checkpointed once (reliably, into the shared checkpoint folder)
+    unless ``materialize_input=False`` (pass an already-written table).
     """
-    if materialize:
+    if materialize_input:
         df = cut_lineage(df)
     names = list(rankings)
     keyed = df
@@ -96,9 +96,9 @@ def ranks_with_cutoff(df: DataFrame, partition_cols: Sequence[str],
     cands = cands.dropDuplicates(part + [first])
     # The per-group candidate arrays are joined to every row.  They hold at
     # most cutoff x orderings keys per group; broadcast them when the number
-    # of groups keeps that under ``max_broadcast_keys`` (checked by a count on
-    # the small candidate set), otherwise leave the join to AQE (skew split).
-    n_groups = cands.select(*part).distinct().count()
+    # of groups keeps that under ``max_broadcast_keys`` (checked by counting the
+    # groups of the checkpointed input), otherwise leave the join to AQE.
+    n_groups = df.select(*part).distinct().count()
     small = n_groups * cutoff * len(names) <= max_broadcast_keys
 
     out = cands
