@@ -88,20 +88,22 @@ def to_message(df: DataFrame, key: str | None = None, columns: Sequence[str] | N
 
 def publish_events(df: DataFrame, key: str = "user_id", fmt: str = "json",
                    path: str | None = None, order_col: str | None = "ts",
-                   options: dict | None = None) -> None:
+                   options: dict | None = None, partitions: int | None = None) -> None:
     """Publish records keyed by ``key`` so per-key order holds (SNK-10).
 
-    ``fmt="kafka"`` writes key/value to a topic (needs the connector jar);
-    otherwise rows are hash-partitioned by key, ordered within each file by
-    ``order_col`` and written as JSON lines.
+    ``fmt="kafka"`` writes key/value to a topic (the broker partitions by
+    key; needs the connector jar).  Otherwise rows are range-partitioned on
+    ``(key, order_col)`` and sorted within each file: every file holds a
+    contiguous, ordered slice of that order, so reading the files in part
+    order replays each key in order, and a hot key spans several files
+    (written by several tasks) instead of one.
     """
-    msgs = to_message(df, key)
     if fmt == "kafka":
-        msgs.write.format("kafka").options(**(options or {})).save()
+        to_message(df, key).write.format("kafka").options(**(options or {})).save()
         return
-    out = df.repartition(key)
-    if order_col:
-        out = out.sortWithinPartitions(key, order_col)
+    order = [key] + ([order_col] if order_col else [])
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    out = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     out.write.mode("overwrite").json(path)
 
 
