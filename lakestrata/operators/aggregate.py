@@ -95,21 +95,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
                    earliest: bool = False, total_order: bool = True) -> DataFrame:
     """One row per key: the one with the greatest (or least) ``order_cols`` (AGG-11).
 
-    ``max_by``/``min_by`` over a struct of the row: an aggregate with a
-    partial step, no sort of the whole key group.  With ``total_order`` the
+    ``row_number() = 1`` per key: Catalyst runs it as a WindowGroupLimit on
+    both sides of the shuffle, so each task forwards at most one row per key
+    and a hot key costs no more than a cold one.  With ``total_order`` the
     remaining columns (in column order, NULL lowest) break ties, so the pick
     is deterministic even when ``order_cols`` tie.
     """
     cols = df.columns
-    row = F.struct(*[F.col(c) for c in cols])
     by = list(order_cols)
     if total_order:
         orderable = {f.name for f in df.schema.fields
                      if not isinstance(f.dataType, (T.MapType,))}
         by += [c for c in cols if c not in by and c not in keys and c in orderable]
-    order = F.struct(*[F.col(c) for c in by])
-    pick = F.min_by(row, order) if earliest else F.max_by(row, order)
-    return df.groupBy(*keys).agg(pick.alias("__row")).select("__row.*")
+    order = [F.col(c).asc() if earliest else F.col(c).desc() for c in by]
+    return top_n_per_group(df, keys, order, 1, rank_col=None)
 
 
 def empty_map_if_null(col: str) -> Column:
