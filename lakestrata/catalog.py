@@ -79,13 +79,14 @@ def dwd_table(spark, sf) -> DataFrame:
     the driver tables) under the shared checkpoint folder."""
     from .session import scratch_path
     from .sinks.files import overwrite_partitions
-    fact = dwd(spark, sf)
     key = (spark.sparkContext.applicationId, sf)
     if key not in _DWD_TABLES:
+        fact = dwd(spark, sf)
         path = scratch_path(spark, "dwd_ershoufang_fact")
         overwrite_partitions(fact, path, by="ds")
-        _DWD_TABLES[key] = path
-    return spark.read.schema(fact.schema).parquet(_DWD_TABLES[key]).select(*fact.columns)
+        _DWD_TABLES[key] = (path, fact.schema)
+    path, schema = _DWD_TABLES[key]
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def q_listing_json_parse(spark, sf):
