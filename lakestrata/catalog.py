@@ -93,7 +93,7 @@ def q_listing_json_parse(spark, sf):
     msg = to_listing_message(listing(spark, sf))
     value = F.to_json(F.struct("header", "core_data", "ext_attributes"))
     hid = F.col("core_data.house_id")
-    value = (F.when(hid.endswith("-4"), F.substring(value, 1, 40))
+    value = (F.when(hid.endswith("-4"), F.regexp_replace(value, "^[{]", ""))
              .when(hid.endswith("-5"), F.regexp_replace(value, '"unit_price":[0-9]+',
                                                         '"unit_price":"n/a"'))
              .otherwise(value))

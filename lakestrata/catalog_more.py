@@ -19,7 +19,7 @@ from .plans import clicks, listings
 from .schemas import ODS_KEYS
 from .session import scratch_path
 from .sinks.files import compact, overwrite_partitions
-from .streaming import pipelines
+from .streaming import jobs
 from .streaming.sinks import append_stream, dedupe_stream, upsert_stream
 from .streaming.sources import read_click_stream, read_listing_stream
 
@@ -108,7 +108,7 @@ def q_compact_roundtrip(spark, sf):
 
 def _click_stream(spark, sf):
     msgs = clicks.click_messages(fixtures.click(spark, sf))
-    staged = pipelines.stage_json(msgs, scratch_path(spark, "click-topic"))
+    staged = jobs.stage_json(msgs, scratch_path(spark, "click-topic"))
     return read_click_stream(spark, source="text", path=staged)
 
 
@@ -120,21 +120,21 @@ def _run(query) -> None:
 
 def q_stream_category_metrics(spark, sf):
     out, ck = scratch_path(spark, "dws_category_metrics"), scratch_path(spark, "ckpt")
-    _run(pipelines.category_metrics_stream(_click_stream(spark, sf), out, ck, AVAILABLE_NOW))
+    _run(jobs.category_metrics_stream(_click_stream(spark, sf), out, ck, AVAILABLE_NOW))
     like = clicks.category_window_metrics(_catalog().click_src(spark, sf))
     return read_back(spark, out, like)
 
 
 def q_stream_behavior_funnel(spark, sf):
     out, ck = scratch_path(spark, "dws_behavior_funnel"), scratch_path(spark, "ckpt")
-    _run(pipelines.behavior_funnel_stream(_click_stream(spark, sf), out, ck, AVAILABLE_NOW))
+    _run(jobs.behavior_funnel_stream(_click_stream(spark, sf), out, ck, AVAILABLE_NOW))
     like = clicks.behavior_funnel_windows(_catalog().click_src(spark, sf))
     return read_back(spark, out, like)
 
 
 def _listing_stream(spark, sf, files: int | None = None):
     msgs = to_listing_message(fixtures.listing(spark, sf))
-    staged = pipelines.stage_json(msgs, scratch_path(spark, "listing-topic"), files,
+    staged = jobs.stage_json(msgs, scratch_path(spark, "listing-topic"), files,
                                   "header.event_time" if files else None)
     return read_listing_stream(spark, source="text", path=staged, max_files=1 if files else None)
 

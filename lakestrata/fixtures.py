@@ -63,9 +63,9 @@ SELECT event_id, CAST(user_id AS STRING) AS user_id, CAST(event_id % 500 AS STRI
   ELSE CASE WHEN event_id % 2 = 0 THEN 'unknown' END END AS behavior, ts AS ts_ltz FROM {events}
 """
 
-# Category dimension: many-to-one, ids 30-39 have no entry.
+# Category dimension: the whole part table, many ids to one brand name.
 DIM_SQL = """
-SELECT CAST(p_partkey AS STRING) AS category_id, p_brand AS category_name FROM {part} WHERE p_partkey < 30
+SELECT CAST(p_partkey AS STRING) AS category_id, p_brand AS category_name FROM {part}
 """
 
 

@@ -12,7 +12,8 @@ partition group in one task:
 2. per group, the sorted candidate sort-keys form a small array (<= cutoff x orderings);
 3. every row counts how many candidates sort at or before it (one pass,
    array filter in codegen) and rows are histogrammed by that count;
-4. candidate j's row number is 1 + the number of rows whose count is < j.
+4. candidate j's row number is 1 + the number of rows whose count is < j,
+   read off the small per-group histogram array (no join of pairs).
 
 Sort keys are null-free structs that encode the SQL null ordering
 (ASC NULLS FIRST / DESC NULLS LAST), so struct comparison is the order.
@@ -118,11 +119,13 @@ def ranks_with_cutoff(df: DataFrame, partition_cols: Sequence[str],
                 .groupBy(*part, "__le").agg(F.count(F.lit(1)).alias("__cnt"))
                 .select(*[F.col(p).alias(h) for p, h in zip(part, hp)], "__le", "__cnt"))
         pos = cands.join(arr, on_arr).select(*part, F.col(first).alias("__id"), le.alias("__j"))
-        cond = [F.col(p).eqNullSafe(F.col(h)) for p, h in zip(part, hp)]
-        cond.append(F.col("__le") < F.col("__j"))
-        ranks = (pos.join(hist, cond, "left")
-                 .groupBy(*[F.col(p).alias(h) for p, h in zip(part, hp)], "__id")
-                 .agg((F.lit(1) + F.coalesce(F.sum("__cnt"), F.lit(0))).cast("int").alias(name)))
+        # per group, the (count-before, rows) histogram has <= cutoff x orderings + 1
+        # entries; candidate j's rank is 1 + the rows whose count is below j
+        hist_arr = hist.groupBy(*hp).agg(F.collect_list(F.struct("__le", "__cnt")).alias("__h"))
+        below = F.aggregate(F.filter("__h", lambda h: h["__le"] < F.col("__j")),
+                            F.lit(0).cast("long"), lambda acc, h: acc + h["__cnt"])
+        ranks = (pos.join(hist_arr, [F.col(p).eqNullSafe(F.col(h)) for p, h in zip(part, hp)])
+                 .select(*[F.col(h) for h in hp], "__id", (below + 1).cast("int").alias(name)))
         on = [F.col(p).eqNullSafe(F.col(h)) for p, h in zip(part, hp)]
         on.append(F.col(first) == F.col("__id"))
         out = out.join(ranks, on, "inner").drop("__id", *hp)

@@ -12,7 +12,7 @@ from lakestrata.schemas import DIM_CATEGORY
 from lakestrata.session import scratch_path
 from lakestrata.sinks.files import publish_events
 from lakestrata.sources.batch import (ensure_table, read_table, register_source)
-from lakestrata.streaming import pipelines
+from lakestrata.streaming import jobs
 from lakestrata.streaming.sinks import upsert_batch
 from lakestrata.streaming.sources import read_click_stream, read_listing_stream
 from tests.conftest import SF0001, rows
@@ -22,10 +22,10 @@ NOW = {"availableNow": True}
 
 def test_click_statement_set_four_sinks(spark):
     msgs = clicks.click_messages(fixtures.click(spark, SF0001))
-    staged = pipelines.stage_json(msgs, scratch_path(spark, "topic"))
+    staged = jobs.stage_json(msgs, scratch_path(spark, "topic"))
     out, ck = scratch_path(spark, "lake"), scratch_path(spark, "ck")
     src = read_click_stream(spark, "text", staged)
-    for q in pipelines.run_click_pipeline(src, out, ck, NOW):
+    for q in jobs.run_click_pipeline(src, out, ck, NOW):
         q.awaitTermination()
     batch_src = catalog.click_src(spark, SF0001)
     ods = spark.read.parquet(os.path.join(out, "ods_user_behavior"))
@@ -39,9 +39,9 @@ def test_click_statement_set_four_sinks(spark):
 
 def test_listing_ingestion_upserts_valid_rows(spark):
     msgs = to_listing_message(fixtures.listing(spark, SF0001))
-    staged = pipelines.stage_json(msgs, scratch_path(spark, "topic"), 2, "header.event_time")
+    staged = jobs.stage_json(msgs, scratch_path(spark, "topic"), 2, "header.event_time")
     target, ck = scratch_path(spark, "ods"), scratch_path(spark, "ck")
-    q = pipelines.run_listing_pipeline(read_listing_stream(spark, "text", staged, max_files=1),
+    q = jobs.run_listing_pipeline(read_listing_stream(spark, "text", staged, max_files=1),
                                        target, ck, NOW)
     q.awaitTermination()
     got = spark.read.parquet(target)
@@ -94,7 +94,7 @@ def test_ensure_table_read_table_register_source(spark, tmp_dir):
     ensure_table(spark, "lakestrata_test_dim", DIM_CATEGORY, location=f"{tmp_dir}/dim")
     assert read_table(spark, "lakestrata_test_dim").columns == ["category_id", "category_name"]
     register_source(fixtures.dim(spark, SF0001), "dim_category_src")
-    assert spark.table("dim_category_src").count() == 30
+    assert spark.table("dim_category_src").count() == fixtures.table(spark, SF0001, "part").count()
     spark.sql("DROP TABLE lakestrata_test_dim")
 
 
@@ -105,7 +105,7 @@ def test_click_stream_fails_on_malformed_json(spark, tmp_dir):
     with open(f"{src}/a.json", "w") as f:
         f.write('{"user_id":"u","item_id":"i","category_id":"c","behavior":"pv","ts":1,'
                 '"event_time":"2024-01-01 00:00:00"}\n{broken\n')
-    q = pipelines.behavior_funnel_stream(read_click_stream(spark, "text", src),
+    q = jobs.behavior_funnel_stream(read_click_stream(spark, "text", src),
                                          f"{tmp_dir}/out", f"{tmp_dir}/ck", NOW)
     with pytest.raises(Exception):
         q.awaitTermination()

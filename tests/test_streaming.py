@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lakestrata import catalog, fixtures
 from lakestrata.plans import clicks
 from lakestrata.session import scratch_path
-from lakestrata.streaming import pipelines
+from lakestrata.streaming import jobs
 from lakestrata.streaming.sinks import upsert_batch
 from lakestrata.streaming.sources import read_click_stream
 from tests.conftest import SF0001, rows
@@ -32,7 +32,7 @@ def _msg(t: dt.datetime, cat="c", behavior="pv"):
 
 
 def _metrics(spark, src_dir, out, ck):
-    q = pipelines.category_metrics_stream(
+    q = jobs.category_metrics_stream(
         read_click_stream(spark, source="text", path=src_dir, max_files=1), out, ck, NOW)
     q.awaitTermination()
     return spark.read.parquet(out)
@@ -40,9 +40,9 @@ def _metrics(spark, src_dir, out, ck):
 
 def test_stream_equals_batch_on_closed_windows(spark):
     msgs = clicks.click_messages(fixtures.click(spark, SF0001))
-    staged = pipelines.stage_json(msgs, scratch_path(spark, "topic"))
+    staged = jobs.stage_json(msgs, scratch_path(spark, "topic"))
     out, ck = scratch_path(spark, "out"), scratch_path(spark, "ck")
-    q = pipelines.category_metrics_stream(read_click_stream(spark, "text", staged), out, ck, NOW)
+    q = jobs.category_metrics_stream(read_click_stream(spark, "text", staged), out, ck, NOW)
     q.awaitTermination()
     streamed = spark.read.parquet(out)
     batch = clicks.category_window_metrics(catalog.click_src(spark, SF0001))
