@@ -41,13 +41,21 @@ def overwrite_partitions(df: DataFrame, target: str, by: Sequence[str] | str | N
     _writer(df, by, max_records).parquet(target)
 
 
+def data_files(spark, path: str) -> DataFrame:
+    """One row per Parquet data file under ``path`` (``path``, ``length`` and the
+    partition columns), from the file listing: the ``binaryFile`` source does
+    not read file contents unless ``content`` is selected, so this is
+    O(files), not O(rows)."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+            .drop("content", "modificationTime"))
+
+
 def compact(spark, path: str, partition_cols: Sequence[str] | str,
             target_bytes: int = K.TARGET_FILE_BYTES) -> int:
     """Rewrite a partitioned Parquet folder into files of ~``target_bytes`` (SNK-7).
 
-    File sizes come from the ``_metadata`` column (a distributed scan of the
-    footers' metadata, no driver-side listing of data).  Each partition gets
-    ``ceil(bytes / target)`` output files; rows are spread over them by a
+    File sizes come from the file listing (``data_files``).  Each partition
+    gets ``ceil(bytes / target)`` output files; rows are spread over them by a
     hash salt so one large partition is written by many tasks.  The result
     is staged in the shared checkpoint folder and then swapped in with a
     dynamic overwrite, so the job never reads the files it replaces.
@@ -55,8 +63,7 @@ def compact(spark, path: str, partition_cols: Sequence[str] | str,
     """
     parts = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     src = spark.read.parquet(path)
-    sizes = (src.select(*parts, "_metadata.file_path", "_metadata.file_size").distinct()
-             .groupBy(*parts).agg(F.sum("file_size").alias("__bytes"))
+    sizes = (data_files(spark, path).groupBy(*parts).agg(F.sum("length").alias("__bytes"))
              .withColumn("__files", F.greatest(F.lit(1), F.ceil(F.col("__bytes") / target_bytes))
                          .cast("int")))
     total_files = sizes.agg(F.sum("__files")).first()[0] or 1
@@ -67,13 +74,13 @@ def compact(spark, path: str, partition_cols: Sequence[str] | str,
     staged = scratch_path(spark, "compact-staging")
     (salted.repartition(int(total_files), *parts, "__salt").drop("__files", "__salt")
      .write.mode("overwrite").option("compression", "zstd").partitionBy(*parts).parquet(staged))
-    overwrite_partitions(spark.read.parquet(staged), path, by=parts)
+    overwrite_partitions(spark.read.schema(src.schema).parquet(staged), path, by=parts)
     return int(total_files)
 
 
 def file_count(spark, path: str) -> int:
-    """Number of data files under ``path`` (from ``_metadata``; a Spark job)."""
-    return spark.read.parquet(path).select("_metadata.file_path").distinct().count()
+    """Number of Parquet data files under ``path`` (from the listing)."""
+    return data_files(spark, path).count()
 
 
 def to_message(df: DataFrame, key: str | None = None, columns: Sequence[str] | None = None
