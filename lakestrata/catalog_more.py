@@ -106,9 +106,22 @@ def q_compact_roundtrip(spark, sf):
 
 # --------------------------------------------------------------- streaming --
 
+_TOPICS: dict = {}
+
+
+def _topic(spark, sf, name: str, build, files: int | None = None, by: str | None = None) -> str:
+    """JSON-lines "topic" folder written by Spark from the driver tables, once
+    per application and scale directory (a topic outlives its consumers;
+    every stream query still reads it from the start with a fresh checkpoint)."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _TOPICS:
+        _TOPICS[key] = jobs.stage_json(build(), scratch_path(spark, name), files, by)
+    return _TOPICS[key]
+
+
 def _click_stream(spark, sf):
-    msgs = clicks.click_messages(fixtures.click(spark, sf))
-    staged = jobs.stage_json(msgs, scratch_path(spark, "click-topic"))
+    staged = _topic(spark, sf, "click-topic",
+                    lambda: clicks.click_messages(fixtures.click(spark, sf)))
     return read_click_stream(spark, source="text", path=staged)
 
 
@@ -133,9 +146,9 @@ def q_stream_behavior_funnel(spark, sf):
 
 
 def _listing_stream(spark, sf, files: int | None = None):
-    msgs = to_listing_message(fixtures.listing(spark, sf))
-    staged = jobs.stage_json(msgs, scratch_path(spark, "listing-topic"), files,
-                                  "header.event_time" if files else None)
+    staged = _topic(spark, sf, f"listing-topic-{files or 1}",
+                    lambda: to_listing_message(fixtures.listing(spark, sf)), files,
+                    "header.event_time" if files else None)
     return read_listing_stream(spark, source="text", path=staged, max_files=1 if files else None)
 
 
