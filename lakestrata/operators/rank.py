@@ -79,54 +79,57 @@ def ranks_with_cutoff(df: DataFrame, partition_cols: Sequence[str],
 
     The input is read by several branches that each prune different columns,
     so it is checkpointed once (reliably, into the shared checkpoint folder)
-    unless ``materialize_input=False`` (pass an already-written table).
+    unless ``materialize_input=False`` (pass an already-written table).  All
+    orderings share one pass per step: one candidate-array aggregate, one
+    histogram pass over the rows, one join of candidates to the histograms.
     """
     if materialize_input:
         df = cut_lineage(df)
     names = list(rankings)
+    part = list(partition_cols)
     keyed = df
     for name in names:
         keyed = keyed.withColumn(f"__k_{name}", _sort_key(df, rankings[name]))
-    part = list(partition_cols)
 
     cands = None
     for name in names:
         top = top_n_per_group(keyed, part, _orderings(rankings[name]), cutoff, rank_col=None)
         cands = top if cands is None else cands.unionByName(top)
-    first = f"__k_{names[0]}"
-    cands = cands.dropDuplicates(part + [first])
-    # The per-group candidate arrays are joined to every row.  They hold at
-    # most cutoff x orderings keys per group; broadcast them when the number
-    # of groups keeps that under ``max_broadcast_keys`` (checked by counting the
-    # groups of the checkpointed input), otherwise leave the join to AQE.
-    n_groups = df.select(*part).distinct().count()
-    small = n_groups * cutoff * len(names) <= max_broadcast_keys
-
-    out = cands
+    cands = cands.dropDuplicates(part + [f"__k_{names[0]}"])
+
+    # Per group, the sorted candidate keys of every ordering (<= cutoff x
+    # orderings each).  Joined to every row: broadcast when the number of
+    # groups keeps them under ``max_broadcast_keys`` (counted on the
+    # checkpointed input), otherwise left to AQE.
+    ap = [f"__a_{p}" for p in part]
+    arr = cands.groupBy(*[F.col(p).alias(a) for p, a in zip(part, ap)]).agg(
+        *[F.array_sort(F.collect_list(f"__k_{n}")).alias(f"__c_{n}") for n in names])
+    if df.select(*part).distinct().count() * cutoff * len(names) <= max_broadcast_keys:
+        arr = F.broadcast(arr)
+    # NULL is a group of its own in PARTITION BY, so join null-safely
+    on_arr = [F.col(p).eqNullSafe(F.col(a)) for p, a in zip(part, ap)]
+
+    def before(name):  # candidates of ``name`` sorting at or before the row
+        return F.size(F.filter(f"__c_{name}", lambda c: c <= F.col(f"__k_{name}")))
+
+    # histogram of (ordering, count-before) over all rows
+    per_row = keyed.join(arr, on_arr).select(*part, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("r"), before(n).alias("v")) for i, n in enumerate(names)
+    ])).alias("__p"))
+    hist = per_row.groupBy(*part, F.col("__p.r").alias("r"), F.col("__p.v").alias("v")).agg(
+        F.count(F.lit(1)).alias("cnt"))
     hp = [f"__h_{p}" for p in part]
-    for name in names:
-        k = f"__k_{name}"
-        ap = [f"__a_{p}" for p in part]
-        arr = cands.groupBy(*[F.col(p).alias(a) for p, a in zip(part, ap)]).agg(
-            F.array_sort(F.collect_list(k)).alias("__cands"))
-        if small:
-            arr = F.broadcast(arr)
-        # NULL is a group of its own in PARTITION BY, so join null-safely
-        on_arr = [F.col(p).eqNullSafe(F.col(a)) for p, a in zip(part, ap)]
-        # how many candidates sort at or before each row
-        le = F.size(F.filter("__cands", lambda c: c <= F.col(k)))
-        hist = (keyed.join(arr, on_arr).select(*part, le.alias("__le"))
-                .groupBy(*part, "__le").agg(F.count(F.lit(1)).alias("__cnt"))
-                .select(*[F.col(p).alias(h) for p, h in zip(part, hp)], "__le", "__cnt"))
-        pos = cands.join(arr, on_arr).select(*part, F.col(first).alias("__id"), le.alias("__j"))
-        # per group, the (count-before, rows) histogram has <= cutoff x orderings + 1
-        # entries; candidate j's rank is 1 + the rows whose count is below j
-        hist_arr = hist.groupBy(*hp).agg(F.collect_list(F.struct("__le", "__cnt")).alias("__h"))
-        below = F.aggregate(F.filter("__h", lambda h: h["__le"] < F.col("__j")),
-                            F.lit(0).cast("long"), lambda acc, h: acc + h["__cnt"])
-        ranks = (pos.join(hist_arr, [F.col(p).eqNullSafe(F.col(h)) for p, h in zip(part, hp)])
-                 .select(*[F.col(h) for h in hp], "__id", (below + 1).cast("int").alias(name)))
-        on = [F.col(p).eqNullSafe(F.col(h)) for p, h in zip(part, hp)]
-        on.append(F.col(first) == F.col("__id"))
-        out = out.join(ranks, on, "inner").drop("__id", *hp)
-    return out.drop(*[f"__k_{n}" for n in names])
+    hist_arr = hist.groupBy(*[F.col(p).alias(h) for p, h in zip(part, hp)]).agg(*[
+        F.collect_list(F.when(F.col("r") == i, F.struct("v", "cnt"))).alias(f"__h_{n}")
+        for i, n in enumerate(names)])
+
+    # candidate j's row number = 1 + rows whose count-before is below j
+    pos = cands.join(arr, on_arr).join(
+        hist_arr, [F.col(p).eqNullSafe(F.col(h)) for p, h in zip(part, hp)])
+    ranks = []
+    for n in names:
+        j = before(n)
+        below = F.aggregate(F.filter(f"__h_{n}", lambda h: h["v"] < j),
+                            F.lit(0).cast("long"), lambda acc, h: acc + h["cnt"])
+        ranks.append((below + 1).cast("int").alias(n))
+    return pos.select(*[F.col(c) for c in df.columns], *ranks)
