@@ -81,11 +81,3 @@ def cut_lineage(df):
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def materialize(df, name: str = "materialized"):
-    """Cut lineage by writing ``df`` as a Parquet table in the shared checkpoint
-    folder and reading it back: columnar, so later branches read only the
-    columns they use, and it survives the loss of any executor."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -15,7 +15,6 @@ from lakestrata.streaming.sources import read_click_stream
 from tests.conftest import SF0001, rows
 
 NOW = {"availableNow": True}
-SCHEMA = "user_id string, item_id string, category_id string, behavior string, ts long, event_time string"
 
 
 def _write_msgs(path, name, msgs):
