@@ -200,7 +200,7 @@ def q_parse_event_time(spark, sf):
     msg = msg.withColumn("event_time", F.when(F.col("behavior") == "unknown", F.lit("not-a-time"))
                          .otherwise(F.col("event_time")))
     return msg.select("user_id", "item_id", "event_time",
-                      X.parse_event_time("event_time").cast("timestamp_ntz").alias("ts_ltz"))
+                      X.instant_to_wall(X.parse_event_time("event_time")).alias("ts_ltz"))
 
 
 def q_event_date(spark, sf):

@@ -106,17 +106,34 @@ def year_segment(col) -> Column:
 
 
 def parse_event_time(col, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    """String -> TIMESTAMP; unparsable text gives NULL instead of failing (PRJ-10).
-
-    The result is an instant (``TIMESTAMP``) because watermarks need one;
-    cast to ``timestamp_ntz`` when writing wall-clock columns.
+    """Wall-clock text -> TIMESTAMP; unparsable text gives NULL instead of failing (PRJ-10).
+
+    The text is read as a wall clock without any zone (``to_timestamp_ntz``,
+    reached only for text that parses, so ANSI mode never raises) and turned
+    into the instant whose UTC reading is that wall clock.  Watermarks need
+    an instant; reading the wall clock as UTC makes 10-minute windows, dates
+    and outputs independent of the session time zone and of DST.  Use
+    ``instant_to_wall`` to write the wall clock back out.
     """
-    return F.try_to_timestamp(_c(col), F.lit(fmt))
+    c = _c(col)
+    wall = F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))
+    return wall_to_instant(wall)
+
+
+def wall_to_instant(col) -> Column:
+    """TIMESTAMP_NTZ wall clock -> TIMESTAMP whose UTC reading is that wall clock
+    (second precision, as the source text)."""
+    return F.timestamp_seconds(F.unix_timestamp(_c(col)))
+
+
+def instant_to_wall(col) -> Column:
+    """Inverse of ``wall_to_instant``: the UTC reading as TIMESTAMP_NTZ."""
+    return epoch_to_ntz(F.unix_seconds(_c(col)), "UTC")
 
 
 def event_date(col) -> Column:
-    """Timestamp -> DATE partition value (PRJ-11)."""
-    return F.to_date(_c(col))
+    """Event instant -> DATE of its wall clock (PRJ-11)."""
+    return F.to_date(instant_to_wall(col))
 
 
 def funnel_step(col, steps: Mapping[str, str] = K.FUNNEL_STEPS) -> Column:

@@ -2,8 +2,10 @@
 
 Every function works on a batch *or* a streaming DataFrame; the streaming
 wiring (watermark, output mode, sinks) lives in ``lakestrata.streaming``.
-Event time ``ts_ltz`` is a TIMESTAMP (an instant, as watermarks require);
-wall-clock outputs are cast to TIMESTAMP_NTZ.
+Event time ``ts_ltz`` is a TIMESTAMP (an instant, as watermarks require)
+whose UTC reading is the event's wall clock, so window boundaries fall on
+wall-clock multiples in any session zone; wall-clock outputs are written
+back as TIMESTAMP_NTZ.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ def with_event_time(messages: DataFrame, fmt: str = FMT) -> DataFrame:
 
 
 def _ntz(col: str):
-    return F.col(col).cast("timestamp_ntz").alias(col)
+    return X.instant_to_wall(col).alias(col)
 
 
 def click_ods(src: DataFrame) -> DataFrame:
@@ -65,8 +67,8 @@ def category_window_metrics(src: DataFrame, window: str = K.WINDOW_SIZE) -> Data
            .groupBy(_window_bounds(window).alias("w"), "category_id")
            .agg(*count_by_value("behavior", ("pv", "cart", "fav", "buy"),
                                 ("pv_cnt", "cart_cnt", "fav_cnt", "buy_cnt"))))
-    return agg.select(F.col("w.start").cast("timestamp_ntz").alias("win_start"),
-                      F.col("w.end").cast("timestamp_ntz").alias("win_end"),
+    return agg.select(X.instant_to_wall("w.start").alias("win_start"),
+                      X.instant_to_wall("w.end").alias("win_end"),
                       *CATEGORY_METRICS_COLUMNS[2:])
 
 
@@ -75,8 +77,8 @@ def behavior_funnel_windows(src: DataFrame, window: str = K.WINDOW_SIZE) -> Data
     agg = (src.where(F.col("behavior").isin(list(K.BEHAVIORS)))
            .groupBy(_window_bounds(window).alias("w"), "behavior")
            .agg(F.count(F.lit(1)).alias("trigger_cnt")))
-    return agg.select(F.col("w.start").cast("timestamp_ntz").alias("win_start"),
-                      F.col("w.end").cast("timestamp_ntz").alias("win_end"),
+    return agg.select(X.instant_to_wall("w.start").alias("win_start"),
+                      X.instant_to_wall("w.end").alias("win_end"),
                       "behavior", X.funnel_step("behavior").alias("step_name"), "trigger_cnt"
                       ).select(*BEHAVIOR_FUNNEL_COLUMNS)
 

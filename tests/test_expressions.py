@@ -61,7 +61,7 @@ def test_ds_from_epoch_is_session_independent(spark):
 
 def test_parse_event_time_bad_text_is_null(spark):
     df = spark.createDataFrame([("2024-01-01 00:00:07",), ("not-a-time",)], "s string")
-    got = rows(df.select(X.parse_event_time("s").cast("timestamp_ntz").cast("string")))
+    got = rows(df.select(X.instant_to_wall(X.parse_event_time("s")).cast("string")))
     assert got == [("2024-01-01 00:00:07",), (None,)]
 
 
