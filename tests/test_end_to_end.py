@@ -134,3 +134,21 @@ def test_dimension_keys_must_be_unique(spark):
         load_dimension(dup, "id", "name")
     ok = load_dimension(spark.createDataFrame([(1, "a")], "id int, name string"), "id", "name")
     assert ok.schema.simpleString() == "struct<id:string,name:string>"
+
+
+def test_cli_jobs(spark, tmp_dir):
+    from lakestrata import cli
+    ods_path = f"{tmp_dir}/ods"
+    catalog.ods(spark, SF0001).write.parquet(ods_path)
+    paths = cli.main(["daily", "--ods", ods_path, "--out", f"{tmp_dir}/wh", "--tz", "UTC",
+                      "--blacklist", "AFRICA"], spark=spark)
+    assert spark.read.parquet(paths["ads_top10_attention_houses_daily"]).count() > 0
+    n = cli.main(["compact", "--path", paths["dwd_ershoufang_fact"], "--partition", "ds"],
+                 spark=spark)
+    assert n >= 1 and spark.read.parquet(paths["dwd_ershoufang_fact"]).count() == \
+        catalog.dwd(spark, SF0001).count()
+    topic = jobs.stage_json(clicks.click_messages(fixtures.click(spark, SF0001)),
+                            f"{tmp_dir}/topic")
+    cli.main(["clicks", "--path", topic, "--out", f"{tmp_dir}/lake", "--available-now",
+              "--checkpoint", f"{tmp_dir}/ck"], spark=spark)
+    assert spark.read.parquet(f"{tmp_dir}/lake/dws_category_metrics").count() > 0
