@@ -118,3 +118,17 @@ def test_bounded_dedupe_forgets_keys_behind_the_watermark(spark, tmp_dir):
     # within the watermark the duplicate is dropped; after it the key may re-appear
     assert got.where("k = 'u|c'").count() == 2 and got.where("k = 'u|x'").count() == 1
     assert got.where("k = 'u|c' AND ts < 1704067300").count() == 1   # the t0+1s copy was dropped
+
+
+def test_merge_into_parquet_table_is_refused_clearly(spark, tmp_dir):
+    import pytest
+    from lakestrata.sources.batch import ensure_table
+    b = spark.createDataFrame([("h1", "A", 1, "t1")],
+                              "house_id string, city string, event_time long, trace_id string")
+    ensure_table(spark, "lakestrata_merge_t", b.schema, location=f"{tmp_dir}/t")
+    try:
+        with pytest.raises(ValueError, match="MERGE INTO"):
+            upsert_batch(b, 0, "lakestrata_merge_t", ["house_id", "city"],
+                         ["event_time", "trace_id"], ["city"])
+    finally:
+        spark.sql("DROP TABLE lakestrata_merge_t")
