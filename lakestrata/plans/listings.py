@@ -215,20 +215,32 @@ DAILY_LOADS = {
 
 def run_daily(ods: DataFrame, out_root: str, tz: str | None = None,
               blacklist: Sequence[str] = K.CITY_BLACKLIST, since: str | None = None,
-              until: str | None = None) -> dict[str, str]:
+              until: str | None = None, concurrency: int = 1) -> dict[str, str]:
     """Run the whole daily warehouse: write DWD, then the eight loads from it.
 
     The DWD is written as a ``ds``-partitioned table and read back, which
     cuts the lineage and lets every load prune partitions by ``since/until``.
-    Each write replaces only the partitions present in its result.
+    Each write replaces only the partitions present in its result.  The
+    eight loads only read the DWD, so with ``concurrency > 1`` they are
+    submitted as concurrent Spark jobs (threads of the driver), which keeps
+    the cluster busy through each job's last stages.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from ..sinks.files import overwrite_partitions
     spark = ods.sparkSession
     paths = {"dwd_ershoufang_fact": f"{out_root}/dwd_ershoufang_fact"}
     dwd_new = since_until(listing_fact(ods, blacklist, tz), since, until)
     overwrite_partitions(dwd_new, paths["dwd_ershoufang_fact"], by="ds")
-    dwd = spark.read.parquet(paths["dwd_ershoufang_fact"])
-    for name, build in DAILY_LOADS.items():
-        paths[name] = f"{out_root}/{name}"
-        overwrite_partitions(build(dwd, since=since, until=until), paths[name], by="ds")
+    dwd = spark.read.schema(dwd_new.schema).parquet(paths["dwd_ershoufang_fact"])
+
+    def load(item):
+        name, build = item
+        spark.sparkContext.setJobDescription(f"daily load {name}")
+        overwrite_partitions(build(dwd, since=since, until=until), f"{out_root}/{name}", by="ds")
+        return name
+
+    with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
+        for name in pool.map(load, DAILY_LOADS.items()):
+            paths[name] = f"{out_root}/{name}"
     return paths
