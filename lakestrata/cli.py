@@ -1,6 +1,6 @@
 """Command-line jobs: what the reference runs as scripts, as spark-submit-able jobs.
 
-    python -m lakestrata.cli daily    --ods PATH --out ROOT [--since D] [--until D] [--tz Z]
+    python -m lakestrata.cli daily    --ods PATH --out ROOT [--since D] [--until D] [--tz Z] [--concurrency N]
     python -m lakestrata.cli clicks   --out ROOT (--path DIR | --bootstrap H --topic T) [--trigger "1 minute"]
     python -m lakestrata.cli listings --target PATH (--path DIR | --bootstrap H --topic T)
     python -m lakestrata.cli compact  --path PATH --partition dt [--target-bytes N]
@@ -30,6 +30,8 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--since"), d.add_argument("--until")
     d.add_argument("--tz", default=None, help="zone of the ds key (default: session zone)")
     d.add_argument("--blacklist", default=",".join(K.CITY_BLACKLIST))
+    d.add_argument("--concurrency", type=int, default=1,
+                   help="run the eight DWS/ADS loads as this many concurrent Spark jobs")
 
     for name, helptext in (("clicks", "click stream -> ODS/DWD + 10-minute metrics"),
                            ("listings", "listing stream -> validated ODS upsert")):
@@ -71,7 +73,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
         from .sources.batch import read_table
         return run_daily(read_table(spark, args.ods), args.out, tz=args.tz,
                          blacklist=tuple(x for x in args.blacklist.split(",") if x),
-                         since=args.since, until=args.until)
+                         since=args.since, until=args.until, concurrency=args.concurrency)
 
     if args.job == "compact":
         from .sinks.files import compact
