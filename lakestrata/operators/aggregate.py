@@ -1,9 +1,11 @@
 """Aggregation operators (AGG-*).
 
-All of them are hash/object-hash aggregates with a partial (map-side) step,
-so a hot group is pre-reduced in every task before the shuffle.  Collected
-arrays only ever hold *distinct keys* of a group (room types, tags), never
-rows, and ``top_values`` limits the tag list per group before collecting.
+The aggregates are hash/object-hash aggregates with a partial (map-side)
+step, so a hot group is pre-reduced in every task before the shuffle; the
+per-key picks (``latest_per_key``, the top-n in ``top_values``) are
+group-limited windows, which cut each key to n rows per task before the
+shuffle.  Collected arrays only ever hold *distinct keys* of a group (room
+types, tags), never rows.
 """
 
 from __future__ import annotations
