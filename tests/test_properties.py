@@ -59,3 +59,37 @@ def test_bucketize_matches_python(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "p double")
     got = [r[0] for r in df.select(X.price_range("p")).collect()]
     assert got == [_python_bucket(v) for v in values]
+
+
+def test_hot_communities_exact_under_a_hot_key(spark):
+    """A third of the rows in one community on one day: the cutoff ranking
+    still equals plain row_number windows over the same aggregate."""
+    from pyspark.sql import Window
+    dwd = catalog.dwd_table(spark, SF001)
+    hot = F.col("unit_price") % 3 == 0
+    hot_values = dict(HOT)
+    skewed = dwd.select(*[
+        F.when(hot, F.lit(hot_values[c])).otherwise(F.col(c)).alias(c) if c in hot_values
+        else F.col(c) for c in dwd.columns])
+    got = listings.hot_communities(skewed)
+    base = skewed.where(((F.col("attention_count") > 0) | (F.col("visit_30_days") > 0))
+                        & F.col("attention_count").isNotNull()
+                        & F.col("visit_30_days").isNotNull())
+    agg = base.groupBy("ds", "city", "district", "neighborhood", "community").agg(
+        F.sum("attention_count").cast("long").alias("ta"),
+        F.sum("visit_30_days").cast("long").alias("tv"))
+    tie = [F.col(c).asc() for c in ("city", "district", "neighborhood", "community")]
+    want = (agg.withColumn("ra", F.row_number().over(
+                Window.partitionBy("ds").orderBy(F.col("ta").desc(), *tie)))
+            .withColumn("rv", F.row_number().over(
+                Window.partitionBy("ds").orderBy(F.col("tv").desc(), *tie)))
+            .where("ra <= 100 OR rv <= 100"))
+    cols = ["ds", "city", "district", "neighborhood", "community"]
+    g = sorted(tuple(r) for r in got.select(*cols, "rank_by_attention", "rank_by_visit")
+               .fillna("~").collect())
+    w = sorted(tuple(r) for r in want.select(*cols, "ra", "rv").fillna("~").collect())
+    assert g == w
+
+
+HOT = [("ds", "20240101"), ("city", "ASIA"), ("district", "NATION_1"),
+       ("neighborhood", "BUILDING"), ("community", "Brand#1")]
