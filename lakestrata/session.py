@@ -29,6 +29,8 @@ DEFAULT_CONF = {
     # spark.sql.shuffle.partitions high on a cluster and let AQE shrink it
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # remove reliable-checkpoint files once their RDD is no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":

@@ -41,6 +41,12 @@ def overwrite_partitions(df: DataFrame, target: str, by: Sequence[str] | str | N
     _writer(df, by, max_records).parquet(target)
 
 
+def clear_folder(spark, path: str, schema) -> None:
+    """Empty a staging folder with Spark's own overwrite (old files are deleted,
+    an empty result is written), so staged copies do not pile up."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
 def data_files(spark, path: str) -> DataFrame:
     """One row per Parquet data file under ``path`` (``path``, ``length`` and the
     partition columns), from the file listing: the ``binaryFile`` source does
@@ -75,6 +81,7 @@ def compact(spark, path: str, partition_cols: Sequence[str] | str,
     (salted.repartition(int(total_files), *parts, "__salt").drop("__files", "__salt")
      .write.mode("overwrite").option("compression", "zstd").partitionBy(*parts).parquet(staged))
     overwrite_partitions(spark.read.schema(src.schema).parquet(staged), path, by=parts)
+    clear_folder(spark, staged, src.schema)
     return int(total_files)
 
 
@@ -114,4 +121,5 @@ def publish_events(df: DataFrame, key: str = "user_id", fmt: str = "json",
     out.write.mode("overwrite").json(path)
 
 
-__all__ = ["overwrite_partitions", "compact", "file_count", "to_message", "publish_events"]
+__all__ = ["overwrite_partitions", "compact", "clear_folder", "data_files", "file_count",
+           "to_message", "publish_events"]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.aggregate import latest_per_key
-from ..sinks.files import overwrite_partitions
+from ..sinks.files import clear_folder, overwrite_partitions
 
 
 def _trigger(writer, trigger: dict | None):
@@ -69,7 +69,9 @@ def upsert_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[st
         batch = with_key_bucket(batch, keys, buckets)
         parts.append(BUCKET_COL)
     latest = latest_per_key(batch, keys, order_by)
-    staged = os.path.join(target, "_staging", f"batch={batch_id}")
+    # one staging folder per table: batches run one after another, a retried
+    # batch rewrites it, and it is emptied after every swap
+    staged = os.path.join(target, "_staging")
     try:
         existing = spark.read.schema(latest.schema).parquet(target)
         touched = latest.select(*parts).distinct()
@@ -82,6 +84,7 @@ def upsert_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[st
     merged.write.mode("overwrite").option("compression", "zstd").partitionBy(
         *parts).parquet(staged)
     overwrite_partitions(spark.read.schema(latest.schema).parquet(staged), target, by=parts)
+    clear_folder(spark, staged, latest.schema)
 
 
 def merge_batch(batch: DataFrame, batch_id: int, table: str, keys: Sequence[str],
