@@ -63,17 +63,23 @@ def register_source(df: DataFrame, name: str) -> DataFrame:
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
-                 partition_by: Sequence[str] = (), location: str | None = None) -> None:
-    """``CREATE TABLE IF NOT EXISTS .. USING parquet PARTITIONED BY`` (SRC-6)."""
+                 partition_by: Sequence[str] = (), location: str | None = None,
+                 properties: dict | None = None, using: str = "parquet") -> None:
+    """``CREATE TABLE IF NOT EXISTS .. USING <format> PARTITIONED BY`` (SRC-6, SNK-8).
+
+    ``properties`` become TBLPROPERTIES (e.g. a table format's target file
+    size or metadata retention); zstd compression is always set.
+    """
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    sql = f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet"
+    sql = f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {using}"
     if partition_by:
         sql += f" PARTITIONED BY ({', '.join(partition_by)})"
     if location:
         sql += f" LOCATION '{location}'"
-    sql += " TBLPROPERTIES ('compression'='zstd')"
+    props = {"compression": "zstd", **(properties or {})}
+    sql += " TBLPROPERTIES (" + ", ".join(f"'{k}'='{v}'" for k, v in props.items()) + ")"
     spark.sql(sql)
 
 

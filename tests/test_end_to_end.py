@@ -165,3 +165,18 @@ def test_run_daily_concurrent_loads_match_sequential(spark, tmp_dir):
         # map columns cannot be compared by exceptAll; compare the other columns
         cols = [f.name for f in a.schema.fields if not isinstance(f.dataType, T.MapType)]
         assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
+
+
+def test_ensure_table_records_writer_properties(spark, tmp_dir):
+    from lakestrata.functions import constants as K
+    ensure_table(spark, "lakestrata_props_t", DIM_CATEGORY, location=f"{tmp_dir}/p",
+                 properties={"write.target-file-size-bytes": K.TARGET_FILE_BYTES,
+                             "write.metadata.previous-versions-max": 5})
+    try:
+        props = {r["key"]: r["value"] for r in
+                 spark.sql("SHOW TBLPROPERTIES lakestrata_props_t").collect()}
+        assert props["write.target-file-size-bytes"] == str(K.TARGET_FILE_BYTES)
+        assert props["write.metadata.previous-versions-max"] == "5"
+        assert props["compression"] == "zstd"
+    finally:
+        spark.sql("DROP TABLE lakestrata_props_t")
