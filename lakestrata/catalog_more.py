@@ -131,6 +131,25 @@ def _run(query) -> None:
         raise query.exception()
 
 
+def _stream_click_layer(spark, sf, layer: str):
+    """Run the one-read fan-out (SNK-5) and read back one of its two layers."""
+    out, ck = scratch_path(spark, "click-layers"), scratch_path(spark, "ckpt")
+    fn = {"ods": clicks.click_ods, "dwd": clicks.click_dwd}
+    paths = {name: f"{out}/{name}_user_behavior" for name in fn}
+    _run(jobs.batch_fanout(_click_stream(spark, sf), {paths[n]: fn[n] for n in fn},
+                           partition_by=["dt"], checkpoint=ck, trigger=AVAILABLE_NOW))
+    like = fn[layer](_catalog().click_src(spark, sf))
+    return read_back(spark, paths[layer], like)
+
+
+def q_stream_click_ods(spark, sf):
+    return _stream_click_layer(spark, sf, "ods")
+
+
+def q_stream_click_dwd(spark, sf):
+    return _stream_click_layer(spark, sf, "dwd")
+
+
 def q_stream_category_metrics(spark, sf):
     out, ck = scratch_path(spark, "dws_category_metrics"), scratch_path(spark, "ckpt")
     _run(jobs.category_metrics_stream(_click_stream(spark, sf), out, ck, AVAILABLE_NOW))
@@ -175,6 +194,8 @@ QUERIES = {
     "upsert_latest_per_key": q_upsert_latest_per_key,
     "sink_dynamic_overwrite": q_sink_dynamic_overwrite,
     "compact_roundtrip": q_compact_roundtrip,
+    "stream_click_ods": q_stream_click_ods,
+    "stream_click_dwd": q_stream_click_dwd,
     "stream_category_metrics": q_stream_category_metrics,
     "stream_behavior_funnel": q_stream_behavior_funnel,
     "stream_dedupe_first": q_stream_dedupe_first,

@@ -74,6 +74,11 @@ WHERE NOT EXISTS (SELECT 1 FROM listing l WHERE l.house_id LIKE '%-1' AND l.hous
     "compact_roundtrip": _with("src") + """SELECT user_id, item_id, category_id, behavior, ts,
  event_time, ts_ltz, CAST(ts_ltz AS DATE) AS dt FROM src""",
 
+    "stream_click_ods": _with("src") + """SELECT user_id, item_id, category_id, behavior, ts,
+ event_time, ts_ltz, CAST(ts_ltz AS DATE) AS dt FROM src""",
+    "stream_click_dwd": _with("src") + """SELECT user_id, item_id, category_id, behavior, ts, ts_ltz,
+ CAST(ts_ltz AS DATE) AS dt FROM src
+WHERE behavior IS NOT NULL AND behavior IN ('pv', 'buy', 'cart', 'fav')""",
     "stream_category_metrics": _closed(CATEGORY_METRICS),
     "stream_behavior_funnel": _closed(FUNNEL),
     "stream_dedupe_first": _with("listing") + "SELECT DISTINCT house_id FROM listing",
