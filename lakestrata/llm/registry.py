@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from . import mixing, token_counts
+from . import decontamination, mixing, pii, quality_rules, token_counts, token_planes
 
 QUERIES = {
+    "op4_quality_rules": quality_rules.query,
+    "op5_token_planes": token_planes.query,
+    "op6_decontamination": decontamination.query,
+    "op7_personal_data": pii.query,
     "op8_source_mixing": mixing.query,
     "op9_token_counts": token_counts.query,
 }
 
 ORACLES = {
+    "op6_decontamination": decontamination.ORACLE,
     "op8_source_mixing": mixing.ORACLE,
 }
