@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from . import decontamination, mixing, pii, quality_rules, token_counts, token_planes
+from . import (decontamination, line_dedup, mixing, pii, quality_classifier, quality_rules, simhash, token_counts,
+               token_planes, toxicity)
 
 QUERIES = {
+    "op1_simhash": simhash.query,
+    "op2_line_dedup": line_dedup.query,
+    "op3_toxicity": toxicity.query,
     "op4_quality_rules": quality_rules.query,
     "op5_token_planes": token_planes.query,
     "op6_decontamination": decontamination.query,
     "op7_personal_data": pii.query,
     "op8_source_mixing": mixing.query,
     "op9_token_counts": token_counts.query,
+    "op10_quality_classifier": quality_classifier.query,
 }
 
 ORACLES = {
