@@ -13,7 +13,7 @@ the folders once a job's outputs are written.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +76,19 @@ def filter_by_rows(docs: DataFrame, rows: DataFrame, key_cols: Sequence[str], ke
     return docs.join(side, cond, "left_semi" if keep else "left_anti").select(*map(col, docs.columns))
 
 
+def text_slices(batch, column: str = "text", rows: int = 4096, limit: int = 8 << 20) -> Iterator:
+    """Consecutive slices of an Arrow batch with at most ``rows`` rows and about ``limit`` bytes of text."""
+    import numpy as np
+    import pyarrow.compute as pc
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    total, at = np.cumsum(size, dtype=np.int64), 0
+    while at < len(total):
+        done = total[at - 1] if at else 0
+        end = min(at + rows, max(at + 1, int(np.searchsorted(total, done + limit, side="right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def crc_mod(doc_id: Column, m: int) -> Column:
     """crc32 of the id's text modulo ``m`` (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % m

@@ -19,21 +19,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_slices
 from .tokens import encoder, public_path
 
-CHUNK, OVERLAP = 16_384, 512
+CHUNK, OVERLAP = 65_536, 1_024
 
 
 def _count(batches, name, chunk, overlap):
     enc = encoder(public_path(name))
     for batch in batches:
-        ids, texts = batch.column("doc_id"), batch.column("text")
         n = []
-        for i in range(0, len(texts), 512):
-            for t in texts.slice(i, 512).to_pylist():
-                t = t or ""
-                n.append(len(enc.resync(t, chunk, overlap)) if len(t) > chunk else enc.piece_count(t))
-        yield pa.RecordBatch.from_arrays([ids, batch.column("n_bytes"), pa.array(n, pa.int64())],
+        for part in text_slices(batch):
+            some = [t or "" for t in part.column("text").to_pylist()]
+            short = iter(enc.batch([t for t in some if len(t) <= chunk]))
+            n += [len(next(short)) if len(t) <= chunk else len(enc.resync(t, chunk, overlap)) for t in some]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64())],
                                          names=["doc_id", "n_bytes", "n_tokens"])
 
 

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import stage, text_slices
 from .tokens import encoder, public_path
 
 BLOCK_IDS, SEGMENT_IDS, END_ID = 65_536, 1 << 20, 0
@@ -66,6 +66,7 @@ def _encode(batches, name, bits, block_ids, segment_ids, arrow_kind):
     enc, pack = encoder(public_path(name)), zstandard.ZstdCompressor(level=3)
     shard, seq, first = TaskContext.get().partitionId(), 0, 0
     docs, parts, held = [], [], 0
+    end = np.uint32(END_ID)
 
     def segment():
         nonlocal seq, first, docs, parts, held
@@ -87,14 +88,12 @@ def _encode(batches, name, bits, block_ids, segment_ids, arrow_kind):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
     for batch in batches:
-        for i in range(0, batch.num_rows, 256):
-            some = batch.slice(i, 256)
-            for doc, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-                ids = enc.piece_ids(text or "")
-                ids.append(END_ID)
+        for some in text_slices(batch):
+            made = enc.batch([t or "" for t in some.column("text").to_pylist()])
+            for doc, ids in zip(some.column("doc_id").to_pylist(), made):
                 docs.append(doc)
-                parts.append(np.array(ids, np.uint32))
-                held += len(ids)
+                parts.append(np.append(ids, end))
+                held += len(parts[-1])
                 if held >= segment_ids:
                     yield segment()
     if docs:

@@ -8,9 +8,9 @@ Encoding the parts between hard boundaries therefore gives exactly the ids of
 the whole text; the tests hold this against whole-text encoding.
 
 Two uses:
-* ``piece_ids`` / ``piece_count``: a text is cut at every hard boundary and
-  the parts are looked up in a bounded memo, so the library encodes each
-  frequent part once per worker.
+* ``batch``: texts are cut at every hard boundary and the distinct parts looked
+  up in a bounded memo, so the library encodes each frequent part once per
+  worker.
 * ``resync``: a huge text is encoded in overlapping chunks with offsets.  Two
   neighbours are spliced at a hard boundary inside their overlap, after the
   tokens between the first and the last such boundary were seen to be equal in
@@ -21,20 +21,50 @@ Two uses:
 from __future__ import annotations
 
 import bisect
+import json
 import os
 import re
 from functools import lru_cache
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Unicode White_Space, the class both tokenizers' patterns call white space.
 SPACE = " \t\n\r\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 HARD = re.compile(f"(?<=[^{SPACE}])(?=[{SPACE}])")
-MEMO_PARTS = 200_000  # parts remembered per worker; the memo is emptied when full
-MEMO_CHARS = 64       # longer parts are encoded each time
+# A white-space character before a plain space: such a space starts no part of its own.
+GLUED = [chr(c) + " " for c in range(0x3001) if re.match(f"[{SPACE}]", chr(c))]
+MEMO_PARTS = 1_500_000  # parts remembered per worker; the memo is emptied when full
+MEMO_BYTES = 128 << 20  # and so are their names and ids above this size
+# What may follow a space as one part that needs no look inside: for the byte-level pattern a word of
+# Latin-1 letters and the ASCII signs after it (two pre-tokens), else anything without white space.
+SIMPLE = r"^(?P<a>[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)(?P<b>[!-&(-/:-@\[-`{-~]*)$"
+WHOLE = f"^(?P<a>[^{SPACE}]+)(?P<b>)$"
+
+
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+def ragged(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions of the slices ``at[i]:at[i] + size[i]``, one after another."""
+    end = np.cumsum(size)
+    where = np.repeat(at - (end - size), size)
+    where += np.arange(len(where))
+    return where
 
 
 class Encoder:
-    """One tokenizer of the ``tokenizers`` library with a bounded memo of parts."""
+    """One tokenizer of the ``tokenizers`` library with a bounded memo of parts.
+
+    For the plain byte-level pre-tokenizer, words of Latin letters go to the
+    library's model without running the pre-tokenizer on each of them."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -45,41 +75,97 @@ class Encoder:
         for t in self.tok.get_added_tokens_decoder().values():
             if t.lstrip or t.rstrip or t.single_word or re.search(rf"\s|[{SPACE}]", t.content):
                 raise ValueError(f"special string {t.content!r} could cross a hard boundary")
-        self.memo: dict[str, list[int]] = {}
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        cut = made["pre_tokenizer"] or {}
+        bytewise = (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex", True)) == ("ByteLevel", False, True)
+        self.letters = byte_letters() if bytewise and not made["normalizer"] else None
+        self.model = Tokenizer(self.tok.model) if self.letters else None
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}                     # part -> its number
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0  # ids of all parts
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.held = 0                                           # characters of all parts
 
     def whole(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, parts: list[str]) -> list[list[int]]:
-        memo = self.memo
-        new = [p for p in dict.fromkeys(parts) if p not in memo]
-        if len(memo) + len(new) > MEMO_PARTS:
-            memo.clear()
-            new = list(dict.fromkeys(parts))
-        extra = {}
-        for i in range(0, len(new), 4096):
-            some = new[i:i + 4096]
-            for p, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
-                (memo if len(p) <= MEMO_CHARS else extra)[p] = e.ids
-        return [memo[p] if p in memo else extra[p] for p in parts]
+    def numbers(self, parts: list[str], simple: bool = False) -> np.ndarray:
+        """Numbers of parts; unknown ones are encoded.  ``simple`` ones are single pre-tokens of Latin letters or signs."""
+        number = self.number
+        new = [p for p in dict.fromkeys(parts) if p not in number]
+        if new:
+            tok, raw = self.tok, new
+            if simple and self.model:
+                tok, raw = self.model, [p.encode().decode("latin-1").translate(self.letters) for p in new]
+            made = []
+            for i in range(0, len(raw), 4096):
+                made += [e.ids for e in tok.encode_batch_fast(raw[i:i + 4096], add_special_tokens=False)]
+            size = np.fromiter(map(len, made), np.int64, len(made))
+            total = self.used + int(size.sum())
+            if total > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros(total, np.uint32)])
+            self.flat[self.used:total] = np.fromiter(chain.from_iterable(made), np.uint32, total - self.used)
+            self.at = np.concatenate([self.at, self.used + np.cumsum(size) - size])
+            self.size, self.used = np.concatenate([self.size, size]), total
+            self.held += sum(map(len, new))
+            number.update(zip(new, range(len(number), len(number) + len(new))))
+        return np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
+
+    def batch(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text (unsigned 32-bit).
+
+        Texts are split at spaces and their words numbered by Arrow; the
+        distinct words are cut into parts, and the ids gathered by number."""
+        glued = [any(map(t.__contains__, GLUED)) for t in texts]
+        if any(glued):  # white space before a plain space: cut part by part
+            made = iter(self._batch([t for t, g in zip(texts, glued) if not g]))
+            return [self._by_parts(t) if g else next(made) for t, g in zip(texts, glued)]
+        return self._batch(texts)
+
+    def _batch(self, texts: list[str]) -> list[np.ndarray]:
+        if not texts:
+            return []
+        if len(self.number) > MEMO_PARTS or self.held + 4 * self.used > MEMO_BYTES:
+            self.forget()
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        first = lists.offsets.to_numpy()
+        words = lists.values.dictionary_encode()
+        distinct = words.dictionary
+        cut = pc.extract_regex(distinct, SIMPLE if self.model else WHOLE)
+        odd = cut.is_null().to_numpy(zero_copy_only=False)
+        both = cut.filter(pa.array(~odd))
+        letters, signs = (pc.struct_field(both, k).dictionary_encode() for k in "ab")
+        a = self.numbers([" " + x for x in letters.dictionary.to_pylist()], True)[letters.indices.to_numpy()]
+        b = self.numbers(signs.dictionary.to_pylist(), True)[signs.indices.to_numpy()]
+        heads = lists.values.take(pa.array(first[:-1])).to_pylist()
+        rest = [PIECES.findall(" " + w) for w in distinct.filter(pa.array(odd)).to_pylist()] + list(map(PIECES.findall, heads))
+        # every distinct word, then every first word, as a row of part numbers
+        odd = np.append(odd, np.ones(len(heads), bool))
+        n = np.full(len(odd), 2, np.int64)
+        n[odd] = list(map(len, rest))
+        start = np.cumsum(n) - n
+        parts = np.zeros(int(n.sum()), np.int64)
+        parts[start[~odd]], parts[start[~odd] + 1] = a, b
+        parts[ragged(start[odd], n[odd])] = self.numbers([p for row in rest for p in row])
+        ids = self.flat[ragged(self.at[parts], self.size[parts])]
+        sums = np.append(0, np.cumsum(self.size[parts]))
+        size = sums[start + n] - sums[start]
+        # the texts as numbers of such rows
+        row = words.indices.to_numpy().astype(np.int64)
+        row[first[:-1]] = np.arange(len(distinct), len(odd))
+        out = ids[ragged((np.cumsum(size) - size)[row], size[row])]
+        end = np.append(0, np.cumsum(size[row]))[first]
+        return [out[i:j] for i, j in zip(end[:-1].tolist(), end[1:].tolist())]
+
+    def _by_parts(self, text: str) -> np.ndarray:
+        parts = self.numbers(PIECES.findall(text))
+        return self.flat[ragged(self.at[parts], self.size[parts])]
 
     def piece_ids(self, text: str) -> list[int]:
-        parts, memo, out = PIECES.findall(text), self.memo, []
-        try:
-            for p in parts:
-                out += memo[p]
-            return out
-        except KeyError:
-            return [i for ids in self._learn(parts) for i in ids]
-
-    def piece_count(self, text: str) -> int:
-        parts, memo, n = PIECES.findall(text), self.memo, 0
-        try:
-            for p in parts:
-                n += len(memo[p])
-            return n
-        except KeyError:
-            return sum(map(len, self._learn(parts)))
+        return self.batch([text])[0].tolist()
 
     def _span(self, text: str, a: int, b: int) -> tuple[list[int], list[int], list[int]]:
         e = self.tok.encode(text[a:b], add_special_tokens=False)
