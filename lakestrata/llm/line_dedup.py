@@ -7,7 +7,8 @@ nearby lines only, so they move along when lines are inserted elsewhere.  A
 chunk counts if it has two lines with words, or ``LONG_WORDS`` words.
 
 Chunks are keyed by 128 bits of hash and counted over the whole corpus.  For
-keys that occur twice or more the chunk bytes are compared: per key the
+keys that occur twice or more the chunk bytes are fetched (a bitmap of fixed
+size keeps most other chunks out of that shuffle) and compared: per key the
 smallest and the largest content are aggregated (partially in every task, and
 by salted key after the shuffle, so a chunk that is everywhere is never
 gathered); equal ones prove all copies equal.  A key with differing contents
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 from functools import partial
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 from .common import row_key, stage
 
 WINDOW, DIVISOR, LONG_WORDS, SALTS = 2, 2, 50, 32
+BITMAP_BITS = 25  # 4 MB
 _MULTIPLIER, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 KEY = ["k1", "k2"]
 
@@ -67,8 +70,10 @@ def chunks(text: str | None, window: int = WINDOW, divisor: int = DIVISOR) -> li
     return out
 
 
-def _chunk_rows(batches, content):
+def _chunk_rows(batches, wanted):
+    """Keys and places of the chunks that count; with ``wanted`` (a bitmap of keys) only those in it, with content."""
     from xxhash import xxh3_128_intdigest
+    content, bitmap = wanted is not None, wanted.value if wanted is not None else b""
     sign = lambda v: v - (1 << 64) if v >> 63 else v
     for batch in batches:
         for i in range(0, batch.num_rows, 512):
@@ -80,6 +85,9 @@ def _chunk_rows(batches, content):
                     if counts:
                         whole = b"\n".join(lines[a:b])
                         digest = xxh3_128_intdigest(whole)
+                        bit = digest >> 64 & (1 << BITMAP_BITS) - 1
+                        if content and not bitmap[bit >> 3] >> (bit & 7) & 1:
+                            continue
                         rows.append(r)
                         k1.append(sign(digest >> 64))
                         k2.append(sign(digest & _MASK))
@@ -97,27 +105,40 @@ def _chunk_rows(batches, content):
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
 
-def _occurrences(docs: DataFrame, content: bool) -> DataFrame:
+def _occurrences(docs: DataFrame, wanted=None) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (f"doc_id {kind}, row_hash long, chunk int, first_line int, n_lines int, k1 long, k2 long"
-              + (", content binary" if content else ""))
-    return docs.mapInArrow(partial(_chunk_rows, content=content), schema)
+              + (", content binary" if wanted is not None else ""))
+    return docs.mapInArrow(partial(_chunk_rows, wanted=wanted), schema)
+
+
+def _bitmap(keys: DataFrame):
+    """Broadcast bitmap of fixed size with a bit for every key of ``keys``: it only spares the shuffle of chunks
+    that cannot be repeated, the join after it decides."""
+    bit = F.col("k1").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    words = keys.groupBy(F.shiftright(bit, 5).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(31)).cast("int"))).alias("bits"))
+    made = np.zeros(1 << BITMAP_BITS - 5, "<u4")
+    got = words.toArrow()  # at most 2^(BITMAP_BITS - 5) rows, whatever the number of keys
+    made[got["word"].to_numpy()] = got["bits"].to_numpy()
+    return keys.sparkSession.sparkContext.broadcast(made.tobytes())
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """Every copy to remove: doc_id, row_hash, chunk, first_line, n_lines and ``first`` (the copy that stays)."""
     src = docs.select("doc_id", "text", row_key(["text"]).alias("row_hash"))
-    found = stage(_occurrences(src, False), "chunks")
+    found = stage(_occurrences(src), "chunks")
     twice = stage(found.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*KEY), "repeated")
     salt = F.pmod(F.xxhash64("doc_id", "row_hash", "chunk"), F.lit(SALTS)).alias("salt")
     salted = twice.select(*KEY, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
-    copies = _occurrences(src, True).select("*", salt).join(salted, [*KEY, "salt"], "left_semi")
+    copies = stage(_occurrences(src, _bitmap(twice)).select("*", salt).join(salted.hint("merge"), [*KEY, "salt"], "left_semi"),
+                   "copies")
     ends = [F.min("lo").alias("lo"), F.max("hi").alias("hi")]
     compared = (copies.groupBy(*KEY, "salt").agg(F.min("content").alias("lo"), F.max("content").alias("hi"))
                 .groupBy(*KEY).agg(*ends))
     verdict = stage(compared.select(*KEY, (F.col("lo") == F.col("hi")).alias("equal")), "compared")
     mixed = copies.join(verdict.where(~F.col("equal")).select(*KEY), KEY, "left_semi").drop("salt")
-    members = (found.join(verdict.where("equal").select(*KEY), KEY, "left_semi")
+    members = (found.join(verdict.where("equal").select(*KEY).hint("merge"), KEY, "left_semi")
                .withColumn("content", F.lit("").cast("binary")).unionByName(mixed))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_hash", "chunk")
     first = members.groupBy(*KEY, "content").agg(F.min(place).alias("first"))
@@ -150,7 +171,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     src = docs.select("doc_id", "text", row_key(["text"]).alias("row_hash")).alias("d")
     cond = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.row_hash") == F.col("g.row_hash"))
     span = "array<struct<first_line:int,n_lines:int>>"
-    both = src.join(gone.alias("g"), cond, "left").select(
+    # one plan at every size: the removals grow with the corpus
+    both = src.join(gone.hint("merge").alias("g"), cond, "left").select(
         "d.doc_id", "d.text", F.coalesce("g.removed", F.array().cast(span)).alias("removed"),
         F.coalesce("g.kept_in", F.array().cast(f"array<{kind}>")).alias("kept_in"))
     return both.mapInArrow(_rebuild, f"doc_id {kind}, n_lines int, removed {span}, kept_in array<{kind}>, text string")
