@@ -16,8 +16,8 @@ from .operators import quality
 from .operators.aggregate import latest_per_key
 from .operators.nested import flatten_listing, to_listing_message
 from .plans import clicks, listings
-from .schemas import ODS_KEYS
-from .session import scratch_path
+from .schemas import ODS_KEYS, ODS_LISTING_COLUMNS
+from .session import scratch_path, write_staged
 from .sinks.files import compact, overwrite_partitions
 from .streaming import jobs
 from .streaming.sinks import append_stream, dedupe_stream, upsert_stream
@@ -25,6 +25,9 @@ from .streaming.sources import read_click_stream, read_listing_stream
 
 AVAILABLE_NOW = {"availableNow": True}
 ORDER = ["event_time", "trace_id"]
+# Rows that tie on ORDER are told apart by their other columns, as the SQL twin does
+# (the library's own tie-break is a hash, which SQL cannot repeat).
+TOTAL_ORDER = ORDER + [c for c in ODS_LISTING_COLUMNS if c not in (*ORDER, *ODS_KEYS, "etl_time")]
 
 
 def _catalog():
@@ -37,11 +40,21 @@ def read_back(spark, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
+_TOPICS: dict = {}
+
+
 # ------------------------------------------------------------ data quality --
 
-def defective_listing(spark, sf) -> DataFrame:
-    """Listing rows with contract defects derived from the keys."""
-    src = fixtures.listing(spark, sf)
+def defective_listing(spark, sf, bad_counts: bool = False) -> DataFrame:
+    """Listing rows with contract defects derived from the keys; ``bad_counts`` also makes some
+    room counts text that is no number (then the column is a string)."""
+    key = (spark.sparkContext.applicationId, sf, "defective", bad_counts)
+    if key not in _TOPICS:  # scraped rows arrive as a written table
+        _TOPICS[key] = write_staged(_defects(fixtures.listing(spark, sf), bad_counts), "scraped-listings")
+    return _TOPICS[key]
+
+
+def _defects(src: DataFrame, bad_counts: bool) -> DataFrame:
     hid, up = F.col("house_id"), F.col("unit_price")
     return (src
             .withColumn("community", F.when(hid.endswith("-6") & (up % 3 == 0), F.lit(None))
@@ -49,22 +62,27 @@ def defective_listing(spark, sf) -> DataFrame:
             .withColumn("house_url", F.when(hid.endswith("-7") & (up % 2 == 0), F.lit(" "))
                         .otherwise(F.col("house_url")))
             .withColumn("total_price", F.when(hid.endswith("-1") & (up % 7 == 0), F.lit(None))
-                        .otherwise(F.col("total_price"))))
+                        .otherwise(F.col("total_price")))
+            .withColumn("source", F.when(hid.endswith("-5") & (up % 5 == 0), F.lit(None))
+                        .otherwise(F.col("source")))
+            .withColumn("room_num", F.when(hid.endswith("-4") & (up % 4 == 0), F.lit("n/a"))
+                        .otherwise(F.col("room_num").cast("string")) if bad_counts else F.col("room_num")))
 
 
 def q_validate_valid(spark, sf):
-    valid, _ = quality.validate(defective_listing(spark, sf))
+    valid, _ = quality.validate(defective_listing(spark, sf, True))
     return valid.select("trace_id", "house_id", "city", "community", "house_url", "total_price")
 
 
 def q_validate_rejected(spark, sf):
-    _, rejected = quality.validate(defective_listing(spark, sf))
+    _, rejected = quality.validate(defective_listing(spark, sf, True))
     return rejected.select("trace_id", "house_id", "reasons")
 
 
 def first_seen(spark, sf) -> DataFrame:
-    valid, _ = quality.validate(defective_listing(spark, sf))
-    return quality.dedupe_first(valid, "house_id", ORDER)
+    valid, _ = quality.validate(defective_listing(spark, sf, True))
+    order = ORDER + [c for c in valid.columns if c not in (*ORDER, "house_id")]
+    return quality.dedupe_first(valid, "house_id", order, total_order=False)
 
 
 def q_dedupe_first_seen(spark, sf):
@@ -78,7 +96,7 @@ def q_skip_delivered(spark, sf):
 
 
 def q_upsert_latest_per_key(spark, sf):
-    return latest_per_key(_catalog().ods(spark, sf), list(ODS_KEYS), ORDER)
+    return latest_per_key(_catalog().ods(spark, sf), list(ODS_KEYS), TOTAL_ORDER, total_order=False)
 
 
 # ------------------------------------------------------------------- sinks --
@@ -99,23 +117,20 @@ def q_compact_roundtrip(spark, sf):
     """Write the click ODS as many small files per day, compact, read back."""
     ods = clicks.click_ods(_catalog().click_src(spark, sf))
     path = scratch_path(spark, "ods_user_behavior")
-    overwrite_partitions(ods.repartition(16), path, by="dt")
+    ods.repartition(16).write.partitionBy("dt").parquet(path)
     compact(spark, path, "dt")
     return read_back(spark, path, ods)
 
 
 # --------------------------------------------------------------- streaming --
 
-_TOPICS: dict = {}
-
-
-def _topic(spark, sf, name: str, build, files: int | None = None, by: str | None = None) -> str:
+def _topic(spark, sf, name: str, build) -> str:
     """JSON-lines "topic" folder written by Spark from the driver tables, once
     per application and scale directory (a topic outlives its consumers;
     every stream query still reads it from the start with a fresh checkpoint)."""
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _TOPICS:
-        _TOPICS[key] = jobs.stage_json(build(), scratch_path(spark, name), files, by)
+        _TOPICS[key] = fixtures.stage_json(build(), scratch_path(spark, name))
     return _TOPICS[key]
 
 
@@ -165,10 +180,9 @@ def q_stream_behavior_funnel(spark, sf):
 
 
 def _listing_stream(spark, sf, files: int | None = None):
-    staged = _topic(spark, sf, f"listing-topic-{files or 1}",
-                    lambda: to_listing_message(fixtures.listing(spark, sf)), files,
-                    "header.event_time" if files else None)
-    return read_listing_stream(spark, source="text", path=staged, max_files=1 if files else None)
+    staged = _topic(spark, sf, f"listing-topic-{bool(files)}",
+                    lambda: to_listing_message(fixtures.listing(spark, sf)))
+    return read_listing_stream(spark, source="text", path=staged, max_files=files)
 
 
 def q_stream_dedupe_first(spark, sf):
@@ -179,10 +193,10 @@ def q_stream_dedupe_first(spark, sf):
 
 
 def q_stream_upsert_latest(spark, sf):
-    """Three micro-batches (one staged file each) upserted on (house_id, city)."""
-    flat = flatten_listing(_listing_stream(spark, sf, files=3), with_etl_time=False)
+    """Micro-batches of up to four topic files upserted on (house_id, city), key-bucketed."""
+    flat = flatten_listing(_listing_stream(spark, sf, files=4), with_etl_time=False)
     out, ck = scratch_path(spark, "ods_ershoufang"), scratch_path(spark, "ckpt")
-    _run(upsert_stream(flat, out, list(ODS_KEYS), ORDER, ck, ("city",), AVAILABLE_NOW))
+    _run(upsert_stream(flat, out, list(ODS_KEYS), TOTAL_ORDER, ck, ("city",), AVAILABLE_NOW))
     return read_back(spark, out, flat)
 
 

@@ -46,7 +46,7 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--out", required=True, help="root folder of the lake tables")
         else:
             s.add_argument("--target", required=True, help="ODS table folder")
-            s.add_argument("--buckets", type=int, default=None,
+            s.add_argument("--buckets", type=int, default=16,
                            help="hash buckets of the key per city partition")
 
     c = sub.add_parser("compact", help="rewrite a partitioned folder into ~target-size files")

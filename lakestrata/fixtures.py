@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -69,19 +70,9 @@ SELECT CAST(p_partkey AS STRING) AS category_id, p_brand AS category_name FROM {
 """
 
 
-# Fact tables that drive each mapping (the probe side of its joins); their
-# scans get the parallelism guard.  Build sides are left as scanned.
-LARGE = ("lineitem", "events")
-
-
 def _spark_refs(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> dict:
     """Bind the SQL placeholders to DataFrames (``spark.sql(text, **frames)``)."""
-    from .sources.batch import ensure_parallelism
-    refs = {}
-    for t in names:
-        df = table(spark, sf_dir, t)
-        refs[t] = ensure_parallelism(df, key=_path(sf_dir, t)) if t in LARGE else df
-    return refs
+    return {t: table(spark, sf_dir, t) for t in names}
 
 
 def _oracle_refs() -> dict[str, str]:
@@ -116,3 +107,10 @@ def oracle_views() -> dict[str, str]:
     refs = _oracle_refs()
     return {"listing": LISTING_SQL.format(**refs), "click": CLICK_SQL.format(**refs),
             "dim": DIM_SQL.format(**refs)}
+
+
+def stage_json(df: DataFrame, path: str) -> str:
+    """A file-fed topic: rows as JSON lines, one message per line."""
+    value = F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value")
+    df.select(value).write.mode("overwrite").text(path)
+    return path

@@ -152,11 +152,6 @@ def pct(n, total, scale: int = 2) -> Column:
     return F.round(ratio, scale).cast("double")
 
 
-def count_if_equals(col, value) -> Column:
-    """``SUM(CASE WHEN col = value THEN 1 ELSE 0 END)`` as BIGINT (AGG-6)."""
-    return F.sum(F.when(_c(col) == F.lit(value), F.lit(1)).otherwise(F.lit(0))).cast("long")
-
-
 def ts_in_range(col, lo: int = K.TS_MIN, hi: int = K.TS_MAX) -> Column:
     """Integer-parsable and inside ``[lo, hi]`` (FIL-10)."""
     v = _c(col).try_cast("long")

@@ -39,7 +39,7 @@ def price_stats(accuracy: int = K.MEDIAN_ACCURACY, count_name: str = "house_coun
         F.avg("total_price").alias("avg_total_price"),
         approx_median("total_price", accuracy).alias("median_total_price"),
         F.avg("unit_price").alias("avg_unit_price"),
-        approx_median("unit_price", accuracy).alias("median_unit_price"),
+        approx_median("unit_price", accuracy).cast("double").alias("median_unit_price"),
         F.avg("area_sqm").alias("avg_area_sqm"),
     ]
 
@@ -99,17 +99,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
 
     ``row_number() = 1`` per key: Catalyst runs it as a WindowGroupLimit on
     both sides of the shuffle, so each task forwards at most one row per key
-    and a hot key costs no more than a cold one.  With ``total_order`` the
-    remaining columns (in column order, NULL lowest) break ties, so the pick
-    is deterministic even when ``order_cols`` tie.
+    and a hot key costs no more than a cold one.  With ``total_order`` one
+    64-bit hash of the remaining columns breaks ties, so the pick is
+    deterministic even when ``order_cols`` tie, and the sort stays narrow.
     """
-    cols = df.columns
-    by = list(order_cols)
+    order = [F.col(c).asc() if earliest else F.col(c).desc() for c in order_cols]
     if total_order:
-        orderable = {f.name for f in df.schema.fields
-                     if not isinstance(f.dataType, (T.MapType,))}
-        by += [c for c in cols if c not in by and c not in keys and c in orderable]
-    order = [F.col(c).asc() if earliest else F.col(c).desc() for c in by]
+        rest = [F.col(f"`{f.name}`") for f in df.schema.fields
+                if f.name not in order_cols and f.name not in keys and not isinstance(f.dataType, T.MapType)]
+        order += [F.xxhash64(*rest).desc()] if rest else []
     return top_n_per_group(df, keys, order, 1, rank_col=None)
 
 

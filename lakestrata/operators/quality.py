@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from .aggregate import latest_per_key
 
-# Contract of the listing producer (field names follow the stream schema).
-REQUIRED_STRINGS = ("house_id", "house_url", "city", "district", "community")
+# Contract of the listing producer (field names follow the stream schema).
+# Required strings may be empty but not absent; counts and years may be absent but, if given, are integers.
+REQUIRED_STRINGS = ("source", "house_id", "house_url", "city", "district", "community")
 REQUIRED_NUMBERS = ("total_price", "unit_price", "area_sqm")
+OPTIONAL_INTEGERS = ("event_time", "room_num", "hall_num", "bathroom_num", "floor_total", "build_year")
 COUNT_DEFAULTS = {"room_num": 0, "hall_num": 0, "bathroom_num": 0, "floor_total": 0}
 CONTRACT_TYPES = {"total_price": "double", "unit_price": "double", "area_sqm": "double",
                   "room_num": "int", "hall_num": "int", "bathroom_num": "int",
@@ -20,15 +22,16 @@ CONTRACT_TYPES = {"total_price": "double", "unit_price": "double", "area_sqm": "
 
 
 def rejection_reasons(required_strings: Sequence[str] = REQUIRED_STRINGS,
-                      required_numbers: Sequence[str] = REQUIRED_NUMBERS):
+                      required_numbers: Sequence[str] = REQUIRED_NUMBERS,
+                      optional_integers: Sequence[str] = OPTIONAL_INTEGERS):
     """``array<string>`` of failed rules for the current row (empty when valid)."""
-    checks = []
-    for c in required_strings:
-        checks.append(F.when(F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == ""),
-                             F.lit(f"missing:{c}")))
+    checks = [F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in required_strings]
     for c in required_numbers:
         checks.append(F.when(F.col(c).cast("string").try_cast("double").isNull(),
                              F.lit(f"not_numeric:{c}")))
+    for c in optional_integers:
+        checks.append(F.when(F.col(c).isNotNull() & F.col(c).cast("string").try_cast("long").isNull(),
+                             F.lit(f"not_integer:{c}")))
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 
 
@@ -37,9 +40,11 @@ def validate(df: DataFrame, required_strings: Sequence[str] = REQUIRED_STRINGS,
              reasons_col: str = "reasons") -> tuple[DataFrame, DataFrame]:
     """Split into (valid rows, rejected rows + ``reasons``) (DQ-1).
 
-    Both outputs come from one projection; nothing is collected.
+    Both outputs come from one projection; nothing is collected.  Optional
+    integers are checked where the frame has them.
     """
-    tagged = df.withColumn(reasons_col, rejection_reasons(required_strings, required_numbers))
+    given = [c for c in OPTIONAL_INTEGERS if c in df.columns]
+    tagged = df.withColumn(reasons_col, rejection_reasons(required_strings, required_numbers, given))
     valid = tagged.where(F.size(reasons_col) == 0).drop(reasons_col)
     rejected = tagged.where(F.size(reasons_col) > 0)
     return valid, rejected
@@ -65,16 +70,17 @@ def apply_contract(df: DataFrame, types: Mapping[str, str] = CONTRACT_TYPES,
     return out
 
 
-def dedupe_first(df: DataFrame, key: Sequence[str] | str, order_cols: Sequence[str]) -> DataFrame:
+def dedupe_first(df: DataFrame, key: Sequence[str] | str, order_cols: Sequence[str],
+                 total_order: bool = True) -> DataFrame:
     """First-write-wins: keep the earliest row per key (DQ-2, batch form)."""
     keys = [key] if isinstance(key, str) else list(key)
-    return latest_per_key(df, keys, order_cols, earliest=True)
+    return latest_per_key(df, keys, order_cols, earliest=True, total_order=total_order)
 
 
 def anti_delivered(df: DataFrame, delivered: DataFrame, key: Sequence[str] | str) -> DataFrame:
     """Drop rows whose key was delivered by an earlier run (DQ-3, JOIN-5)."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.join(delivered.select(*keys).distinct(), keys, "left_anti")
+    return df.join(delivered.select(*keys), keys, "left_anti")
 
 
 def city_blacklist(df: DataFrame, cities: Sequence[str] = K.CITY_BLACKLIST,

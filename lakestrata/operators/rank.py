@@ -8,10 +8,13 @@ WindowGroupLimit on both sides of the shuffle, so each task forwards at most
 in any of several orderings is within a cutoff, without sorting a whole
 partition group in one task:
 
-1. candidates = union of the top-``cutoff`` rows of each ordering (group-limited);
-2. per group, the sorted candidate sort-keys form a small array (<= cutoff x orderings);
-3. every row counts how many candidates sort at or before it (one pass,
-   array filter in codegen) and rows are histogrammed by that count;
+1. candidates = union of the top-``cutoff`` rows of each ordering (group-limited),
+   written once;
+2. per group, the sorted candidate sort-keys form a small array per ordering
+   (<= cutoff x orderings);
+3. in one pass every row counts, per ordering, how many candidates sort at or
+   before it (an interpreted array filter), and rows are histogrammed by
+   (ordering, count);
 4. candidate j's row number is 1 + the number of rows whose count is < j,
    read off the small per-group histogram array (no join of pairs).
 
@@ -22,12 +25,13 @@ Sort keys are null-free structs that encode the SQL null ordering
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import cut_lineage, write_staged
 
 OrderSpec = Sequence[tuple[str, bool]]  # (column, ascending)
 
@@ -69,64 +73,55 @@ def _sort_key(df: DataFrame, spec: OrderSpec) -> Column:
 
 def ranks_with_cutoff(df: DataFrame, partition_cols: Sequence[str],
                       rankings: Mapping[str, OrderSpec], cutoff: int,
-                      materialize_input: bool = True,
-                      max_broadcast_keys: int = 2_000_000) -> DataFrame:
+                      materialize_input: bool = True) -> DataFrame:
     """Rows ranked within ``cutoff`` by at least one ordering, with all their ranks.
 
     Equivalent to computing ``row_number() OVER (PARTITION BY p ORDER BY spec)``
     for every ranking and keeping rows where any rank <= cutoff.  Each spec
     must end in columns that make the order total (tie-breakers).
 
-    The input is read by several branches that each prune different columns,
-    so it is checkpointed once (reliably, into the shared checkpoint folder)
-    unless ``materialize_input=False`` (pass an already-written table).
+    The input is read twice (candidates, then one pass that places every row
+    among them in all orderings), so it is checkpointed once (reliably, into
+    the shared checkpoint folder) unless ``materialize_input=False`` (pass an
+    already-written table).  The candidates, at most cutoff x orderings per
+    group, are written once too; their joins are left to the planner, which
+    then knows their size.
     """
     if materialize_input:
         df = cut_lineage(df)
-    names = list(rankings)
-    keyed = df
-    for name in names:
-        keyed = keyed.withColumn(f"__k_{name}", _sort_key(df, rankings[name]))
-    part = list(partition_cols)
-
-    cands = None
-    for name in names:
-        top = top_n_per_group(keyed, part, _orderings(rankings[name]), cutoff, rank_col=None)
-        cands = top if cands is None else cands.unionByName(top)
-    first = f"__k_{names[0]}"
-    cands = cands.dropDuplicates(part + [first])
-    # The per-group candidate arrays are joined to every row.  They hold at
-    # most cutoff x orderings keys per group; broadcast them when the number
-    # of groups keeps that under ``max_broadcast_keys`` (checked by counting the
-    # groups of the checkpointed input), otherwise leave the join to AQE.
-    n_groups = df.select(*part).distinct().count()
-    small = n_groups * cutoff * len(names) <= max_broadcast_keys
-
-    out = cands
-    hp = [f"__h_{p}" for p in part]
-    for name in names:
-        k = f"__k_{name}"
-        ap = [f"__a_{p}" for p in part]
-        arr = cands.groupBy(*[F.col(p).alias(a) for p, a in zip(part, ap)]).agg(
-            F.array_sort(F.collect_list(k)).alias("__cands"))
-        if small:
-            arr = F.broadcast(arr)
-        # NULL is a group of its own in PARTITION BY, so join null-safely
-        on_arr = [F.col(p).eqNullSafe(F.col(a)) for p, a in zip(part, ap)]
-        # how many candidates sort at or before each row
-        le = F.size(F.filter("__cands", lambda c: c <= F.col(k)))
-        hist = (keyed.join(arr, on_arr).select(*part, le.alias("__le"))
-                .groupBy(*part, "__le").agg(F.count(F.lit(1)).alias("__cnt"))
-                .select(*[F.col(p).alias(h) for p, h in zip(part, hp)], "__le", "__cnt"))
-        pos = cands.join(arr, on_arr).select(*part, F.col(first).alias("__id"), le.alias("__j"))
-        # per group, the (count-before, rows) histogram has <= cutoff x orderings + 1
-        # entries; candidate j's rank is 1 + the rows whose count is below j
-        hist_arr = hist.groupBy(*hp).agg(F.collect_list(F.struct("__le", "__cnt")).alias("__h"))
-        below = F.aggregate(F.filter("__h", lambda h: h["__le"] < F.col("__j")),
-                            F.lit(0).cast("long"), lambda acc, h: acc + h["__cnt"])
-        ranks = (pos.join(hist_arr, [F.col(p).eqNullSafe(F.col(h)) for p, h in zip(part, hp)])
-                 .select(*[F.col(h) for h in hp], "__id", (below + 1).cast("int").alias(name)))
-        on = [F.col(p).eqNullSafe(F.col(h)) for p, h in zip(part, hp)]
-        on.append(F.col(first) == F.col("__id"))
-        out = out.join(ranks, on, "inner").drop("__id", *hp)
-    return out.drop(*[f"__k_{n}" for n in names])
+    names, part = list(rankings), list(partition_cols)
+    keys = {name: f"__k_{name}" for name in names}
+    keyed = df.select("*", *[_sort_key(df, rankings[n]).alias(k) for n, k in keys.items()])
+    first = keys[names[0]]
+    tops = [top_n_per_group(keyed, part, _orderings(rankings[n]), cutoff, rank_col=None) for n in names]
+    cands = write_staged(reduce(DataFrame.unionByName, tops).dropDuplicates(part + [first]), "rank-candidates")
+
+    # NULL is a group of its own in PARTITION BY, so groups are joined null-safely
+    def by_group(side: DataFrame, *aggs: Column) -> tuple[DataFrame, list[Column]]:
+        own = [f"__g_{p}" for p in part]
+        made = side.groupBy(*[F.col(p).alias(o) for p, o in zip(part, own)]).agg(*aggs)
+        return made, [F.col(p).eqNullSafe(F.col(o)) for p, o in zip(part, own)]
+
+    arrays, same = by_group(cands, *[F.array_sort(F.collect_list(k)).alias(f"__a{i}")
+                                     for i, k in enumerate(keys.values())])
+    # per ordering: how many candidates sort at or before the row
+    place = [_count_at_or_before(f"__a{i}", k) for i, k in enumerate(keys.values())]
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("o"), p.alias("le")) for i, p in enumerate(place)]))
+    hist = (keyed.select(*part, *keys.values()).join(arrays, same).select(*part, each.alias("__p"))
+            .groupBy(*part, "__p").agg(F.count(F.lit(1)).alias("__n")))
+    counts, _ = by_group(hist, F.collect_list(F.struct("__p.o", "__p.le", F.col("__n").alias("n"))).alias("__h"))
+    counts = counts.select(*[F.col(f"__g_{p}").alias(f"__c_{p}") for p in part], "__h")
+    same_counts = [F.col(p).eqNullSafe(F.col(f"__c_{p}")) for p in part]
+    placed = cands.join(arrays, same).select(*cands.columns, *[p.alias(f"__j{i}") for i, p in enumerate(place)])
+    ranks = [_rows_before(i).alias(n) for i, n in enumerate(names)]
+    return placed.join(counts, same_counts).select(*[F.col(f"`{c}`") for c in df.columns], *ranks)
+
+
+def _count_at_or_before(array: str, key: str) -> Column:
+    return F.size(F.filter(array, lambda c: c <= F.col(key)))
+
+
+def _rows_before(i: int) -> Column:
+    """1 + the rows of ordering ``i`` with fewer candidates at or before them than the candidate has."""
+    below = F.filter("__h", lambda h: (h["o"] == i) & (h["le"] < F.col(f"__j{i}")))
+    return (F.aggregate(below, F.lit(0).cast("long"), lambda n, h: n + h["n"]) + 1).cast("int")

@@ -64,7 +64,7 @@ def _stats(count_name: str = "house_count") -> str:
         _r("avg(total_price)", "avg_total_price"),
         _r("quantile_disc(total_price, 0.5)", "median_total_price"),
         _r("avg(unit_price)", "avg_unit_price"),
-        "quantile_disc(unit_price, 0.5) AS median_unit_price",
+        "CAST(quantile_disc(unit_price, 0.5) AS DOUBLE) AS median_unit_price",
         _r("avg(area_sqm)", "avg_area_sqm")])
 
 
@@ -116,33 +116,28 @@ def _hot_tags(group: str) -> str:
    WHERE tag IS NOT NULL AND tag != '' GROUP BY {group}, tag)) WHERE rn <= 5 GROUP BY {group})"""
 
 
-def _join_on(a: str, b: str, keys: list[str], null_safe: bool = False) -> str:
-    op = "IS NOT DISTINCT FROM" if null_safe else "="
-    return " AND ".join(f"{a}.{k} {op} {b}.{k}" for k in keys)
+def _counts(key: str, where: str) -> str:
+    """Sorted ``k:v`` text of a group's value counts, '' without any."""
+    entries = f"list_sort(map_entries(histogram({key}) FILTER (WHERE {key} IS NOT NULL AND {where})))"
+    return f"coalesce(array_to_string([e.key || ':' || CAST(e.value AS VARCHAR) FOR e IN {entries}], ','), '')"
 
 
 def _community_daily(null_safe: bool) -> str:
+    """One grouped pass for numbers and room types; hot tags joined on the key list.  Plain joins never
+    match a NULL key, so such groups have no map and no tags unless ``null_safe``."""
     keys = ["city", "district", "neighborhood", "community", "ds"]
     g = ", ".join(keys)
-    base = f"""(SELECT {g}, COUNT(*) AS house_count, avg(total_price) AS avg_total_price,
- quantile_disc(total_price, 0.5) AS median_total_price, min(total_price) AS min_total_price,
- max(total_price) AS max_total_price, avg(unit_price) AS avg_unit_price,
- quantile_disc(unit_price, 0.5) AS median_unit_price, avg(area_sqm) AS avg_area_sqm,
- avg(attention_count) AS avg_attention_count, avg(visit_30_days) AS avg_visit_30_days
- FROM dwd GROUP BY {g})"""
-    rooms = f"(SELECT {g}, {ROOM_TYPE} AS room_type FROM dwd WHERE {HAS_ROOM})"
-    return _with("dwd") + f"""SELECT ba.ds, ba.city, ba.district, ba.neighborhood, ba.community,
- ba.house_count, {_r('ba.avg_total_price', 'avg_total_price')},
- {_r('ba.median_total_price', 'median_total_price')}, {_r('ba.min_total_price', 'min_total_price')},
- {_r('ba.max_total_price', 'max_total_price')}, {_r('ba.avg_unit_price', 'avg_unit_price')},
- ba.median_unit_price, {_r('ba.avg_area_sqm', 'avg_area_sqm')},
- COALESCE(rm.room_type_distribution, '') AS room_type_distribution,
- {_r('ba.avg_attention_count', 'avg_attention_count')},
- {_r('ba.avg_visit_30_days', 'avg_visit_30_days')}, COALESCE(ht.hot_tags, '') AS hot_tags
-FROM {base} ba
-LEFT JOIN {_map_string(rooms, g, 'room_type', 'room_type_distribution')} rm
- ON {_join_on('ba', 'rm', keys, null_safe)}
-LEFT JOIN {_hot_tags(g)} ht ON {_join_on('ba', 'ht', keys, null_safe)}"""
+    known = "true" if null_safe else " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    numbers = ", ".join(_r(f"{fn}({c})", f"{fn}_{c}") for c, fn in (
+        ("total_price", "avg"), ("total_price", "min"), ("total_price", "max"), ("unit_price", "avg"),
+        ("area_sqm", "avg"), ("attention_count", "avg"), ("visit_30_days", "avg")))
+    return _with("dwd") + f"""SELECT stat.*, CASE WHEN {known} THEN coalesce(hot_tags, '') ELSE '' END AS hot_tags
+FROM (SELECT {g}, COUNT(*) AS house_count, {numbers}, {_r('quantile_disc(total_price, 0.5)', 'median_total_price')},
+ CAST(quantile_disc(unit_price, 0.5) AS DOUBLE) AS median_unit_price,
+ CASE WHEN {known} THEN {_counts(ROOM_TYPE, HAS_ROOM)} ELSE '' END AS room_type_distribution
+ FROM dwd GROUP BY {g}) stat
+LEFT JOIN (SELECT {", ".join(f"{k} AS t_{k}" for k in keys)}, hot_tags FROM {_hot_tags(g)}) tag
+ ON {" AND ".join(f"{k} IS NOT DISTINCT FROM t_{k}" for k in keys)}"""
 
 
 def _ranked_hot(order: str) -> str:
@@ -243,7 +238,7 @@ WHERE ds >= '20240103' GROUP BY ds, orientation""",
 
     "approx_median": _with("dwd") + f"""SELECT ds, city,
  {_r('quantile_disc(total_price, 0.5)', 'median_total_price')},
- quantile_disc(unit_price, 0.5) AS median_unit_price,
+ CAST(quantile_disc(unit_price, 0.5) AS DOUBLE) AS median_unit_price,
  {_r('quantile_disc(area_sqm, 0.5)', 'median_area_sqm')} FROM dwd GROUP BY ds, city""",
 
     "orientation_daily": _with("dwd") + f"SELECT ds, orientation, {_stats()} FROM dwd GROUP BY ds, orientation",
@@ -251,19 +246,11 @@ WHERE ds >= '20240103' GROUP BY ds, orientation""",
     "build_year_segment_daily": _with("dwd") + f"""SELECT ds, {YEAR_CASE} AS segment, {_stats()}
 FROM dwd WHERE build_year IS NOT NULL GROUP BY ds, segment""",
 
-    "price_range_distribution": _with("dwd") + f"""SELECT rs.ds, rs.price_range, rs.house_count,
- {_pct('rs.house_count', 'tp.total_count')} AS percentage,
- {_r('rs.avg_area_sqm', 'avg_area_sqm')}, {_r('rs.avg_build_year', 'avg_build_year')},
- {_r('rs.avg_total_price', 'avg_total_price')}, {_r('rs.avg_unit_price', 'avg_unit_price')}
-FROM (SELECT ds, price_range, COUNT(*) AS house_count, avg(area_sqm) AS avg_area_sqm,
-  avg(build_year) AS avg_build_year, avg(total_price) AS avg_total_price,
-  avg(unit_price) AS avg_unit_price
-  FROM (SELECT *, {PRICE_CASE} AS price_range FROM dwd WHERE total_price IS NOT NULL AND total_price > 0)
-  GROUP BY ds, price_range) rs
-JOIN (SELECT ds, CAST(SUM(house_count) AS BIGINT) AS total_count FROM (
-  SELECT ds, price_range, COUNT(*) AS house_count FROM (SELECT *, {PRICE_CASE} AS price_range
-   FROM dwd WHERE total_price IS NOT NULL AND total_price > 0) GROUP BY ds, price_range)
-  GROUP BY ds) tp ON rs.ds = tp.ds""",
+    "price_range_distribution": _with("dwd") + f"""SELECT *,
+ {_pct('house_count', 'CAST(SUM(house_count) OVER (PARTITION BY ds) AS BIGINT)')} AS percentage
+FROM (SELECT ds, {PRICE_CASE} AS price_range, COUNT(*) AS house_count, {_r('avg(area_sqm)', 'avg_area_sqm')},
+ {_r('avg(build_year)', 'avg_build_year')}, {_r('avg(total_price)', 'avg_total_price')},
+ {_r('avg(unit_price)', 'avg_unit_price')} FROM dwd WHERE total_price > 0 GROUP BY 1, 2)""",
 
     "room_type_distribution": _with("dwd") + "SELECT * FROM " + _map_string(
         f"(SELECT ds, city, {ROOM_TYPE} AS room_type FROM dwd WHERE {HAS_ROOM})", "ds, city",
@@ -279,17 +266,9 @@ JOIN (SELECT ds, CAST(SUM(house_count) AS BIGINT) AS total_count FROM (
     "community_daily": _community_daily(False),
     "community_daily_null_safe": _community_daily(True),
 
-    "city_overview_daily": _with("dwd") + f"""SELECT ca.ds, ca.city, ca.total_house_count,
- ca.avg_total_price, ca.median_total_price, ca.avg_unit_price, ca.median_unit_price,
- ca.avg_area_sqm, COALESCE(rm.room_type_distribution, '') AS room_type_distribution,
- COALESCE(dm.decoration_distribution, '') AS decoration_distribution
-FROM (SELECT ds, city, {_stats('total_house_count')} FROM dwd WHERE {HAS_ROOM} GROUP BY ds, city) ca
-LEFT JOIN {_map_string(f"(SELECT ds, city, {ROOM_TYPE} AS room_type FROM dwd WHERE {HAS_ROOM})",
-                       "ds, city", "room_type", "room_type_distribution")} rm
- ON ca.ds = rm.ds AND ca.city = rm.city
-LEFT JOIN {_map_string(f"(SELECT ds, city, decoration FROM dwd WHERE {HAS_ROOM})", "ds, city",
-                       "decoration", "decoration_distribution")} dm
- ON ca.ds = dm.ds AND ca.city = dm.city""",
+    "city_overview_daily": _with("dwd") + f"""SELECT ds, city, {_stats('total_house_count')},
+ {_counts(ROOM_TYPE, HAS_ROOM)} AS room_type_distribution, {_counts('decoration', HAS_ROOM)} AS decoration_distribution
+FROM dwd WHERE {HAS_ROOM} GROUP BY ds, city""",
 
     "hot_communities": _with("dwd") + f"""SELECT ds, {COMMUNITY}, house_count,
  {_r('avg_total_price', 'avg_total_price')}, {_r('avg_unit_price', 'avg_unit_price')},
@@ -383,7 +362,5 @@ GROUP BY 1, 2""",
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import oracle_more
-    out = dict(SQL)
-    out.update(oracle_more.SQL)
-    return out
+    from . import oracle_more, oracle_tables
+    return SQL | oracle_more.SQL | oracle_tables.SQL

@@ -5,6 +5,8 @@ from __future__ import annotations
 from .oracle import (CATEGORY_METRICS, FUNNEL, HAS_ROOM, _ods_select, _r, _stats, _with)
 
 DEFECTIVE = """SELECT trace_id, house_id, city, district, event_time, unit_price, area_sqm,
+ CASE WHEN house_id LIKE '%-5' AND unit_price % 5 = 0 THEN NULL ELSE source END AS source,
+ CASE WHEN house_id LIKE '%-4' AND unit_price % 4 = 0 THEN 'n/a' ELSE CAST(room_num AS VARCHAR) END AS room_num,
  CASE WHEN house_id LIKE '%-6' AND unit_price % 3 = 0 THEN NULL ELSE community END AS community,
  CASE WHEN house_id LIKE '%-7' AND unit_price % 2 = 0 THEN ' ' ELSE house_url END AS house_url,
  CASE WHEN house_id LIKE '%-1' AND unit_price % 7 = 0 THEN NULL ELSE total_price END AS total_price
@@ -12,16 +14,22 @@ FROM listing"""
 
 
 def _missing(c: str) -> str:
-    return f"CASE WHEN {c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '' THEN 'missing:{c}' END"
+    return f"CASE WHEN {c} IS NULL THEN 'missing:{c}' END"
 
 
 def _not_numeric(c: str) -> str:
     return f"CASE WHEN TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE) IS NULL THEN 'not_numeric:{c}' END"
 
 
-REASONS = "concat_ws('|', " + ", ".join(
-    [_missing(c) for c in ("house_id", "house_url", "city", "district", "community")]
-    + [_not_numeric(c) for c in ("total_price", "unit_price", "area_sqm")]) + ")"
+def _not_integer(c: str) -> str:
+    return f"CASE WHEN {c} IS NOT NULL AND TRY_CAST({c} AS BIGINT) IS NULL THEN 'not_integer:{c}' END"
+
+
+RULES = ([_missing(c) for c in ("source", "house_id", "house_url", "city", "district", "community")]
+         + [_not_numeric(c) for c in ("total_price", "unit_price", "area_sqm")])
+# messages are typed, so a count that is no number arrives as NULL there
+MESSAGE_REASONS = "concat_ws('|', " + ", ".join(RULES) + ")"
+REASONS = "concat_ws('|', " + ", ".join([*RULES, _not_integer("room_num")]) + ")"
 
 CHECKED = f"checked AS (SELECT *, {REASONS} AS reasons FROM ({DEFECTIVE}))"
 VALID = "valid AS (SELECT * FROM checked WHERE reasons = '')"

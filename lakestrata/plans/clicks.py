@@ -86,9 +86,8 @@ def behavior_funnel_windows(src: DataFrame, window: str = K.WINDOW_SIZE) -> Data
 def view_category_metrics(metrics: DataFrame, dim: DataFrame) -> DataFrame:
     """All-time totals per category name; categories without a name drop out (WH-13, JOIN-4).
 
-    The dimension is small but its size is not assumed: pass it through
-    ``sources.batch.bounded_broadcast`` to broadcast it behind a row check;
-    otherwise AQE turns the join into a broadcast once it has measured it.
+    The size of the dimension is not assumed: AQE turns the join into a
+    broadcast once it has measured it.
     """
     joined = metrics.join(dim, "category_id", "inner")
     return joined.groupBy("category_name").agg(

@@ -21,7 +21,7 @@ from ..operators.rank import ranks_with_cutoff, top_n_per_group
 from ..schemas import (ADS_CITY_OVERVIEW_COLUMNS, ADS_HOT_COMMUNITIES_COLUMNS,
                        ADS_PRICE_RANGE_COLUMNS, ADS_TOP_HOUSES_COLUMNS, COMMUNITY_KEYS,
                        DWD_COLUMNS, DWS_BUILD_YEAR_COLUMNS, DWS_COMMUNITY_COLUMNS,
-                       DWS_HOUSE_TYPE_COLUMNS, DWS_ORIENTATION_COLUMNS)
+                       DWS_HOUSE_TYPE_COLUMNS, DWS_ORIENTATION_COLUMNS, TABLES, conform)
 
 ROOM_PARTS = ("room_num", "hall_num", "bathroom_num")
 
@@ -85,7 +85,7 @@ def community_daily(dwd: DataFrame, accuracy: int = K.MEDIAN_ACCURACY,
         F.min("total_price").alias("min_total_price"),
         F.max("total_price").alias("max_total_price"),
         F.avg("unit_price").alias("avg_unit_price"),
-        approx_median("unit_price", accuracy).alias("median_unit_price"),
+        approx_median("unit_price", accuracy).cast("double").alias("median_unit_price"),
         F.avg("area_sqm").alias("avg_area_sqm"),
         F.avg("attention_count").alias("avg_attention_count"),
         F.avg("visit_30_days").alias("avg_visit_30_days"))
@@ -218,7 +218,8 @@ def run_daily(ods: DataFrame, out_root: str, tz: str | None = None,
               until: str | None = None, concurrency: int = 1) -> dict[str, str]:
     """Run the whole daily warehouse: write DWD, then the eight loads from it.
 
-    The DWD is written as a ``ds``-partitioned table and read back, which
+    ``out_root`` is a folder, or the name of a catalog database whose tables
+    are created as declared.  The DWD is written as a ``ds``-partitioned table and read back, which
     cuts the lineage and lets every load prune partitions by ``since/until``.
     Each write replaces only the partitions present in its result.  The
     eight loads only read the DWD, so with ``concurrency > 1`` they are
@@ -227,20 +228,32 @@ def run_daily(ods: DataFrame, out_root: str, tz: str | None = None,
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    from ..sinks.files import overwrite_partitions
+    from ..sinks.files import is_table, overwrite_partitions
+    from ..sources.batch import ensure_table
     spark = ods.sparkSession
-    paths = {"dwd_ershoufang_fact": f"{out_root}/dwd_ershoufang_fact"}
+    into_catalog = is_table(out_root)
+
+    def target(name: str) -> str:
+        return f"{out_root}.{name}" if into_catalog else f"{out_root}/{name}"
+
+    if into_catalog:
+        for name in ("dwd_ershoufang_fact", *DAILY_LOADS):
+            ensure_table(spark, target(name), TABLES[name], ["ds"])
+    paths = {"dwd_ershoufang_fact": target("dwd_ershoufang_fact")}
     dwd_new = since_until(listing_fact(ods, blacklist, tz), since, until)
+    dwd_new = conform(dwd_new, TABLES["dwd_ershoufang_fact"])
     overwrite_partitions(dwd_new, paths["dwd_ershoufang_fact"], by="ds")
-    dwd = spark.read.schema(dwd_new.schema).parquet(paths["dwd_ershoufang_fact"])
+    dwd = (spark.table(paths["dwd_ershoufang_fact"]) if into_catalog else
+           spark.read.schema(dwd_new.schema).parquet(paths["dwd_ershoufang_fact"]))
 
     def load(item):
         name, build = item
         spark.sparkContext.setJobDescription(f"daily load {name}")
-        overwrite_partitions(build(dwd, since=since, until=until), f"{out_root}/{name}", by="ds")
+        rows = conform(build(dwd, since=since, until=until), TABLES[name])
+        overwrite_partitions(rows, target(name), by="ds")
         return name
 
     with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
         for name in pool.map(load, DAILY_LOADS.items()):
-            paths[name] = f"{out_root}/{name}"
+            paths[name] = target(name)
     return paths

@@ -87,6 +87,43 @@ BEHAVIOR_FUNNEL_COLUMNS = ("win_start", "win_end", "behavior", "step_name", "tri
 DIM_CATEGORY = _struct(("category_id", S), ("category_name", S))
 
 
+# Declared column types of the tables; a column not named here is a string.
+_DOUBLES = ("total_price", "area_sqm", "floor_ratio", "percentage", "avg_total_price", "median_total_price",
+            "min_total_price", "max_total_price", "avg_unit_price", "median_unit_price", "avg_area_sqm",
+            "avg_build_year", "avg_attention_count", "avg_visit_30_days", "avg_attention", "avg_visit_30")
+_BIGINTS = ("house_count", "total_house_count", "total_attention", "total_visit_30", "ts", "pv_cnt", "cart_cnt",
+            "fav_cnt", "buy_cnt", "trigger_cnt")
+_INTS = ("unit_price", "room_num", "hall_num", "bathroom_num", "floor_total", "build_year", "attention_count",
+         "visit_30_days", "rank", "rank_by_attention", "rank_by_visit")
+_OTHERS = {"tags": T.ArrayType(S), "hot_tags": T.ArrayType(S), "dt": T.DateType(), "ts_ltz": T.TimestampNTZType(),
+           "win_start": T.TimestampNTZType(), "win_end": T.TimestampNTZType(), "etl_time": T.TimestampType(),
+           "room_type_distribution": T.MapType(S, L), "decoration_distribution": T.MapType(S, L)}
+_TYPES = {**dict.fromkeys(_DOUBLES, D), **dict.fromkeys(_BIGINTS, L), **dict.fromkeys(_INTS, I), **_OTHERS}
+
+
+def _typed(columns, **other) -> T.StructType:
+    return _struct(*[(c, {**_TYPES, **other}.get(c, S)) for c in columns])
+
+
+# Every table the pipelines write, as declared; rows are conformed to it before a write.
+TABLES: dict[str, T.StructType] = {
+    "ods_ershoufang": _typed(ODS_LISTING_COLUMNS, event_time=L),
+    "dwd_ershoufang_fact": _typed(DWD_COLUMNS, event_time=L),
+    "dws_community_daily": _typed(DWS_COMMUNITY_COLUMNS, room_type_distribution=T.MapType(S, I)),
+    "dws_house_type_daily": _typed(DWS_HOUSE_TYPE_COLUMNS),
+    "dws_orientation_daily": _typed(DWS_ORIENTATION_COLUMNS),
+    "dws_build_year_segment_daily": _typed(DWS_BUILD_YEAR_COLUMNS),
+    "ads_city_overview_daily": _typed(ADS_CITY_OVERVIEW_COLUMNS),
+    "ads_price_range_distribution_daily": _typed(ADS_PRICE_RANGE_COLUMNS),
+    "ads_hot_communities_daily": _typed(ADS_HOT_COMMUNITIES_COLUMNS),
+    "ads_top10_attention_houses_daily": _typed(ADS_TOP_HOUSES_COLUMNS),
+    "ods_user_behavior": _typed(CLICK_ODS_COLUMNS),
+    "dwd_user_behavior": _typed(CLICK_DWD_COLUMNS),
+    "dws_category_metrics": _typed(CATEGORY_METRICS_COLUMNS),
+    "dws_behavior_funnel": _typed(BEHAVIOR_FUNNEL_COLUMNS),
+}
+
+
 def conform(df, target) -> "DataFrame":  # noqa: F821
     """Select and cast ``df`` to a target schema *by name* (PRJ-16, SNK-2).
 

@@ -2,8 +2,8 @@
 
 Everything that must survive an executor loss (stream checkpoints, staging
 copies for rewrites, cut lineage) lives under the folder the cluster names in
-``spark.checkpoint.dir``.  Only when that setting is absent (local tests) is a
-private folder created.
+``spark.checkpoint.dir``.  Only on a local master (tests) a private
+folder is created when that setting is absent; on a cluster it must be set.
 """
 
 from __future__ import annotations
@@ -67,6 +67,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     spark.sparkContext.setCheckpointDir(root)
@@ -83,3 +85,10 @@ def cut_lineage(df):
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
+
+def write_staged(df, name: str):
+    """Write ``df`` to the shared folder and return the written table, whose size the planner knows."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -32,13 +33,24 @@ def overwrite_partitions(df: DataFrame, target: str, by: Sequence[str] | str | N
     """
     if columns is not None:
         df = df.select(*columns)
-    if "/" not in target and "://" not in target:
-        spark = df.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        table_cols = spark.table(target).columns
-        df.select(*table_cols).write.insertInto(target, overwrite=True)
+    if is_table(target):
+        df = clustered(df.select(*df.sparkSession.table(target).columns), by)
+        df.write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
         return
-    _writer(df, by, max_records).parquet(target)
+    _writer(clustered(df, by), by, max_records).parquet(target)
+
+
+def is_table(target: str) -> bool:
+    """A catalog name (``table``, ``db.table``, ``catalog.db.table``) rather than a folder."""
+    return re.fullmatch(r"\w+(\.\w+){0,2}", target) is not None
+
+
+def clustered(df: DataFrame, by: Sequence[str] | str | None) -> DataFrame:
+    """Rows of a table partition brought together before the write (``REBALANCE``): one file per
+    partition up to the advisory size, and a large partition split over several tasks.  Without
+    adaptive execution, and in streams, rows are written where they are."""
+    cols = [by] if isinstance(by, str) else list(by or ())
+    return df.hint("rebalance", *cols) if cols and not df.isStreaming else df
 
 
 def clear_folder(spark, path: str, schema) -> None:
@@ -60,29 +72,42 @@ def compact(spark, path: str, partition_cols: Sequence[str] | str,
             target_bytes: int = K.TARGET_FILE_BYTES) -> int:
     """Rewrite a partitioned Parquet folder into files of ~``target_bytes`` (SNK-7).
 
-    File sizes come from the file listing (``data_files``).  Each partition
-    gets ``ceil(bytes / target)`` output files; rows are spread over them by a
-    hash salt so one large partition is written by many tasks.  The result
-    is staged in the shared checkpoint folder and then swapped in with a
-    dynamic overwrite, so the job never reads the files it replaces.
-    Returns the number of output files planned.
+    Partition values are read as the strings they are in the folder names
+    (``007`` stays ``007``), so every folder is replaced by itself; columns of
+    any type, maps included, are carried through.  All partition columns of the
+    folder are kept, also those not named in ``partition_cols`` (a stream's
+    ``batch_id``), so the layout its writer uses stays valid.  Rows are
+    rebalanced on the partition columns with the advisory size set to the
+    target, then staged in the shared folder and swapped in with a dynamic
+    overwrite, so the job never reads the files it replaces.  Returns the
+    number of files the staged copy has.
     """
-    parts = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
-    src = spark.read.parquet(path)
-    sizes = (data_files(spark, path).groupBy(*parts).agg(F.sum("length").alias("__bytes"))
-             .withColumn("__files", F.greatest(F.lit(1), F.ceil(F.col("__bytes") / target_bytes))
-                         .cast("int")))
-    total_files = sizes.agg(F.sum("__files")).first()[0] or 1
-    data_cols = [c for c in src.columns if c not in parts]
-    # one row per table partition: bounded by the partition count, not by data
-    salted = (src.join(F.broadcast(sizes.select(*parts, "__files")), parts, "inner")
-              .withColumn("__salt", F.pmod(F.xxhash64(*data_cols), F.col("__files"))))
-    staged = scratch_path(spark, "compact-staging")
-    (salted.repartition(int(total_files), *parts, "__salt").drop("__files", "__salt")
-     .write.mode("overwrite").option("compression", "zstd").partitionBy(*parts).parquet(staged))
-    overwrite_partitions(spark.read.schema(src.schema).parquet(staged), path, by=parts)
-    clear_folder(spark, staged, src.schema)
-    return int(total_files)
+    named = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
+    types, advisory = "spark.sql.sources.partitionColumnTypeInference.enabled", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = {k: spark.conf.get(k) for k in (types, advisory)}
+    try:
+        spark.conf.set(types, "false")
+        spark.conf.set(advisory, str(target_bytes))
+        src = spark.read.parquet(path)
+        folders = [k for k in partition_folders(spark, path) if k in src.columns]
+        parts = folders + [c for c in named if c not in folders]
+        staged = scratch_path(spark, "compact-staging")
+        _writer(clustered(src, parts), parts).parquet(staged)
+        files = file_count(spark, staged)
+        copy = spark.read.schema(src.schema).parquet(staged)
+        _writer(clustered(copy, parts), parts).parquet(path)
+        clear_folder(spark, staged, src.schema)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return files
+
+
+def partition_folders(spark, path: str) -> list[str]:
+    """Partition columns of a folder, outermost first, from the names of its files."""
+    one = data_files(spark, path).select("path").first()
+    inner = one["path"].split(path.rstrip("/").split("://")[-1].split(":")[-1], 1)[-1] if one else ""
+    return [p.split("=", 1)[0] for p in inner.split("/")[:-1] if "=" in p]
 
 
 def file_count(spark, path: str) -> int:
@@ -116,8 +141,8 @@ def publish_events(df: DataFrame, key: str = "user_id", fmt: str = "json",
         to_message(df, key).write.format("kafka").options(**(options or {})).save()
         return
     order = [key] + ([order_col] if order_col else [])
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    out = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    spread = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    out = spread.sortWithinPartitions(*order)
     out.write.mode("overwrite").json(path)
 
 

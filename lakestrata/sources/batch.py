@@ -45,8 +45,8 @@ def load_dimension(df: DataFrame, key: str, value: str, check_unique: bool = Tru
                    ) -> DataFrame:
     """Static dimension with a string key that must be unique (SRC-5, conflict C7).
 
-    The uniqueness check is a distributed aggregate that stops at the first
-    duplicate key; nothing is collected.
+    The uniqueness check is one distributed aggregate at load time; nothing
+    but the verdict is collected.
     """
     dim = df.select(F.col(key).cast("string").alias(key), F.col(value).cast("string").alias(value))
     if check_unique:
@@ -81,38 +81,3 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
     props = {"compression": "zstd", **(properties or {})}
     sql += " TBLPROPERTIES (" + ", ".join(f"'{k}'='{v}'" for k, v in props.items()) + ")"
     spark.sql(sql)
-
-
-_SPLITS: dict = {}
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
-                       key: str | None = None) -> DataFrame:
-    """Spread an under-split scan over the cluster.
-
-    A scan with fewer splits than the default parallelism (one unsplittable
-    file or one row group) would run every pipelined operator after it in a
-    handful of tasks; such a scan is hash-partitioned on all its columns:
-    balanced (unless whole-row duplicates dominate), deterministic on retry,
-    and without the local sort a round-robin repartition needs for that.
-    On a large input the scan already has thousands of splits and this is a
-    no-op.
-    Counting splits is planning only (no job); with ``key`` (e.g. the input
-    path) the count is remembered for the application.
-    """
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    memo = (sc.applicationId, key) if key else None
-    n = _SPLITS.get(memo) if memo else None
-    if n is None:
-        n = df.rdd.getNumPartitions()
-        if memo:
-            _SPLITS[memo] = n
-    return df.repartition(target, *[F.col(f"`{c}`") for c in df.columns]) if n < target else df
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (checked by a
-    LIMIT count); otherwise return it unchanged for a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

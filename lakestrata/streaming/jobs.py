@@ -10,15 +10,17 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import constants as K
 from ..operators.nested import flatten_listing
-from ..operators.quality import validate
+from ..operators.quality import anti_delivered, dedupe_first, validate
 from ..plans import clicks
 from ..schemas import ODS_KEYS
+from ..sinks.files import overwrite_partitions
 from .sinks import append_stream, batch_fanout, upsert_stream
 from .sources import with_event_watermark
 
@@ -65,19 +67,42 @@ def listing_ods_stream(nested: DataFrame) -> DataFrame:
     return valid
 
 
+def listing_ingest_stream(nested: DataFrame, topic: str, rejects: str, checkpoint: str,
+                          delivered: DataFrame | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Producer side of the listings: validate, keep the first message per house, skip houses delivered
+    before (by an earlier run, or by an earlier batch of this one), deliver; rejects go to their own
+    table with their reasons (DQ-1..3, STR-8).
+
+    Both tables are partitioned by ``batch_id`` and overwritten per batch, so a retried batch replaces
+    its own rows.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark, mark = batch.sparkSession, F.lit(batch_id).cast("long")
+        flat = flatten_listing(batch, with_etl_time=False).persist()
+        try:
+            valid, bad = validate(flat)
+            order = ["event_time", "trace_id"]
+            order += [c for c in valid.columns if c not in (*order, "house_id")]
+            first = dedupe_first(valid, "house_id", order, total_order=False)
+            if delivered is not None:
+                first = anti_delivered(first, delivered, "house_id")
+            try:
+                sent = spark.read.schema("house_id string, batch_id long").parquet(topic)
+                first = anti_delivered(first, sent.where(F.col("batch_id") != mark), "house_id")
+            except AnalysisException as e:  # nothing delivered yet
+                if "PATH_NOT_FOUND" not in str(e):
+                    raise
+            overwrite_partitions(first.withColumn("batch_id", mark), topic, by="batch_id")
+            overwrite_partitions(bad.withColumn("batch_id", mark), rejects, by="batch_id")
+        finally:
+            flat.unpersist()
+
+    w = nested.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "1 minute"})).start()
+
+
 def run_listing_pipeline(nested: DataFrame, target: str, checkpoint: str,
                          trigger: dict | None = None) -> StreamingQuery:
     """Listing stream -> ODS table, last write per (house_id, city) wins."""
     return upsert_stream(listing_ods_stream(nested), target, list(ODS_KEYS),
                          ["event_time", "trace_id"], checkpoint, ("city",), trigger)
-
-
-def stage_json(df: DataFrame, path: str, files: int | None = None,
-               by: str | None = None) -> str:
-    """Write rows as JSON lines (one message per line) for a file-fed stream;
-    ``files``/``by`` hash-partition the rows so each file holds whole keys."""
-    if files and by:
-        df = df.repartition(files, F.col(by))
-    value = F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value")
-    df.select(value).write.mode("overwrite").text(path)
-    return path

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.aggregate import latest_per_key
-from ..sinks.files import clear_folder, overwrite_partitions
+from ..sinks.files import clear_folder, is_table, overwrite_partitions
 
 
 def _trigger(writer, trigger: dict | None):
@@ -57,34 +57,53 @@ def upsert_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[st
     ``partition_by`` partitions.  The merged rows are first written to a
     staging folder (``_staging`` is hidden from readers of ``target``) and then
     swapped in with a dynamic partition overwrite, so the job never
-    overwrites the files it reads.  Replaying a batch yields the same rows
-    (latest-per-key is idempotent).
+    overwrites the files it reads.  A batch whose staged copy is complete is
+    resumed from it (a crash between delete and move cannot lose rows), and
+    replaying a finished batch yields the same rows (latest-per-key is
+    idempotent).
     """
     spark = batch.sparkSession
-    if "/" not in target and "://" not in target:
+    if is_table(target):
         merge_batch(batch, batch_id, target, keys, order_by)
         return
     parts = list(partition_by)
     if buckets:
         batch = with_key_bucket(batch, keys, buckets)
         parts.append(BUCKET_COL)
-    latest = latest_per_key(batch, keys, order_by)
-    # one staging folder per table: batches run one after another, a retried
-    # batch rewrites it, and it is emptied after every swap
-    staged = os.path.join(target, "_staging")
-    try:
-        existing = spark.read.schema(latest.schema).parquet(target)
-        touched = latest.select(*parts).distinct()
-        existing = existing.join(touched, parts, "left_semi")
-        merged = latest_per_key(existing.unionByName(latest), keys, order_by)
-    except AnalysisException as e:  # first batch: the table does not exist yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        merged = latest
-    merged.write.mode("overwrite").option("compression", "zstd").partitionBy(
-        *parts).parquet(staged)
-    overwrite_partitions(spark.read.schema(latest.schema).parquet(staged), target, by=parts)
-    clear_folder(spark, staged, latest.schema)
+    # one staging folder per table and batch; it is complete once its commit
+    # marker (_SUCCESS) is there, and then a retry only repeats the swap
+    staged = os.path.join(target, "_staging", f"batch-{batch_id}")
+    if not finished(spark, staged):
+        batch = batch.persist()
+        try:
+            latest = latest_per_key(batch, keys, order_by)
+            try:
+                existing = spark.read.schema(latest.schema).parquet(target)
+                side = latest.select(*[F.col(p).alias(f"__t_{p}") for p in parts]).distinct()
+                # null-safe: the rows of a NULL partition are replaced, so they must be merged too
+                touched = [F.col(p).eqNullSafe(F.col(f"__t_{p}")) for p in parts]
+                existing = existing.join(side, touched, "left_semi")
+                merged = latest_per_key(existing.unionByName(latest), keys, order_by)
+            except AnalysisException as e:  # first batch: the table does not exist yet
+                if "PATH_NOT_FOUND" not in str(e):
+                    raise
+                merged = latest
+            # a static overwrite: only that leaves the commit marker in the folder itself
+            (merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .option("compression", "zstd").partitionBy(*parts).parquet(staged))
+        finally:
+            batch.unpersist()
+    overwrite_partitions(spark.read.schema(batch.schema).parquet(staged), target, by=parts)
+    clear_folder(spark, staged, batch.schema)
+
+
+def finished(spark, folder: str) -> bool:
+    """Whether ``folder`` holds a committed write with rows in it (a swapped copy is emptied)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+        return False
+    return any(s.isDirectory() for s in fs.listStatus(path))
 
 
 def merge_batch(batch: DataFrame, batch_id: int, table: str, keys: Sequence[str],
@@ -118,7 +137,7 @@ def merge_batch(batch: DataFrame, batch_id: int, table: str, keys: Sequence[str]
 
 def upsert_stream(df: DataFrame, target: str, keys: Sequence[str], order_by: Sequence[str],
                   checkpoint: str, partition_by: Sequence[str] = ("city",),
-                  trigger: dict | None = None, buckets: int | None = None) -> StreamingQuery:
+                  trigger: dict | None = None, buckets: int | None = 16) -> StreamingQuery:
     """Keyed upsert of a stream into a partitioned table (SNK-4, STR-7).
 
     A catalog table name as ``target`` is merged with ``MERGE INTO`` (for

@@ -22,7 +22,7 @@ NOW = {"availableNow": True}
 
 def test_click_statement_set_four_sinks(spark):
     msgs = clicks.click_messages(fixtures.click(spark, SF0001))
-    staged = jobs.stage_json(msgs, scratch_path(spark, "topic"))
+    staged = fixtures.stage_json(msgs, scratch_path(spark, "topic"))
     out, ck = scratch_path(spark, "lake"), scratch_path(spark, "ck")
     src = read_click_stream(spark, "text", staged)
     for q in jobs.run_click_pipeline(src, out, ck, NOW):
@@ -39,7 +39,7 @@ def test_click_statement_set_four_sinks(spark):
 
 def test_listing_ingestion_upserts_valid_rows(spark):
     msgs = to_listing_message(fixtures.listing(spark, SF0001))
-    staged = jobs.stage_json(msgs, scratch_path(spark, "topic"), 2, "header.event_time")
+    staged = fixtures.stage_json(msgs.repartition(2, "header.event_time"), scratch_path(spark, "topic"))
     target, ck = scratch_path(spark, "ods"), scratch_path(spark, "ck")
     q = jobs.run_listing_pipeline(read_listing_stream(spark, "text", staged, max_files=1),
                                        target, ck, NOW)
@@ -147,7 +147,7 @@ def test_cli_jobs(spark, tmp_dir):
                  spark=spark)
     assert n >= 1 and spark.read.parquet(paths["dwd_ershoufang_fact"]).count() == \
         catalog.dwd(spark, SF0001).count()
-    topic = jobs.stage_json(clicks.click_messages(fixtures.click(spark, SF0001)),
+    topic = fixtures.stage_json(clicks.click_messages(fixtures.click(spark, SF0001)),
                             f"{tmp_dir}/topic")
     cli.main(["clicks", "--path", topic, "--out", f"{tmp_dir}/lake", "--available-now",
               "--checkpoint", f"{tmp_dir}/ck"], spark=spark)

@@ -82,17 +82,17 @@ def test_top_n_per_group(spark):
 
 
 def test_validate_and_first_seen_valid_after_invalid(spark):
-    cols = "house_id string, house_url string, city string, district string, community string, " \
+    cols = "source string, house_id string, house_url string, city string, district string, community string, " \
            "total_price double, unit_price double, area_sqm double, t int"
     df = spark.createDataFrame([
-        ("h1", "u", "c", "d", None, 1.0, 1.0, 1.0, 1),   # invalid: no community
-        ("h1", "u", "c", "d", "m", 1.0, 1.0, 1.0, 2),    # valid later copy
-        ("h2", " ", "c", "d", "m", None, 1.0, 1.0, 3),   # two reasons
+        ("s", "h1", "u", "c", "d", None, 1.0, 1.0, 1.0, 1),   # invalid: no community
+        ("s", "h1", "", "c", "d", "m", 1.0, 1.0, 1.0, 2),     # valid later copy (an empty string is allowed)
+        (None, "h2", "u", "c", "d", "m", None, 1.0, 1.0, 3),  # two reasons
     ], cols)
     valid, rejected = quality.validate(df)
     reasons = {r["house_id"] + str(r["t"]): r["reasons"] for r in rejected.collect()}
     assert reasons == {"h11": ["missing:community"],
-                       "h23": ["missing:house_url", "not_numeric:total_price"]}
+                       "h23": ["missing:source", "not_numeric:total_price"]}
     first = quality.dedupe_first(valid, "house_id", ["t"])
     assert rows(first, "house_id", "t") == [("h1", 2)]
 

@@ -69,3 +69,19 @@ def test_hot_ranks_do_not_join_pairs(spark):
     dwd = catalog.dwd_table(spark, SF0001).withColumn("ds", F.lit("20240101"))  # one hot day
     p = plan(listings.hot_communities(dwd))
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
+def test_scans_read_only_what_is_used_and_are_not_repartitioned(spark):
+    for key, most in (("ring_road", 5), ("category_window_metrics", 4)):
+        p = plan(catalog.RAW[key](spark, SF0001))
+        fact = "lineitem" if key == "ring_road" else "events"
+        scans = p.split("Location: InMemoryFileIndex")
+        read = [s.split("ReadSchema: struct<")[1].split(">")[0] for s in scans if f"{fact}.parquet" in s.split("ReadSchema")[0]]
+        assert read and all(r.count(":") <= most for r in read)
+        assert "REPARTITION_BY" not in p
+
+
+def test_ranks_with_cutoff_reads_its_input_twice(spark):
+    p = plan(listings.hot_communities(catalog.dwd_table(spark, SF0001)))
+    assert p.count("WindowGroupLimit") <= 4 and p.count("Scan ExistingRDD") <= 2
+

@@ -39,7 +39,7 @@ def _metrics(spark, src_dir, out, ck):
 
 def test_stream_equals_batch_on_closed_windows(spark):
     msgs = clicks.click_messages(fixtures.click(spark, SF0001))
-    staged = jobs.stage_json(msgs, scratch_path(spark, "topic"))
+    staged = fixtures.stage_json(msgs, scratch_path(spark, "topic"))
     out, ck = scratch_path(spark, "out"), scratch_path(spark, "ck")
     q = jobs.category_metrics_stream(read_click_stream(spark, "text", staged), out, ck, NOW)
     q.awaitTermination()
