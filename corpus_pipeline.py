@@ -37,13 +37,13 @@ def token_file(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_planes.read_documents(token_planes.write_token_file(docs))
 
 
-STAGES = [
+STAGES = [(name, common.with_package(step)) for name, step in (
     ("quality rules", quality),
     ("SimHash near-dedup", near_duplicates),
     ("benchmark decontamination", decontaminate),
     ("mixing sources to target weights", mix),
     ("token-ID / binary output", token_file),
-]
+)]
 
 # Fingerprints, robust covariances and tokenization have no SQL form.
 ORACLE_SQL = None

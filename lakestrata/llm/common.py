@@ -13,7 +13,11 @@ the folders once a job's outputs are written.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+import functools
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +25,32 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 _STAGED: dict[str, list[str]] = {}
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package (as ``--py-files`` does) unless it is on their path already."""
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root, app = os.path.dirname(package), spark.sparkContext.applicationId
+    if app in _SHIPPED or root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="lakestrata-py-"), "lakestrata.zip")  # read by the driver only
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), root))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
+def with_package(fn: Callable) -> Callable:
+    """``fn(spark, ...)``, with the package shipped first."""
+    @functools.wraps(fn)
+    def run(spark, *args):
+        ship_package(spark)
+        return fn(spark, *args)
+    return run
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:

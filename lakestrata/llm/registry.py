@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from . import (decontamination, line_dedup, mixing, pii, quality_classifier, quality_rules, simhash, token_counts,
                token_planes, toxicity)
+from .common import with_package
 
-QUERIES = {
+QUERIES = {k: with_package(q) for k, q in {
     "op1_simhash": simhash.query,
     "op2_line_dedup": line_dedup.query,
     "op3_toxicity": toxicity.query,
@@ -16,7 +17,7 @@ QUERIES = {
     "op8_source_mixing": mixing.query,
     "op9_token_counts": token_counts.query,
     "op10_quality_classifier": quality_classifier.query,
-}
+}.items()}
 
 ORACLES = {
     "op6_decontamination": decontamination.ORACLE,
