@@ -9,8 +9,8 @@ trained together by Adagrad in numpy, so a misspelling that was never seen
 still shares most n-gram vectors with the word it is made from.
 
 The class difference of the softmax is linear in the average, so scoring folds
-each subword's vector to one number; a worker remembers the sums of the words
-it has met (bounded) and a text costs one lookup per word.
+each subword's vector to one number; a worker remembers the sums of the
+strings it has met (bounded) and looks each up once per batch.
 
 Edge cases: a null or empty text scores by the bias alone; null ids count as
 the empty text for the fold and are never learnt from; labels other than 0 and
@@ -26,47 +26,51 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, text_slices
 from .training import SAMPLE_ROWS, labelled_sample, train_in_one_task
 
 BITS, DIM, GAIN = 17, 8, 30.0
 RATE, EPOCHS, BATCH = 0.1, 5, 16
 NEUTRAL, MIN_DOCS = 300, 5
+GRAMS = (3, 4, 5)
+_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 THRESHOLD = 0.7
-MEMO_WORDS, MEMO_CHARS = 300_000, 64
+MEMO_WORDS, MEMO_CHARS = 200_000, 64
 WORDS = re.compile(r"[^\W_]+(?:[^\w\s]+[^\W_]+)*")  # letters and digits, also with signs between them
 
 
-def subwords(word: str) -> list[int]:
-    """Hashed n-grams of a word and the word itself."""
-    w = f"<{word}>"
-    grams = {w, *(w[i:i + n] for n in (3, 4, 5) for i in range(len(w) - n + 1))}
-    return [zlib.crc32(g.encode()) & ((1 << BITS) - 1) for g in grams]
-
-
-def bag(text: str | None, known: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct subword numbers of a text and their shares of the average; ``known`` remembers words."""
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Subword numbers of many words (each word itself and its n-grams, in marks) and the word each belongs to."""
+    marked = [f"<{w}>" for w in words]
+    c = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    size = np.fromiter(map(len, marked), np.int64, len(marked))
+    word = np.repeat(np.arange(len(marked)), size)
+    at = np.arange(len(c)) - np.repeat(np.cumsum(size) - size, size)
+    power = np.cumprod(np.full(int(size.max(initial=0)) + 1, _BASE))
+    whole = np.add.reduceat(c * power[at], np.cumsum(size) - size) if len(marked) else np.zeros(0, np.uint64)
+    hashes, owners = [whole], [np.arange(len(marked))]
+    for n in GRAMS:
+        starts = np.flatnonzero(at + n <= size[word])
+        hashes.append(sum((c[starts + k] * power[k] for k in range(n)), np.zeros(len(starts), np.uint64)))
+        owners.append(word[starts])
+    salted = [(h + np.uint64(k)) * _MIX >> np.uint64(64 - BITS) for k, h in enumerate(hashes)]
+    return np.concatenate(salted).astype(np.int64), np.concatenate(owners)
+
+
+def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct subword numbers of a text and their shares of the average."""
     words: dict[str, int] = {}
     for w in WORDS.findall((text or "").lower()):
         words[w] = words.get(w, 0) + 1
-    ids, times = [], []
-    for w, n in words.items():
-        s = known.get(w)
-        if s is None:
-            s = subwords(w)
-            if len(known) >= MEMO_WORDS // 4:
-                known.clear()
-            known[w] = s
-        ids += s
-        times += [n] * len(s)
-    if not ids:
-        return np.zeros(0, np.int32), np.zeros(0, np.float32)
-    u, at = np.unique(np.array(ids, np.int32), return_inverse=True)
-    share = np.bincount(at, weights=times)
-    return u, (share / (share.sum() + NEUTRAL)).astype(np.float32)
+    ids, owner = subwords(list(words))
+    times = np.fromiter(words.values(), np.int64, len(words))[owner]
+    u, at = np.unique(ids, return_inverse=True)
+    share = np.bincount(at, weights=times, minlength=len(u))
+    return u.astype(np.int32), (share / (share.sum() + NEUTRAL)).astype(np.float32)
 
 
 def train_softmax(rows: list[dict]) -> tuple[np.ndarray, float]:
@@ -75,12 +79,14 @@ def train_softmax(rows: list[dict]) -> tuple[np.ndarray, float]:
     emb = rng.uniform(-1, 1, (1 << BITS, DIM)) / DIM
     out, bias = rng.normal(0, 0.5, (DIM, 2)), np.zeros(2)
     emb_sq, out_sq, bias_sq = np.full(1 << BITS, 1e-8), np.full((DIM, 2), 1e-8), np.full(2, 1e-8)
-    data = [(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["vals"], np.float32), r["label"]) for r in rows]
-    seen = np.zeros(1 << BITS, np.int64)
-    for ids, *_ in data:
-        seen[ids] += 1
+    seen, data = np.zeros(1 << BITS, np.int64), []
+    for r in rows:
+        seen[np.frombuffer(r["ids"], np.int32)] += 1
+    for i, r in enumerate(rows):
+        ids, x = np.frombuffer(r["ids"], np.int32), np.frombuffer(r["vals"], np.float32)
+        data.append((ids[seen[ids] >= MIN_DOCS], x[seen[ids] >= MIN_DOCS], r["label"]))
+        rows[i] = None  # the raw bytes are not needed any more
     emb[seen < MIN_DOCS] = 0
-    data = [(ids[k], x[k], y) for ids, x, y in data for k in [seen[ids] >= MIN_DOCS]]
     if not data:
         return np.zeros(1 << BITS, np.float32), 0.0
     for _ in range(EPOCHS):
@@ -108,9 +114,8 @@ def train_softmax(rows: list[dict]) -> tuple[np.ndarray, float]:
 
 
 def _bags(batches):
-    known: dict = {}
     for batch in batches:
-        made = [bag(t, known) for t in batch.column("text").to_pylist()]
+        made = [bag(t) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column("label"), pa.array([i.tobytes() for i, _ in made], pa.binary()),
              pa.array([v.tobytes() for _, v in made], pa.binary())], names=["label", "ids", "vals"])
@@ -123,37 +128,51 @@ def fit(docs: DataFrame, labels: DataFrame, allowed, rows: int = SAMPLE_ROWS) ->
 
 
 class Scorer:
+    """Scores of whole texts; a batch's distinct space-separated strings are numbered by Arrow and summed once."""
+
     def __init__(self, model: tuple[np.ndarray, float]):
         self.weight, self.bias = model
         self.memo: dict[str, tuple[float, int]] = {}
 
-    def word(self, w: str) -> tuple[float, int]:
-        got = self.memo.get(w)
-        if got is None:
-            s = subwords(w)
-            got = (float(self.weight[s].sum()), len(s))
-            if len(w) <= MEMO_CHARS:
-                if len(self.memo) >= MEMO_WORDS:
-                    self.memo.clear()
-                self.memo[w] = got
-        return got
+    def sums(self, strings: list[str]) -> np.ndarray:
+        """Class differences and number of the subwords of the words in each string."""
+        memo = self.memo
+        new = [s for s in strings if s not in memo]
+        if new:
+            found = [WORDS.findall(s.lower()) for s in new]
+            owner = np.repeat(np.arange(len(new)), list(map(len, found)))
+            ids, word = subwords([w for ws in found for w in ws])
+            where = owner[word]
+            total = np.bincount(where, weights=self.weight[ids], minlength=len(new)).tolist()
+            n = np.bincount(where, minlength=len(new)).tolist()
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
+                return self.sums(strings)
+            memo.update(zip(new, zip(total, n)))
+        out = np.array(list(map(memo.__getitem__, strings)), float)
+        for s in new:
+            if len(s) > MEMO_CHARS:
+                del memo[s]
+        return out
+
+    def batch(self, texts: list) -> np.ndarray:
+        lists = pc.split_pattern(pa.array([t or "" for t in texts], pa.large_string()), " ")
+        numbered, first = lists.values.dictionary_encode(), lists.offsets.to_numpy()
+        each = self.sums(numbered.dictionary.to_pylist())[numbered.indices.to_numpy()]
+        total, n = np.add.reduceat(each, first[:-1], axis=0).T
+        return 1 / (1 + np.exp(-np.clip(total / (n + NEUTRAL) + self.bias, -35, 35)))
 
     def score(self, text: str | None) -> float:
-        total, n = 0.0, 0
-        for s, k in map(self.word, WORDS.findall((text or "").lower())):
-            total += s
-            n += k
-        return float(1 / (1 + np.exp(-np.clip(total / (n + NEUTRAL) + self.bias, -35, 35))))
+        return float(self.batch([text])[0])
 
 
 def _score(batches, model):
     scorer = Scorer(model.value)
     for batch in batches:
-        texts, out = batch.column("text"), []
-        for i in range(0, len(texts), 256):
-            out += [scorer.score(t) for t in texts.slice(i, 256).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(out, pa.float64())],
-                                         names=["doc_id", "held_out", "score"])
+        out = [scorer.batch(part.column("text").to_pylist()) for part in text_slices(batch)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("held_out"), pa.array(np.concatenate([np.zeros(0), *out]))],
+            names=["doc_id", "held_out", "score"])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], held_out) -> DataFrame:
