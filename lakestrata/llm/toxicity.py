@@ -137,18 +137,18 @@ class Scorer:
     def sums(self, strings: list[str]) -> np.ndarray:
         """Class differences and number of the subwords of the words in each string."""
         memo = self.memo
+        if len(memo) > MEMO_WORDS:
+            memo.clear()
         new = [s for s in strings if s not in memo]
-        if new:
-            found = [WORDS.findall(s.lower()) for s in new]
-            owner = np.repeat(np.arange(len(new)), list(map(len, found)))
+        for i in range(0, len(new), 8192):  # bounds the arrays of all characters and n-grams
+            some = new[i:i + 8192]
+            found = [WORDS.findall(s.lower()) for s in some]
+            owner = np.repeat(np.arange(len(some)), list(map(len, found)))
             ids, word = subwords([w for ws in found for w in ws])
             where = owner[word]
-            total = np.bincount(where, weights=self.weight[ids], minlength=len(new)).tolist()
-            n = np.bincount(where, minlength=len(new)).tolist()
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-                return self.sums(strings)
-            memo.update(zip(new, zip(total, n)))
+            total = np.bincount(where, weights=self.weight[ids], minlength=len(some)).tolist()
+            n = np.bincount(where, minlength=len(some)).tolist()
+            memo.update(zip(some, zip(total, n)))
         out = np.array(list(map(memo.__getitem__, strings)), float)
         for s in new:
             if len(s) > MEMO_CHARS:
