@@ -106,9 +106,10 @@ def q_sink_dynamic_overwrite(spark, sf):
     only those partitions are replaced, earlier days stay as written."""
     dwd = _catalog().dwd_table(spark, sf)
     path = scratch_path(spark, "dws_house_type_daily")
-    first = listings.house_type_daily(dwd)
+    first = listings.house_type_daily(dwd, _catalog().EXACT_ENOUGH)
     overwrite_partitions(first, path, by="ds")
-    fixed = listings.house_type_daily(dwd.where(F.col("attention_count") > 0), since="20240104")
+    fixed = listings.house_type_daily(dwd.where(F.col("attention_count") > 0), _catalog().EXACT_ENOUGH,
+                                      since="20240104")
     overwrite_partitions(fixed, path, by="ds")
     return read_back(spark, path, first)
 
