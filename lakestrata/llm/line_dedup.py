@@ -1,10 +1,17 @@
-"""Line dedup: globally repeated multi-line chunks with content-defined boundaries.
+"""Line dedup: globally repeated passages of lines.
 
-A text is cut into lines at ``\\n``.  A rolling hash over the last ``WINDOW``
-line hashes ends a chunk where it is 0 modulo ``DIVISOR``; a line of
-``LONG_WORDS`` words or more is a chunk of its own.  Boundaries depend on
-nearby lines only, so they move along when lines are inserted elsewhere.  A
-chunk counts if it has two lines with words, or ``LONG_WORDS`` words.
+A text is cut into lines at ``\\n``.  A passage is a run of lines that begins
+and ends with a line with words; it counts if it has two lines with words, or
+``LONG_WORDS`` words.  Every copy of such a passage but the first loses its
+lines.
+
+No passage is searched for as a whole.  One that counts either has two
+neighbouring lines with words or is one long line, and it repeats exactly if
+these smallest passages do.  So the chunks are all of them: two neighbouring
+lines with words and what blank lines lie between, and each line of
+``LONG_WORDS`` words.  They overlap, so the repeated chunks of a passage cover
+it from its first to its last line, whatever surrounds it; ``runs`` are the
+line spans that they cover together.
 
 Chunks are keyed by 128 bits of hash and counted over the whole corpus.  For
 keys that occur twice or more the chunk bytes are fetched (a bitmap of fixed
@@ -15,7 +22,9 @@ gathered); equal ones prove all copies equal.  A key with differing contents
 is resolved by grouping on the content itself.
 
 The first copy by (doc_id, text hash, position) stays, every other one is
-removed with its lines.
+removed with its lines.  A line of a first copy goes if it is also in a later
+copy of another passage; the first copy of each line always stays, so of one
+line over and over the first is left.
 
 Edge cases: a null text has one empty line and nothing to remove, and stays
 null; null ids sort after all others; rows equal in id and text are one
@@ -34,39 +43,26 @@ from pyspark.sql import functions as F
 
 from .common import row_key, stage
 
-WINDOW, DIVISOR, LONG_WORDS, SALTS = 2, 2, 50, 32
+LONG_WORDS, SALTS = 50, 32
 BITMAP_BITS = 25  # 4 MB
-_MULTIPLIER, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+_MASK = (1 << 64) - 1
 KEY = ["k1", "k2"]
 
 
-def chunks(text: str | None, window: int = WINDOW, divisor: int = DIVISOR) -> list[tuple[int, int, bool]]:
-    """(first line, end line, counts) of the chunks of a text, in order."""
-    from xxhash import xxh64_intdigest
-    lines = (text or "").encode().split(b"\n")
-    drop = pow(_MULTIPLIER, window, 1 << 64)
-    hashes, sizes, roll, start, out = [], [], 0, 0, []
-
-    def close(end):
-        nonlocal start
-        if end > start:
-            own = sizes[start:end]
-            out.append((start, end, sum(n > 0 for n in own) >= 2 or sum(own) >= LONG_WORDS))
-            start = end
+def chunks(text: str | None) -> list[tuple[int, int, bool]]:
+    """(first line, end line, counts) of each line with words and of each two neighbouring ones, in order.
 
-    for i, line in enumerate(lines):
+    Two long lines without a blank line between are not listed together: their own chunks cover both.
+    """
+    out, last, last_long = [], None, False
+    for i, line in enumerate((text or "").encode().split(b"\n")):
         n = len(line.split())
-        if n >= LONG_WORDS:
-            close(i)
-        h = xxh64_intdigest(line)
-        roll = (roll * _MULTIPLIER + h) & _MASK
-        if i >= window:
-            roll = (roll - hashes[i - window] * drop) & _MASK
-        hashes.append(h)
-        sizes.append(n)
-        if n >= LONG_WORDS or (roll >> 32) % divisor == 0:
-            close(i + 1)
-    close(len(lines))
+        if n:
+            long = n >= LONG_WORDS
+            if last is not None and not (long and last_long and i == last + 1):
+                out.append((last, i + 1, True))
+            out.append((i, i + 1, long))
+            last, last_long = i, long
     return out
 
 
@@ -149,21 +145,27 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 
 def _rebuild(batches):
+    kind = pa.list_(pa.struct([("first_line", pa.int32()), ("n_lines", pa.int32())]))
     for batch in batches:
         texts, removed = batch.column("text"), batch.column("removed")
-        n, kept = [], []
+        n, runs, kept = [], [], []
         for i in range(0, len(texts), 256):
             for text, spans in zip(texts.slice(i, 256).to_pylist(), removed.slice(i, 256).to_pylist()):
                 lines = (text or "").split("\n")
                 n.append(len(lines))
                 gone = {k for s in spans or () for k in range(s["first_line"], s["first_line"] + s["n_lines"])}
+                ends = [k for k in sorted(gone) if k + 1 not in gone]
+                starts = [k for k in sorted(gone) if k - 1 not in gone]
+                runs.append([{"first_line": a, "n_lines": b - a + 1} for a, b in zip(starts, ends)])
                 kept.append(text if not gone else "\n".join(x for k, x in enumerate(lines) if k not in gone))
-        cols = [batch.column("doc_id"), pa.array(n, pa.int32()), removed, batch.column("kept_in"), pa.array(kept, pa.string())]
-        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_lines", "removed", "kept_in", "text"])
+        cols = [batch.column("doc_id"), pa.array(n, pa.int32()), removed, pa.array(runs, kind), batch.column("kept_in"),
+                pa.array(kept, pa.string())]
+        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_lines", "removed", "runs", "kept_in", "text"])
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """Every row's doc_id, n_lines, ``removed`` line spans, ``kept_in`` (ids that keep the copies) and the text left."""
+    """Every row's doc_id, n_lines, ``removed`` chunks, the ``runs`` of lines they cover, ``kept_in`` (ids of the first
+    copies) and the text left."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     gone = stage(repeated_chunks(docs).distinct().groupBy("doc_id", "row_hash").agg(
         F.sort_array(F.collect_list(F.struct("first_line", "n_lines"))).alias("removed"),
@@ -175,14 +177,14 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     both = src.join(gone.hint("merge").alias("g"), cond, "left").select(
         "d.doc_id", "d.text", F.coalesce("g.removed", F.array().cast(span)).alias("removed"),
         F.coalesce("g.kept_in", F.array().cast(f"array<{kind}>")).alias("kept_in"))
-    return both.mapInArrow(_rebuild, f"doc_id {kind}, n_lines int, removed {span}, kept_in array<{kind}>, text string")
+    return both.mapInArrow(_rebuild, f"doc_id {kind}, n_lines int, removed {span}, runs {span}, kept_in array<{kind}>, text string")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     from .common import documents
     made = dedup_lines(documents(spark, sf_dir))
-    lines = F.aggregate("removed", F.lit(0), lambda n, s: n + s["n_lines"])
-    spans = F.transform("removed", lambda s: F.concat_ws("-", s["first_line"].cast("string"),
+    lines = F.aggregate("runs", F.lit(0), lambda n, s: n + s["n_lines"])
+    spans = F.transform("runs", lambda s: F.concat_ws("-", s["first_line"].cast("string"),
                                                          (s["first_line"] + s["n_lines"]).cast("string")))
     return made.select("doc_id", "n_lines", lines.alias("n_removed"), F.array_join(spans, ",").alias("removed"),
                        "kept_in", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("kept_sha256"))

@@ -213,6 +213,42 @@ def test_line_dedup_removes_repeated_chunks_only(spark):
     assert line_dedup.dedup_lines(H.no_documents(spark)).count() == 0
 
 
+def repeated_runs(docs):
+    """Lines to remove by trying every run of lines of every text."""
+    blank = lambda line: not H.WORD.search(line)
+    places = defaultdict(set)
+    for i, t in docs:
+        lines = t.split("\n")
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                run = lines[a:b]
+                worded = sum(not blank(x) for x in run)
+                if not blank(run[0]) and not blank(run[-1]) and (worded > 1 or len(" ".join(run).split()) >= 50):
+                    places[tuple(run)].add((i, a, b))
+    gone = defaultdict(set)
+    for found in places.values():
+        for i, a, b in sorted(found)[1:]:
+            gone[i].update(range(a, b))
+    return gone
+
+
+def test_line_dedup_removes_whole_repeated_runs(spark):
+    rng = np.random.default_rng(5)
+    passage = "\n\n".join(" ".join(f"p{k}w{j}" for j in range(20)) for k in range(3))  # 60 words, no long line
+    vocab = [f"line {k}" for k in range(40)] + [" ".join(f"long{k}x{j}" for j in range(50 + k)) for k in range(5)] + ["", " \t"] * 4
+    docs = [(k, "\n".join(rng.choice(vocab, int(rng.integers(1, 12))))) for k in range(60)]
+    for k in range(60, 100):
+        before, after = (f"own {side} {k}\n" * int(rng.integers(0, 3)) for side in "ab")
+        docs.append((k, f"{before}{passage}\n{after}"))
+    rows = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    want, text = repeated_runs(docs), dict(docs)
+    assert any(want[k] for k in range(60)) and all(len(want[k]) >= 5 for k in range(61, 100))
+    for r in rows:
+        assert {k for s in r.runs for k in range(s.first_line, s.first_line + s.n_lines)} == want[r.doc_id]
+        assert r.text == "\n".join(x for k, x in enumerate(text[r.doc_id].split("\n")) if k not in want[r.doc_id])
+        assert all(s.first_line + s.n_lines < t.first_line for s, t in zip(r.runs, r.runs[1:]))
+
+
 def test_line_dedup_compares_bytes_when_hashes_clash(spark, monkeypatch):
     real = line_dedup._chunk_rows
 
