@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from .common import col, filter_by_rows, row_key, stage
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-COVERAGE, STEPS, PRIOR = 0.75, 3, 40
+COVERAGE, STEPS, PRIOR = 0.5, 3, 40     # half of a group: any larger share breaks down at fewer outliers
 REWEIGHT_Z, CUT_Z = 1.96, 4.75       # normal quantiles of 0.975 and 1 - 1e-6
 DIMS = ("x_word_length", "x_symbols", "x_dup_lines", "x_repeats", "x_upper", "x_length")
 RIDGE = (0.02, 0.30, 1.50, 0.50, 0.10, 0.50)  # variance floor of each transformed statistic

@@ -50,6 +50,17 @@ def test_outliers_are_rejected_and_ordinary_rows_kept(spark):
     assert kept == {i for i, *_ in rows}
 
 
+def test_a_source_of_two_fifths_junk_is_cleaned(spark):
+    rng = np.random.default_rng(1)
+    vocab = ["word%d" % k for k in range(400)]
+    text = lambda n: " ".join(rng.choice(vocab, n))
+    rows = [(i, text(int(rng.integers(80, 300))), "en", "b" if i < 300 else "a") for i in range(600)]
+    odd = [(1000 + i, " ".join(w + "&&&" if rng.random() < 0.9 else w for w in text(100).split()), "en", "b") for i in range(200)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id for r in quality_rules.accepted_documents(docs).collect()}
+    assert kept == {i for i, *_ in rows}
+
+
 def test_concentration_matches_numpy_on_one_group(spark):
     rng = np.random.default_rng(3)
     x = np.round(rng.normal(0, 1, (400, 6)) @ np.diag([300, 900, 900, 900, 500, 900])).astype(int)
