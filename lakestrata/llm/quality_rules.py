@@ -6,7 +6,9 @@ by concentration steps: start from the group's medians and MADs, keep the
 half-set (share ``COVERAGE``) with the smallest Mahalanobis distances,
 recompute mean and covariance from it, repeat; then one reweighted step over
 all rows inside the ``REWEIGHT`` quantile.  Rows beyond the ``CUT`` quantile
-are rejected.
+are rejected.  A document is never rejected for being long: the share of its
+distance that more words than the other statistics let expect account for does
+not count (``excess_length``).
 
 One concentration step is one pass over the compact statistics table: the
 moments are summed per group and distance bin, and the half-set is the prefix
@@ -164,10 +166,22 @@ def _model(moments: DataFrame, inflate: float) -> DataFrame:
     return stage(solved, "model")
 
 
-def distance(stats: DataFrame, model: DataFrame) -> DataFrame:
-    """Add ``d2``, the squared Mahalanobis distance to the row's group."""
+def excess_length(off: list[Column], prec: Column) -> Column:
+    """What a length above its expectation from the other statistics adds to the squared distance.
+
+    The distance is that of the other statistics alone plus (P off)^2 / P at the length, P being the precision.
+    """
+    k, d = DIMS.index("x_length"), len(DIMS)
+    above = F.greatest(sum((off[j] * prec[k * d + j] for j in range(d)), F.lit(0.0)), F.lit(0.0))
+    return above * above / prec[k * d + k]
+
+
+def distance(stats: DataFrame, model: DataFrame, long_counts: bool = True) -> DataFrame:
+    """Add ``d2``, the squared Mahalanobis distance to the row's group; without ``long_counts`` only the lower side
+    of the length is in it."""
     off = [F.col(d) / SCALE - F.col("mean")[i] for i, d in enumerate(DIMS)]
     d2 = sum((off[i] * off[j] * F.col("prec")[i * len(DIMS) + j] * (1 if i == j else 2) for i, j in PAIRS), F.lit(0.0))
+    d2 = d2 if long_counts else d2 - excess_length(off, F.col("prec"))
     return stats.join(model, GROUP, "left").withColumn("d2", d2).drop("mean", "prec")
 
 
@@ -217,7 +231,7 @@ def _chi2_cdf(x: float, d: int) -> float:
 def judge(docs: DataFrame) -> DataFrame:
     """The statistics of every row with base_failed, distance ``d2`` and ``kept``."""
     stats = stage(measure(docs), "statistics")
-    scored = distance(stats, robust_model(stats))
+    scored = distance(stats, robust_model(stats), long_counts=False)
     inside = F.coalesce(F.col("d2") <= chi2_quantile(CUT_Z), F.lit(True))
     return scored.withColumn("kept", ~F.col("base_failed") & inside)
 

@@ -50,6 +50,23 @@ def test_outliers_are_rejected_and_ordinary_rows_kept(spark):
     assert kept == {i for i, *_ in rows}
 
 
+def test_length_alone_rejects_no_document(spark):
+    rng = np.random.default_rng(2)
+    vocab = ["word%d" % k for k in range(400)]
+    text = lambda n: " ".join(rng.choice(vocab, n))
+    rows = [(i, text(int(rng.integers(80, 300))), "en", "a") for i in range(300)] + [(300, text(500_000), "en", "a")]
+    odd = [(1000, " ".join(w + "&&&" for w in text(50_000).split()), "en", "a")]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    assert {i for i, r in got.items() if r.kept} == {i for i, *_ in rows}
+    # against the distance of the other statistics alone
+    stats = quality_rules.stage(quality_rules.measure(docs), "statistics")
+    model = quality_rules.robust_model(stats).first()
+    cov = np.linalg.inv(np.array(model["prec"]).reshape(6, 6))[:5, :5]
+    off = np.array([got[300][d] for d in quality_rules.DIMS[:5]]) / quality_rules.SCALE - model["mean"][:5]
+    assert np.isclose(got[300].d2, off @ np.linalg.inv(cov) @ off, rtol=1e-6)
+
+
 def test_a_source_of_two_fifths_junk_is_cleaned(spark):
     rng = np.random.default_rng(1)
     vocab = ["word%d" % k for k in range(400)]
