@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (decontamination, fim, line_dedup, mixing, pii, quality_classifier, quality_rules, simhash, token_counts,
+from . import (conversation_repair, decontamination, fim, line_dedup, mixing, pii, quality_classifier, quality_rules, simhash, token_counts,
                token_planes, toxicity)
 from .common import with_package
 
@@ -17,11 +17,13 @@ QUERIES = {k: with_package(q) for k, q in {
     "op8_source_mixing": mixing.query,
     "op9_token_counts": token_counts.query,
     "op10_quality_classifier": quality_classifier.query,
+    "op11_conversation_repair": conversation_repair.query,
     "op12_fill_in_middle": fim.query,
 }.items()}
 
 ORACLES = {
     "op6_decontamination": decontamination.ORACLE,
     "op8_source_mixing": mixing.ORACLE,
+    "op11_conversation_repair": conversation_repair.ORACLE,
     "op12_fill_in_middle": fim.ORACLE,
 }
