@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (conversation_repair, decontamination, fim, line_dedup, mixing, pii, quality_classifier, quality_rules, simhash, token_counts,
-               token_planes, toxicity)
+from . import (conversation_repair, decontamination, fim, line_dedup, mixing, pii, quality_classifier, quality_rules, simhash,
+               substring_dedup, token_counts, token_planes, toxicity)
 from .common import with_package
 
 QUERIES = {k: with_package(q) for k, q in {
@@ -19,6 +19,7 @@ QUERIES = {k: with_package(q) for k, q in {
     "op10_quality_classifier": quality_classifier.query,
     "op11_conversation_repair": conversation_repair.query,
     "op12_fill_in_middle": fim.query,
+    "op13_substring_dedup": substring_dedup.query,
 }.items()}
 
 ORACLES = {
@@ -26,4 +27,5 @@ ORACLES = {
     "op8_source_mixing": mixing.ORACLE,
     "op11_conversation_repair": conversation_repair.ORACLE,
     "op12_fill_in_middle": fim.ORACLE,
+    "op13_substring_dedup": substring_dedup.ORACLE,
 }
