@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from . import fixtures
 from .functions import expressions as X
 from .operators import quality
-from .operators.aggregate import approx_median, distribution_map, top_values
+from .operators.aggregate import distribution_map, top_values, with_medians
 from .operators.nested import flatten_listing, parse_listing_json, to_listing_message
 from .plans import bi, clicks, listings
 from .sinks.files import to_message
@@ -29,9 +29,6 @@ from .sources.batch import load_dimension, normalise_click_log
 # data, so the blacklist test value is a region that does.
 TEST_BLACKLIST = ("AFRICA",)
 TZ = "UTC"
-# Registered medians are compared with exact ones, so their sketch holds every
-# value of a group at the test scales (the library default stays 10,000).
-EXACT_ENOUGH = 1_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -160,7 +157,7 @@ def q_city_blacklist(spark, sf):
 
 
 def q_incremental_since(spark, sf):
-    return listings.orientation_daily(dwd_table(spark, sf), EXACT_ENOUGH, since="20240103")
+    return listings.orientation_daily(dwd_table(spark, sf), since="20240103")
 
 
 def q_listing_fact(spark, sf):
@@ -168,10 +165,10 @@ def q_listing_fact(spark, sf):
 
 
 def q_approx_median(spark, sf):
-    return dwd_table(spark, sf).groupBy("ds", "city").agg(
-        approx_median("total_price", EXACT_ENOUGH).alias("median_total_price"),
-        approx_median("unit_price", EXACT_ENOUGH).cast("double").alias("median_unit_price"),
-        approx_median("area_sqm", EXACT_ENOUGH).alias("median_area_sqm"))
+    """Exact medians of three columns per day and city."""
+    keys = ["ds", "city"]
+    names = {"total_price": "median_total_price", "unit_price": "median_unit_price", "area_sqm": "median_area_sqm"}
+    return with_medians(dwd_table(spark, sf), keys, names, [])
 
 
 def q_room_type_distribution(spark, sf):
@@ -258,7 +255,7 @@ def _on_clicks(fn) -> Query:
 
 
 RAW: dict[str, Query] = {
-    "house_type_daily": _on_dwd(listings.house_type_daily, accuracy=EXACT_ENOUGH),
+    "house_type_daily": _on_dwd(listings.house_type_daily),
     "listing_json_parse": q_listing_json_parse,
     "listing_flatten": q_listing_flatten,
     "ds_from_epoch": q_ds_from_epoch,
@@ -277,15 +274,15 @@ RAW: dict[str, Query] = {
     "incremental_since": q_incremental_since,
     "listing_fact": q_listing_fact,
     "approx_median": q_approx_median,
-    "orientation_daily": _on_dwd(listings.orientation_daily, accuracy=EXACT_ENOUGH),
-    "build_year_segment_daily": _on_dwd(listings.build_year_segment_daily, accuracy=EXACT_ENOUGH),
+    "orientation_daily": _on_dwd(listings.orientation_daily),
+    "build_year_segment_daily": _on_dwd(listings.build_year_segment_daily),
     "price_range_distribution": _on_dwd(listings.price_range_distribution),
     "room_type_distribution": q_room_type_distribution,
     "decoration_distribution": q_decoration_distribution,
     "hot_tags": q_hot_tags,
-    "community_daily": _on_dwd(listings.community_daily, accuracy=EXACT_ENOUGH),
-    "community_daily_null_safe": _on_dwd(listings.community_daily, accuracy=EXACT_ENOUGH, null_safe=True),
-    "city_overview_daily": _on_dwd(listings.city_overview_daily, accuracy=EXACT_ENOUGH),
+    "community_daily": _on_dwd(listings.community_daily),
+    "community_daily_null_safe": _on_dwd(listings.community_daily, null_safe=True),
+    "city_overview_daily": _on_dwd(listings.city_overview_daily),
     "hot_communities": _on_dwd(listings.hot_communities),
     "top_attention_houses": _on_dwd(listings.top_attention_houses),
     "dim_category": q_dim_category,

@@ -16,18 +16,18 @@ from .operators import quality
 from .operators.aggregate import latest_per_key
 from .operators.nested import flatten_listing, to_listing_message
 from .plans import clicks, listings
-from .schemas import ODS_KEYS, ODS_LISTING_COLUMNS
+from .schemas import ODS_KEYS
 from .session import scratch_path, write_staged
-from .sinks.files import compact, overwrite_partitions
+from .sinks.compaction import compact
+from .sinks.files import overwrite_partitions
 from .streaming import jobs
-from .streaming.sinks import append_stream, dedupe_stream, upsert_stream
+from .streaming.sinks import append_stream, first_per_key_stream, read_upserted, upsert_stream
 from .streaming.sources import read_click_stream, read_listing_stream
 
 AVAILABLE_NOW = {"availableNow": True}
 ORDER = ["event_time", "trace_id"]
-# Rows that tie on ORDER are told apart by their other columns, as the SQL twin does
-# (the library's own tie-break is a hash, which SQL cannot repeat).
-TOTAL_ORDER = ORDER + [c for c in ODS_LISTING_COLUMNS if c not in (*ORDER, *ODS_KEYS, "etl_time")]
+# What tells rows of one event apart; anything left is the library's hash of the row.
+LATEST = ORDER + ["total_price", "area_sqm"]
 
 
 def _catalog():
@@ -96,7 +96,7 @@ def q_skip_delivered(spark, sf):
 
 
 def q_upsert_latest_per_key(spark, sf):
-    return latest_per_key(_catalog().ods(spark, sf), list(ODS_KEYS), TOTAL_ORDER, total_order=False)
+    return latest_per_key(_catalog().ods(spark, sf), list(ODS_KEYS), LATEST)
 
 
 # ------------------------------------------------------------------- sinks --
@@ -106,9 +106,9 @@ def q_sink_dynamic_overwrite(spark, sf):
     only those partitions are replaced, earlier days stay as written."""
     dwd = _catalog().dwd_table(spark, sf)
     path = scratch_path(spark, "dws_house_type_daily")
-    first = listings.house_type_daily(dwd, _catalog().EXACT_ENOUGH)
+    first = listings.house_type_daily(dwd)
     overwrite_partitions(first, path, by="ds")
-    fixed = listings.house_type_daily(dwd.where(F.col("attention_count") > 0), _catalog().EXACT_ENOUGH,
+    fixed = listings.house_type_daily(dwd.where(F.col("attention_count") > 0),
                                       since="20240104")
     overwrite_partitions(fixed, path, by="ds")
     return read_back(spark, path, first)
@@ -187,18 +187,23 @@ def _listing_stream(spark, sf, files: int | None = None):
 
 
 def q_stream_dedupe_first(spark, sf):
+    """The first message per house by event time, as a stream delivers it."""
     flat = flatten_listing(_listing_stream(spark, sf), with_etl_time=False)
+    seen = scratch_path(spark, "no-houses")
+    flat_ids = spark.createDataFrame([], "house_id string")
+    flat_ids.write.parquet(seen)
     out, ck = scratch_path(spark, "listing_first_seen"), scratch_path(spark, "ckpt")
-    _run(append_stream(dedupe_stream(flat, "house_id"), out, ck, trigger=AVAILABLE_NOW))
-    return read_back(spark, out, flat).select("house_id")
+    first = first_per_key_stream(flat, "house_id", ORDER, spark.readStream.schema(flat_ids.schema).parquet(seen))
+    _run(append_stream(first, out, ck, trigger=AVAILABLE_NOW))
+    return read_back(spark, out, flat).select("house_id", "trace_id", "event_time")
 
 
 def q_stream_upsert_latest(spark, sf):
-    """Micro-batches of up to four topic files upserted on (house_id, city), key-bucketed."""
+    """Micro-batches of up to four topic files upserted on (house_id, city)."""
     flat = flatten_listing(_listing_stream(spark, sf, files=4), with_etl_time=False)
     out, ck = scratch_path(spark, "ods_ershoufang"), scratch_path(spark, "ckpt")
-    _run(upsert_stream(flat, out, list(ODS_KEYS), TOTAL_ORDER, ck, ("city",), AVAILABLE_NOW))
-    return read_back(spark, out, flat)
+    _run(upsert_stream(flat, out, list(ODS_KEYS), LATEST, ck, ("city",), AVAILABLE_NOW))
+    return read_upserted(spark, out, list(ODS_KEYS), LATEST, flat.schema)
 
 
 QUERIES = {

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from . import catalog_more as more
@@ -16,10 +17,11 @@ from .operators.nested import flatten_listing, to_listing_message
 from .plans import clicks, listings
 from .schemas import CLICK_CSV, ODS_KEYS, TABLES, conform
 from .session import scratch_path
-from .sinks.files import compact, overwrite_partitions
-from .sources.batch import ensure_table, read_click_csv, read_table
+from .sinks.compaction import compact
+from .sinks.files import overwrite_partitions, publish_events
+from .sources.batch import ensure_table, read_click_csv, read_table, register_source
 from .streaming import jobs
-from .streaming.sinks import append_stream, batch_fanout, upsert_batch
+from .streaming.sinks import append_stream, batch_fanout, read_upserted, upsert_batch
 from .streaming.sources import read_click_stream
 
 
@@ -151,8 +153,8 @@ def q_upsert_null_partition(spark, sf):
     path = scratch_path(spark, "upsert-null")
     half = F.pmod(F.xxhash64("house_id"), F.lit(2)) == 0
     for i, part in enumerate((half, ~half)):
-        upsert_batch(ods.where(part), i, path, list(ODS_KEYS), more.ORDER, ["city"], buckets=4)
-    return more.read_back(spark, path, ods).select("house_id", "trace_id", "city")
+        upsert_batch(ods.where(part), i, path, list(ODS_KEYS), more.ORDER, ["city"])
+    return read_upserted(spark, path, list(ODS_KEYS), more.ORDER, ods.schema).select("house_id", "trace_id", "city")
 
 
 def q_compact_string_partition(spark, sf):
@@ -175,14 +177,18 @@ def q_compact_map_table(spark, sf):
     return more.read_back(spark, path, rows)
 
 
-def _ingest(spark, sf):
-    flat = to_listing_message(more.defective_listing(spark, sf))
-    topic, out = scratch_path(spark, "raw-listings"), scratch_path(spark, "ingest")
-    fixtures.stage_json(flat, topic)
+def _ingest(spark, sf, parts: int = 1):
+    """Defective listings through the ingest, in ``parts`` deliveries of which each starts on a fresh checkpoint."""
+    rows = more.defective_listing(spark, sf)
+    out = scratch_path(spark, "ingest")
     delivered = fixtures.listing(spark, sf).where(F.col("house_id").endswith("-2")).select("house_id")
-    stream = more.read_listing_stream(spark, source="text", path=topic)
-    more._run(jobs.listing_ingest_stream(stream, f"{out}/topic", f"{out}/rejects", scratch_path(spark, "ckpt"), delivered,
-                                         more.AVAILABLE_NOW))
+    for part in range(parts):
+        topic = scratch_path(spark, "raw-listings")
+        fixtures.stage_json(to_listing_message(rows.where(F.col("unit_price") % parts == part)), topic)
+        stream = more.read_listing_stream(spark, source="text", path=topic)
+        for query in jobs.listing_ingest_stream(stream, f"{out}/topic", f"{out}/rejects", scratch_path(spark, "ckpt"),
+                                                delivered, more.AVAILABLE_NOW):
+            more._run(query)
     return out
 
 
@@ -197,6 +203,108 @@ def q_stream_listing_rejects(spark, sf):
         f"{_ingest(spark, sf)}/rejects").select("house_id", "trace_id", "reasons")
 
 
+def q_stream_fresh_checkpoint(spark, sf):
+    """Two runs of the fan-out on one table, the second on a fresh checkpoint: no run touches the other's rows."""
+    out = scratch_path(spark, "fresh-fanout")
+    msg = clicks.click_messages(fixtures.click(spark, sf))
+    first = F.pmod(F.xxhash64("user_id"), F.lit(3)) == 0
+    for rows in (msg.where(first), msg.where(~first)):
+        path = fixtures.stage_json(rows, scratch_path(spark, "click-part"))
+        src = read_click_stream(spark, source="text", path=path)
+        more._run(batch_fanout(src, {out: clicks.click_ods}, ["dt"], scratch_path(spark, "ckpt"), more.AVAILABLE_NOW))
+    return more.read_back(spark, out, clicks.click_ods(_catalog().click_src(spark, sf)))
+
+
+def q_stream_ingest_fresh_checkpoint(spark, sf):
+    """Two ingest runs on fresh checkpoints: houses that the first run delivered are skipped by the second."""
+    return spark.read.schema("house_id string, trace_id string").parquet(
+        f"{_ingest(spark, sf, 2)}/topic").select("house_id", "trace_id")
+
+
+def q_stream_clicks_to_catalog(spark, sf):
+    """The four sinks of the click statement set into the tables of a catalog database: rows of each table."""
+    db = _database(spark, "ls_clicks")
+    for query in jobs.run_click_pipeline(more._click_stream(spark, sf), db, scratch_path(spark, "ckpt"), more.AVAILABLE_NOW):
+        more._run(query)
+    out = None
+    for name in ("ods_user_behavior", "dwd_user_behavior", "dws_category_metrics", "dws_behavior_funnel"):
+        one = spark.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), "n_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_stream_late_rows(spark, sf):
+    """Three deliveries to a windowed aggregate; stragglers of the third are behind the watermark and dropped."""
+    msg = clicks.click_messages(fixtures.click(spark, sf))
+    middle = msg.agg(F.avg("ts")).first()[0] or 0
+    part = F.when(F.col("ts") % 10 == 0, 2).when(F.col("ts") < middle, 0).otherwise(1)
+    path, out, ck = scratch_path(spark, "late-clicks"), scratch_path(spark, "late-metrics"), scratch_path(spark, "ckpt")
+    value = F.to_json(F.struct(*msg.columns)).alias("value")
+    for i in range(3):
+        msg.where(part == i).select(value).write.mode("append").text(path)
+        src = read_click_stream(spark, source="text", path=path)
+        more._run(jobs.category_metrics_stream(src, out, ck, more.AVAILABLE_NOW))
+    return more.read_back(spark, out, clicks.category_window_metrics(_catalog().click_src(spark, sf)))
+
+
+def q_compact_incremental(spark, sf):
+    """Small loads of the older days are merged while the stream goes on; the newest load and later days stay."""
+    msg = clicks.click_messages(fixtures.click(spark, sf))
+    path, out, ck = scratch_path(spark, "click-loads"), scratch_path(spark, "loads"), scratch_path(spark, "ckpt")
+    value = F.to_json(F.struct(*msg.columns)).alias("value")
+    for i in range(4):
+        msg.where(F.pmod(F.xxhash64("user_id"), F.lit(4)) == i).select(value).write.mode("append").text(path)
+        src = read_click_stream(spark, source="text", path=path)
+        more._run(batch_fanout(src, {out: clicks.click_ods}, ["dt"], ck, more.AVAILABLE_NOW))
+        compact(spark, out, "dt")
+    return more.read_back(spark, out, clicks.click_ods(_catalog().click_src(spark, sf)))
+
+
+def q_upsert_fold(spark, sf):
+    """Changes of four batches, folded by the compaction job in between and at the end."""
+    ods, path = _catalog().ods(spark, sf), scratch_path(spark, "change-log")
+    for i in range(4):
+        upsert_batch(ods.where(F.col("unit_price") % 4 == i), i, path, list(ODS_KEYS), more.LATEST, ["city"])
+        if i % 2:
+            compact(spark, path, "city", keys=list(ODS_KEYS), order_by=more.LATEST)
+    return read_upserted(spark, path, list(ODS_KEYS), more.LATEST, ods.schema)
+
+
+def q_source_view(spark, sf):
+    """A session-scoped source view, read by SQL."""
+    register_source(clicks.click_messages(fixtures.click(spark, sf)), "lakestrata_click_source")
+    return spark.sql("SELECT behavior, count(*) AS n, max(ts) AS last_ts FROM lakestrata_click_source GROUP BY behavior")
+
+
+def q_load_stamp(spark, sf):
+    """Rows stamped with the load time, which is the same for a whole load."""
+    flat = flatten_listing(to_listing_message(fixtures.listing(spark, sf)))
+    now = F.current_timestamp()
+    return flat.select("house_id", "trace_id", (F.col("etl_time").isNotNull() & (F.col("etl_time") <= now)).alias("stamped"))
+
+
+def q_written_codec(spark, sf):
+    """Compression codec of every file that a partitioned write leaves, by day."""
+    path = scratch_path(spark, "codec")
+    overwrite_partitions(clicks.click_ods(_catalog().click_src(spark, sf)), path, by="dt")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select(F.col("dt").cast("string").alias("dt"), F.regexp_extract("path", "[.]([a-z0-9]+)[.]parquet$", 1).alias("codec")).distinct()
+
+
+def q_topic_order(spark, sf):
+    """Published messages, by topic partition in written order: how many follow a later one of their user."""
+    path = scratch_path(spark, "ordered-topic")
+    publish_events(clicks.click_messages(fixtures.click(spark, sf)), path=path, partitions=3)
+    lines = spark.read.text(path).select("partition", "value", F.monotonically_increasing_id().alias("at")).select(
+        "*", F.get_json_object("value", "$.user_id").alias("user_id"), F.get_json_object("value", "$.ts").cast("long").alias("ts"))
+    before = F.lag("ts").over(Window.partitionBy("user_id").orderBy("at"))
+    return lines.withColumn("before", before).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("partition").alias("partitions"),
+        F.sum((F.col("before") > F.col("ts")).cast("long")).alias("out_of_order")).select(
+        "user_id", "n", "partitions", F.coalesce("out_of_order", F.lit(0).cast("long")).alias("out_of_order"))
+
+
 QUERIES = {
     "click_csv_scan": q_click_csv_scan,
     "catalog_roundtrip": q_catalog_roundtrip,
@@ -211,4 +319,14 @@ QUERIES = {
     "compact_map_table": q_compact_map_table,
     "stream_listing_ingest": q_stream_listing_ingest,
     "stream_listing_rejects": q_stream_listing_rejects,
+    "stream_fresh_checkpoint": q_stream_fresh_checkpoint,
+    "stream_ingest_fresh_checkpoint": q_stream_ingest_fresh_checkpoint,
+    "stream_clicks_to_catalog": q_stream_clicks_to_catalog,
+    "stream_late_rows": q_stream_late_rows,
+    "compact_incremental": q_compact_incremental,
+    "upsert_fold": q_upsert_fold,
+    "source_view": q_source_view,
+    "load_stamp": q_load_stamp,
+    "written_codec": q_written_codec,
+    "topic_order": q_topic_order,
 }

@@ -35,8 +35,10 @@ def flatten_listing(nested: DataFrame, with_etl_time: bool = True) -> DataFrame:
 
     ``raw_info.p1_desc``/``p2_desc`` become ``raw_p1_desc``/``raw_p2_desc``;
     ``etl_time`` is the load time stamp (omit it for reproducible output).
+    Columns beside the message (where and when it arrived) are kept at the end.
     """
     h, c, e = "header", "core_data", "ext_attributes"
+    beside = [n for n in nested.columns if n not in (h, c, e)]
     core_fields = [f.name for f in CORE_DATA.fields if f.name != "house_id"]
     out = nested.where(F.col(f"{c}.house_id").isNotNull()).select(
         F.col(f"{c}.house_id").alias("house_id"),
@@ -50,8 +52,9 @@ def flatten_listing(nested: DataFrame, with_etl_time: bool = True) -> DataFrame:
         F.col(f"{e}.raw_info.p1_desc").alias("raw_p1_desc"),
         F.col(f"{e}.raw_info.p2_desc").alias("raw_p2_desc"),
         F.current_timestamp().alias("etl_time"),
+        *[F.col(n) for n in beside],
     )
-    ordered = [c for c in ODS_LISTING_COLUMNS if c in out.columns]
+    ordered = [c for c in ODS_LISTING_COLUMNS if c in out.columns] + beside
     out = out.select(*ordered)
     return out if with_etl_time else out.drop("etl_time")
 
@@ -62,8 +65,9 @@ def parse_listing_json(values: DataFrame, value_col: str = "value",
 
     PERMISSIVE: a field of the wrong type becomes NULL, a wholly broken
     record becomes a struct of NULLs (removed later by the ``house_id``
-    filter).  FAILFAST makes a bad record fail the job.
+    filter).  FAILFAST makes a bad record fail the job.  Other columns are kept.
     """
     from ..schemas import LISTING_MESSAGE
     parsed = F.from_json(F.col(value_col), LISTING_MESSAGE, {"mode": mode})
-    return values.select(parsed.alias("__m")).select("__m.*")
+    beside = [c for c in values.columns if c != value_col]
+    return values.select(*beside, parsed.alias("__m")).select("__m.*", *beside)

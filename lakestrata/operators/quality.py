@@ -35,16 +35,26 @@ def rejection_reasons(required_strings: Sequence[str] = REQUIRED_STRINGS,
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 
 
+def with_reasons(df: DataFrame, required_strings: Sequence[str] = REQUIRED_STRINGS,
+                 required_numbers: Sequence[str] = REQUIRED_NUMBERS,
+                 reasons_col: str = "reasons") -> DataFrame:
+    """Rows with the rules they fail; optional integers are checked where the frame has them.
+
+    Streams keep this column and split inside ``foreachBatch``: a filter on all rules at once, over columns
+    that are fields of one parsed message, makes the optimizer infer a constraint for every combination of them.
+    """
+    given = [c for c in OPTIONAL_INTEGERS if c in df.columns]
+    return df.withColumn(reasons_col, rejection_reasons(required_strings, required_numbers, given))
+
+
 def validate(df: DataFrame, required_strings: Sequence[str] = REQUIRED_STRINGS,
              required_numbers: Sequence[str] = REQUIRED_NUMBERS,
              reasons_col: str = "reasons") -> tuple[DataFrame, DataFrame]:
     """Split into (valid rows, rejected rows + ``reasons``) (DQ-1).
 
-    Both outputs come from one projection; nothing is collected.  Optional
-    integers are checked where the frame has them.
+    Both outputs come from one projection; nothing is collected.
     """
-    given = [c for c in OPTIONAL_INTEGERS if c in df.columns]
-    tagged = df.withColumn(reasons_col, rejection_reasons(required_strings, required_numbers, given))
+    tagged = with_reasons(df, required_strings, required_numbers, reasons_col)
     valid = tagged.where(F.size(reasons_col) == 0).drop(reasons_col)
     rejected = tagged.where(F.size(reasons_col) > 0)
     return valid, rejected

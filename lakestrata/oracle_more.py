@@ -36,13 +36,7 @@ VALID = "valid AS (SELECT * FROM checked WHERE reasons = '')"
 FIRST = """first_seen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY house_id
  ORDER BY event_time, trace_id) AS rn FROM valid) WHERE rn = 1)"""
 
-# event_time, trace_id, then every other column (ODS order) breaks ties; NULL lowest
-TIE_BREAK = ("source, version, batch_id, house_url, title, district, neighborhood, community, "
-             "total_price, unit_price, area_sqm, room_num, hall_num, bathroom_num, orientation, "
-             "floor_level, floor_total, decoration, build_year, tags, attention_count, "
-             "visit_30_days, subway_info, p1_desc, p2_desc")
-LATEST_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in
-                         ["event_time", "trace_id"] + TIE_BREAK.split(", "))
+LATEST_ORDER = "event_time DESC, trace_id DESC, total_price DESC, area_sqm DESC"
 LATEST_ODS = _with("listing", extra=f"""latest AS (SELECT * FROM (SELECT *, row_number() OVER (
  PARTITION BY house_id, city ORDER BY {LATEST_ORDER}) AS rn FROM listing)
  WHERE rn = 1)""") + _ods_select().replace("FROM listing", "FROM latest")
@@ -89,6 +83,7 @@ WHERE NOT EXISTS (SELECT 1 FROM listing l WHERE l.house_id LIKE '%-1' AND l.hous
 WHERE behavior IS NOT NULL AND behavior IN ('pv', 'buy', 'cart', 'fav')""",
     "stream_category_metrics": _closed(CATEGORY_METRICS),
     "stream_behavior_funnel": _closed(FUNNEL),
-    "stream_dedupe_first": _with("listing") + "SELECT DISTINCT house_id FROM listing",
+    "stream_dedupe_first": _with("listing") + """SELECT house_id, trace_id, event_time FROM (SELECT *, row_number() OVER (
+ PARTITION BY house_id ORDER BY event_time, trace_id) AS rn FROM listing) WHERE rn = 1""",
     "stream_upsert_latest": LATEST_ODS,
 }

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from .oracle import SQL as TABLES_SQL
-from .oracle import _with
-from .oracle_more import DEFECTIVE, FIRST, MESSAGE_REASONS, VALID
+from .oracle import BUCKET, CATEGORY_METRICS, FUNNEL, _with
+from .oracle_more import DEFECTIVE, FIRST, LATEST_ODS, MESSAGE_REASONS, VALID
 from .oracle_more import SQL as MORE_SQL
 from .schemas import TABLES
 
 CHECKED = f"checked AS (SELECT *, {MESSAGE_REASONS} AS reasons FROM ({DEFECTIVE}))"
 
+CLOSED = "(SELECT max(ts_ltz) - INTERVAL 3 SECOND FROM src)"
+
 # Declared types next to whether the loads leave any value in the column.
 _ALWAYS_NULL: set = set()
 _SCHEMA_ROWS = ", ".join(
@@ -38,4 +40,26 @@ FROM msg WHERE ts % 7 NOT IN (0, 1)""",
     + "SELECT house_id, trace_id FROM first_seen WHERE house_id NOT LIKE '%-2'",
     "stream_listing_rejects": _with("listing", extra=CHECKED)
     + "SELECT house_id, trace_id, reasons FROM checked WHERE reasons != ''",
+    "stream_fresh_checkpoint": MORE_SQL["stream_click_ods"],
+    "stream_ingest_fresh_checkpoint": _with("listing", extra=f"{CHECKED},\n{VALID}") + """SELECT house_id, trace_id FROM (
+ SELECT *, row_number() OVER (PARTITION BY house_id ORDER BY unit_price % 2, event_time, trace_id) AS rn FROM valid)
+ WHERE rn = 1 AND house_id NOT LIKE '%-2'""",
+    "stream_clicks_to_catalog": _with("src") + f"""SELECT 'ods_user_behavior' AS table_name, count(*) AS n_rows FROM src
+ UNION ALL SELECT 'dwd_user_behavior', count(*) FROM src WHERE behavior IN ('pv', 'buy', 'cart', 'fav')
+ UNION ALL SELECT 'dws_category_metrics', count(*) FROM ({CATEGORY_METRICS}) WHERE win_end <= {CLOSED}
+ UNION ALL SELECT 'dws_behavior_funnel', count(*) FROM ({FUNNEL}) WHERE win_end <= {CLOSED}""",
+    # a delivery loses the rows of windows that its predecessors' watermark has closed
+    "stream_late_rows": _with("src", extra=f"""parts AS (
+ SELECT *, CASE WHEN ts % 10 = 0 THEN 2 WHEN ts < (SELECT avg(ts) FROM src) THEN 0 ELSE 1 END AS part FROM src),
+marks AS (SELECT p, max(ts_ltz) - INTERVAL 3 SECOND AS mark FROM parts, (SELECT unnest([1, 2]) AS p) WHERE part < p GROUP BY p),
+kept AS (SELECT parts.* FROM parts LEFT JOIN marks ON part = p
+ WHERE mark IS NULL OR {BUCKET} + INTERVAL 10 MINUTE > mark)""")
+    + f"SELECT * FROM ({CATEGORY_METRICS.replace('FROM src', 'FROM kept')}) WHERE win_end <= {CLOSED}",
+    "compact_incremental": MORE_SQL["stream_click_ods"],
+    "upsert_fold": LATEST_ODS,
+    "source_view": _with("msg") + "SELECT behavior, count(*) AS n, max(ts) AS last_ts FROM msg GROUP BY behavior",
+    "load_stamp": _with("listing") + "SELECT house_id, trace_id, true AS stamped FROM listing",
+    "written_codec": _with("src") + "SELECT DISTINCT CAST(CAST(ts_ltz AS DATE) AS VARCHAR) AS dt, 'zstd' AS codec FROM src",
+    "topic_order": _with("msg") + """SELECT user_id, count(*) AS n, CAST(1 AS BIGINT) AS partitions, CAST(0 AS BIGINT) AS out_of_order
+ FROM msg GROUP BY user_id""",
 }

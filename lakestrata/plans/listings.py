@@ -7,15 +7,18 @@ is written once and read back by all of them (``run_daily``).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from datetime import datetime
+from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import expressions as X
-from ..operators.aggregate import (approx_median, distribution_map, empty_array_if_null,
-                                   empty_map_if_null, price_stats, share_of_total, top_values)
+from ..operators.aggregate import (PRICE_MEDIANS, distribution_map, empty_array_if_null, empty_map_if_null, null_safe,
+                                   price_stats, share_of_total, top_values, with_medians)
 from ..operators.quality import city_blacklist
 from ..operators.rank import ranks_with_cutoff, top_n_per_group
 from ..schemas import (ADS_CITY_OVERVIEW_COLUMNS, ADS_HOT_COMMUNITIES_COLUMNS,
@@ -36,14 +39,43 @@ def since_until(df: DataFrame, since: str | None = None, until: str | None = Non
     return df
 
 
+def _offset_bounds(day: str, zone: str | None) -> int:
+    """Epoch second at which a day ``yyyyMMdd`` begins in ``zone``."""
+    at = datetime.strptime(day, "%Y%m%d")
+    return int(at.replace(tzinfo=ZoneInfo(zone)).timestamp())
+
+
+def event_time_range(df: DataFrame, since: str | None, until: str | None, tz: str | None,
+                     col: str = "event_time") -> DataFrame:
+    """Rows whose epoch second can lie in the days ``since`` .. ``until`` of a zone (WH-1, FIL-11).
+
+    The inverse of the day key as a range on the stored column, so that it reaches the scan; the exact filter
+    on the day key follows.  The bounds are widened by three hours, because around a change of the clocks
+    near midnight a day need not be one interval; zones that are not in the zone database (``GMT+8``) get
+    the range of all zones.  Days must be ``yyyyMMdd``; other texts give no range.
+    """
+    zone = tz or df.sparkSession.conf.get("spark.sql.session.timeZone")
+    try:
+        ZoneInfo(zone)
+        slack = 3 * 3600
+    except (ZoneInfoNotFoundError, ValueError):
+        zone, slack = "UTC", 18 * 3600
+    day = 86_400
+    if since is not None and re.fullmatch(r"\d{8}", since):
+        df = df.where(F.col(col) >= _offset_bounds(since, zone) - slack)
+    if until is not None and re.fullmatch(r"\d{8}", until):
+        df = df.where(F.col(col) < _offset_bounds(until, zone) + day + slack)
+    return df
+
+
 def listing_fact(ods: DataFrame, blacklist: Sequence[str] = K.CITY_BLACKLIST,
-                 tz: str | None = None) -> DataFrame:
-    """Flat ODS listing -> DWD fact (WH-1).
+                 tz: str | None = None, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Flat ODS listing -> DWD fact (WH-1), of the days ``since`` .. ``until``.
 
     ``tz=None`` derives ``ds`` in the session time zone like ``FROM_UNIXTIME``;
     pass a zone to make the partition key independent of the session.
     """
-    out = city_blacklist(ods, blacklist).select(
+    out = city_blacklist(event_time_range(ods, since, until, tz), blacklist).select(
         X.ds_from_epoch("event_time", tz).alias("ds"),
         "event_time", "source", "batch_id", "trace_id", "house_id", "house_url", "title",
         "city", X.null_if("district").alias("district"), "neighborhood", "community",
@@ -53,42 +85,29 @@ def listing_fact(ods: DataFrame, blacklist: Sequence[str] = K.CITY_BLACKLIST,
         "tags", "attention_count", "visit_30_days", "subway_info",
         X.ring_road("raw_p2_desc").alias("ring_road"),
         F.col("raw_p1_desc").alias("p1_desc"), F.col("raw_p2_desc").alias("p2_desc"))
-    return out.select(*DWD_COLUMNS)
+    return since_until(out.select(*DWD_COLUMNS), since, until)
 
 
 def _left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-               null_safe: bool = False) -> DataFrame:
-    """LEFT JOIN on ``keys``; NULL keys never match unless ``null_safe``."""
-    if not null_safe:
-        return left.join(right, list(keys), "left")
-    renamed = right
-    for k in keys:
-        renamed = renamed.withColumnRenamed(k, f"__r_{k}")
-    cond = [left[k].eqNullSafe(renamed[f"__r_{k}"]) for k in keys]
-    return left.join(renamed, cond, "left").drop(*[f"__r_{k}" for k in keys])
-
-
-def community_daily(dwd: DataFrame, accuracy: int = K.MEDIAN_ACCURACY,
-                    null_safe: bool = False, since: str | None = None,
+               null_keys: bool = False) -> DataFrame:
+    """LEFT JOIN on ``keys``; NULL keys never match unless ``null_keys``."""
+    return null_safe(left, right, keys) if null_keys else left.join(right, list(keys), "left")
+
+
+def community_daily(dwd: DataFrame, null_safe: bool = False, since: str | None = None,
                     until: str | None = None) -> DataFrame:
     """``dws_community_daily`` (WH-2): stats, room-type map and hot tags per community/day.
 
-    Three aggregates over the same grouping keys; they are hash-partitioned
-    alike, so the two LEFT JOINs reuse that partitioning.
+    Three aggregates over the same grouping keys, each reading its own columns; map and tags are joined
+    on the group (a NULL in the key finds them only with ``null_safe``).
     """
     base = since_until(dwd, since, until)
     keys = list(COMMUNITY_KEYS) + ["ds"]
-    stats = base.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("house_count"),
-        F.avg("total_price").alias("avg_total_price"),
-        approx_median("total_price", accuracy).alias("median_total_price"),
+    stats = with_medians(base, keys, PRICE_MEDIANS, price_stats() + [
         F.min("total_price").alias("min_total_price"),
         F.max("total_price").alias("max_total_price"),
-        F.avg("unit_price").alias("avg_unit_price"),
-        approx_median("unit_price", accuracy).cast("double").alias("median_unit_price"),
-        F.avg("area_sqm").alias("avg_area_sqm"),
         F.avg("attention_count").alias("avg_attention_count"),
-        F.avg("visit_30_days").alias("avg_visit_30_days"))
+        F.avg("visit_30_days").alias("avg_visit_30_days")])
     rooms = (base.where(F.col("room_num").isNotNull() & F.col("hall_num").isNotNull()
                         & F.col("bathroom_num").isNotNull())
              .select(*keys, X.room_type(*ROOM_PARTS).alias("room_type")))
@@ -102,40 +121,38 @@ def community_daily(dwd: DataFrame, accuracy: int = K.MEDIAN_ACCURACY,
         for c in DWS_COMMUNITY_COLUMNS])
 
 
-def house_type_daily(dwd: DataFrame, accuracy: int = K.MEDIAN_ACCURACY,
-                     since: str | None = None, until: str | None = None) -> DataFrame:
+def _price_summary(base: DataFrame, keys: Sequence[str], count_name: str = "house_count") -> DataFrame:
+    return with_medians(base, keys, PRICE_MEDIANS, price_stats(count_name))
+
+
+def house_type_daily(dwd: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
     """``dws_house_type_daily`` (WH-3): rows with full room info, per day x room x hall x bath."""
     base = since_until(dwd, since, until).dropna(subset=list(ROOM_PARTS))
-    out = base.groupBy("ds", *ROOM_PARTS).agg(*price_stats(accuracy))
-    return out.select(*DWS_HOUSE_TYPE_COLUMNS)
+    return _price_summary(base, ["ds", *ROOM_PARTS]).select(*DWS_HOUSE_TYPE_COLUMNS)
 
 
-def orientation_daily(dwd: DataFrame, accuracy: int = K.MEDIAN_ACCURACY,
-                      since: str | None = None, until: str | None = None) -> DataFrame:
+def orientation_daily(dwd: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
     """``dws_orientation_daily`` (WH-4); a NULL orientation is its own group."""
-    out = since_until(dwd, since, until).groupBy("ds", "orientation").agg(*price_stats(accuracy))
-    return out.select(*DWS_ORIENTATION_COLUMNS)
+    return _price_summary(since_until(dwd, since, until), ["ds", "orientation"]).select(*DWS_ORIENTATION_COLUMNS)
 
 
-def build_year_segment_daily(dwd: DataFrame, accuracy: int = K.MEDIAN_ACCURACY,
-                             since: str | None = None, until: str | None = None) -> DataFrame:
+def build_year_segment_daily(dwd: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
     """``dws_build_year_segment_daily`` (WH-5): rows with a build year, per day x segment."""
     base = (since_until(dwd, since, until).where(F.col("build_year").isNotNull())
             .withColumn("segment", X.year_segment("build_year")))
-    out = base.groupBy("ds", "segment").agg(*price_stats(accuracy))
-    return out.select(*DWS_BUILD_YEAR_COLUMNS)
+    return _price_summary(base, ["ds", "segment"]).select(*DWS_BUILD_YEAR_COLUMNS)
 
 
-def city_overview_daily(dwd: DataFrame, accuracy: int = K.MEDIAN_ACCURACY,
-                        since: str | None = None, until: str | None = None) -> DataFrame:
+def city_overview_daily(dwd: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
     """``ads_city_overview_daily`` (WH-6): only listings with full room info count."""
     base = (since_until(dwd, since, until).dropna(subset=list(ROOM_PARTS))
             .select("ds", "city", "total_price", "unit_price", "area_sqm", "decoration",
                     X.room_type(*ROOM_PARTS).alias("room_type")))
-    stats = base.groupBy("ds", "city").agg(*price_stats(accuracy, "total_house_count"))
-    room_map = distribution_map(base, ["ds", "city"], "room_type", "room_type_distribution")
-    deco_map = distribution_map(base, ["ds", "city"], "decoration", "decoration_distribution")
-    joined = _left_join(_left_join(stats, room_map, ["ds", "city"]), deco_map, ["ds", "city"])
+    keys = ["ds", "city"]
+    stats = _price_summary(base, keys, "total_house_count")
+    room_map = distribution_map(base, keys, "room_type", "room_type_distribution")
+    deco_map = distribution_map(base, keys, "decoration", "decoration_distribution")
+    joined = _left_join(_left_join(stats, room_map, keys), deco_map, keys)
     return joined.select(*[
         empty_map_if_null(c) if c.endswith("_distribution") else F.col(c)
         for c in ADS_CITY_OVERVIEW_COLUMNS])
@@ -240,8 +257,7 @@ def run_daily(ods: DataFrame, out_root: str, tz: str | None = None,
         for name in ("dwd_ershoufang_fact", *DAILY_LOADS):
             ensure_table(spark, target(name), TABLES[name], ["ds"])
     paths = {"dwd_ershoufang_fact": target("dwd_ershoufang_fact")}
-    dwd_new = since_until(listing_fact(ods, blacklist, tz), since, until)
-    dwd_new = conform(dwd_new, TABLES["dwd_ershoufang_fact"])
+    dwd_new = conform(listing_fact(ods, blacklist, tz, since, until), TABLES["dwd_ershoufang_fact"])
     overwrite_partitions(dwd_new, paths["dwd_ershoufang_fact"], by="ds")
     dwd = (spark.table(paths["dwd_ershoufang_fact"]) if into_catalog else
            spark.read.schema(dwd_new.schema).parquet(paths["dwd_ershoufang_fact"]))

@@ -1,4 +1,4 @@
-"""Batch sinks: dynamic partition overwrite, compaction, event publishing (SNK-*)."""
+"""Batch sinks: dynamic partition overwrite, event publishing (SNK-*); ``compaction`` merges small files."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import constants as K
-from ..session import scratch_path
 
 
 def _writer(df: DataFrame, by: Sequence[str] | str | None, max_records: int | None = None):
@@ -53,12 +51,6 @@ def clustered(df: DataFrame, by: Sequence[str] | str | None) -> DataFrame:
     return df.hint("rebalance", *cols) if cols and not df.isStreaming else df
 
 
-def clear_folder(spark, path: str, schema) -> None:
-    """Empty a staging folder with Spark's own overwrite (old files are deleted,
-    an empty result is written), so staged copies do not pile up."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-
-
 def data_files(spark, path: str) -> DataFrame:
     """One row per Parquet data file under ``path`` (``path``, ``length`` and the
     partition columns), from the file listing: the ``binaryFile`` source does
@@ -68,46 +60,12 @@ def data_files(spark, path: str) -> DataFrame:
             .drop("content", "modificationTime"))
 
 
-def compact(spark, path: str, partition_cols: Sequence[str] | str,
-            target_bytes: int = K.TARGET_FILE_BYTES) -> int:
-    """Rewrite a partitioned Parquet folder into files of ~``target_bytes`` (SNK-7).
-
-    Partition values are read as the strings they are in the folder names
-    (``007`` stays ``007``), so every folder is replaced by itself; columns of
-    any type, maps included, are carried through.  All partition columns of the
-    folder are kept, also those not named in ``partition_cols`` (a stream's
-    ``batch_id``), so the layout its writer uses stays valid.  Rows are
-    rebalanced on the partition columns with the advisory size set to the
-    target, then staged in the shared folder and swapped in with a dynamic
-    overwrite, so the job never reads the files it replaces.  Returns the
-    number of files the staged copy has.
-    """
-    named = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
-    types, advisory = "spark.sql.sources.partitionColumnTypeInference.enabled", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = {k: spark.conf.get(k) for k in (types, advisory)}
-    try:
-        spark.conf.set(types, "false")
-        spark.conf.set(advisory, str(target_bytes))
-        src = spark.read.parquet(path)
-        folders = [k for k in partition_folders(spark, path) if k in src.columns]
-        parts = folders + [c for c in named if c not in folders]
-        staged = scratch_path(spark, "compact-staging")
-        _writer(clustered(src, parts), parts).parquet(staged)
-        files = file_count(spark, staged)
-        copy = spark.read.schema(src.schema).parquet(staged)
-        _writer(clustered(copy, parts), parts).parquet(path)
-        clear_folder(spark, staged, src.schema)
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-    return files
-
-
-def partition_folders(spark, path: str) -> list[str]:
-    """Partition columns of a folder, outermost first, from the names of its files."""
-    one = data_files(spark, path).select("path").first()
-    inner = one["path"].split(path.rstrip("/").split("://")[-1].split(":")[-1], 1)[-1] if one else ""
-    return [p.split("=", 1)[0] for p in inner.split("/")[:-1] if "=" in p]
+def location(spark, table: str) -> str:
+    """Folder of a catalog table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type").take(1)
+    if not rows:
+        raise ValueError(f"{table} has no folder of its own")
+    return rows[0][0]
 
 
 def file_count(spark, path: str) -> int:
@@ -125,26 +83,36 @@ def to_message(df: DataFrame, key: str | None = None, columns: Sequence[str] | N
     return df.select(F.col(key).cast("string").alias("key"), value)
 
 
+def topic_messages(df: DataFrame, key: str = "user_id", order_by: Sequence[str] | str | None = "ts",
+                   partitions: int = 2) -> DataFrame:
+    """Messages (``partition``, ``key``, ``value``) laid out for a keyed topic (SNK-10).
+
+    A key belongs to one topic partition, and a topic partition is written by one task in the
+    order of its rows, so a consumer sees every key in order.  The number of partitions bounds the
+    writers, as it bounds the readers of a topic; a hot key fills one partition, which order per key demands.
+    """
+    order = [order_by] if isinstance(order_by, str) else list(order_by or ())
+    spot = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(partitions)).cast("int")
+    laid = df.withColumn("__spot", spot).repartitionById(partitions, F.col("__spot")).sortWithinPartitions("__spot", key, *order)
+    value = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value")
+    return laid.select(F.col("__spot").alias("partition"), F.col(key).cast("string").alias("key"), value)
+
+
 def publish_events(df: DataFrame, key: str = "user_id", fmt: str = "json",
                    path: str | None = None, order_col: str | None = "ts",
-                   options: dict | None = None, partitions: int | None = None) -> None:
+                   options: dict | None = None, partitions: int = 2) -> None:
     """Publish records keyed by ``key`` so per-key order holds (SNK-10).
 
-    ``fmt="kafka"`` writes key/value to a topic (the broker partitions by
-    key; needs the connector jar).  Otherwise rows are range-partitioned on
-    ``(key, order_col)`` and sorted within each file: every file holds a
-    contiguous, ordered slice of that order, so reading the files in part
-    order replays each key in order, and a hot key spans several files
-    (written by several tasks) instead of one.
+    ``fmt="kafka"`` writes partition, key and value to a topic of ``partitions``
+    partitions (needs the connector jar; a retried task sends its part again, in order).  Otherwise
+    the same messages become text files, one folder ``partition=<n>`` per topic partition with
+    one ordered file.
     """
+    out = topic_messages(df, key, order_col, partitions)
     if fmt == "kafka":
-        to_message(df, key).write.format("kafka").options(**(options or {})).save()
+        out.write.format("kafka").options(**(options or {})).save()
         return
-    order = [key] + ([order_col] if order_col else [])
-    spread = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    out = spread.sortWithinPartitions(*order)
-    out.write.mode("overwrite").json(path)
+    out.select("partition", "value").write.mode("overwrite").partitionBy("partition").text(path)
 
 
-__all__ = ["overwrite_partitions", "compact", "clear_folder", "data_files", "file_count",
-           "to_message", "publish_events"]
+__all__ = ["overwrite_partitions", "data_files", "file_count", "location", "topic_messages", "to_message", "publish_events"]

@@ -1,30 +1,37 @@
 """End-to-end streaming pipelines (SNK-5, STR-1..9).
 
 ``run_click_pipeline``: one source -> ODS + DWD (one ``foreachBatch``, one
-read) + two windowed aggregates (append, emitted once per closed window).
+read) + two windowed aggregates (append, emitted once per closed window),
+into folders or the tables of a catalog database.
 ``run_listing_pipeline``: nested JSON -> flatten -> contract validation ->
-keyed upsert into the ODS table partitioned by city.
+keyed upsert into the ODS change log by city; rejected rows to their own table.
+``listing_ingest_stream``: the producer side of the listings.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import constants as K
 from ..operators.nested import flatten_listing
-from ..operators.quality import anti_delivered, dedupe_first, validate
+from ..operators.quality import with_reasons
 from ..plans import clicks
 from ..schemas import ODS_KEYS
-from ..sinks.files import overwrite_partitions
-from .sinks import append_stream, batch_fanout, upsert_stream
+from ..sinks.files import is_table
+from .sinks import (append_stream, batch_fanout, each_batch, first_per_key_stream, load_name, upsert_batch,
+                    write_load)
 from .sources import with_event_watermark
 
 
+def target_name(root: str, name: str) -> str:
+    """A table of the catalog database ``root``, or a folder below the folder ``root``."""
+    return f"{root}.{name}" if is_table(root) else os.path.join(root, name)
+
+
 def category_metrics_stream(src: DataFrame, path: str, checkpoint: str,
                             trigger: dict | None = None, window: str = K.WINDOW_SIZE,
                             delay: str = K.WATERMARK_DELAY) -> StreamingQuery:
@@ -45,64 +52,73 @@ def run_click_pipeline(src: DataFrame, out_root: str, checkpoint_root: str,
                        trigger: dict | None = None) -> list[StreamingQuery]:
     """Start the four sinks of the click statement set; returns the queries.
 
-    ODS and DWD share one read of the source through ``batch_fanout``; the
-    two aggregates are stateful and run as their own append queries.
+    ``out_root`` is a folder, or the name of a catalog database whose tables are
+    created on first use.  ODS and DWD share one read of the source through
+    ``batch_fanout``; the two aggregates are stateful and run as their own append queries.
     """
     fan = batch_fanout(
-        src, {os.path.join(out_root, "ods_user_behavior"): clicks.click_ods,
-              os.path.join(out_root, "dwd_user_behavior"): clicks.click_dwd},
+        src, {target_name(out_root, "ods_user_behavior"): clicks.click_ods,
+              target_name(out_root, "dwd_user_behavior"): clicks.click_dwd},
         partition_by=["dt"], checkpoint=os.path.join(checkpoint_root, "click_layers"),
         trigger=trigger)
-    cat = category_metrics_stream(src, os.path.join(out_root, "dws_category_metrics"),
+    cat = category_metrics_stream(src, target_name(out_root, "dws_category_metrics"),
                                   os.path.join(checkpoint_root, "category_metrics"), trigger)
-    fun = behavior_funnel_stream(src, os.path.join(out_root, "dws_behavior_funnel"),
+    fun = behavior_funnel_stream(src, target_name(out_root, "dws_behavior_funnel"),
                                  os.path.join(checkpoint_root, "behavior_funnel"), trigger)
     return [fan, cat, fun]
 
 
-def listing_ods_stream(nested: DataFrame) -> DataFrame:
-    """Nested messages -> valid flat ODS rows (rejected rows are not forwarded)."""
-    flat = flatten_listing(nested)
-    valid, _ = validate(flat)
-    return valid
+def _seen_keys(spark, topic: str, delivered: DataFrame | None, checkpoint: str) -> DataFrame:
+    """Stream of the houses delivered before a query's first start (by earlier runs, or as ``delivered``).
+
+    They are written below the checkpoint once, so a restarted query reads the same files again (that is, none)."""
+    path = os.path.join(checkpoint, "seen")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
+        keys = spark.createDataFrame([], "house_id string") if delivered is None else delivered.select("house_id")
+        before = spark._jvm.org.apache.hadoop.fs.Path(topic)
+        if before.getFileSystem(spark._jsc.hadoopConfiguration()).exists(before):
+            keys = keys.unionByName(spark.read.schema("house_id string").parquet(topic).select("house_id"))
+        keys.where("house_id IS NOT NULL").distinct().write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").parquet(path)
+    return spark.readStream.schema("house_id string").parquet(path)
 
 
 def listing_ingest_stream(nested: DataFrame, topic: str, rejects: str, checkpoint: str,
-                          delivered: DataFrame | None = None, trigger: dict | None = None) -> StreamingQuery:
+                          delivered: DataFrame | None = None, trigger: dict | None = None) -> list[StreamingQuery]:
     """Producer side of the listings: validate, keep the first message per house, skip houses delivered
-    before (by an earlier run, or by an earlier batch of this one), deliver; rejects go to their own
+    before (by an earlier run, an earlier batch or as ``delivered``), deliver; rejects go to their own
     table with their reasons (DQ-1..3, STR-8).
 
-    Both tables are partitioned by ``batch_id`` and overwritten per batch, so a retried batch replaces
-    its own rows.
+    Delivered houses are keys in the state store, so a batch reads its messages and looks up their
+    houses, however many were delivered.  Two queries on the same source: deliveries and rejects.
     """
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark, mark = batch.sparkSession, F.lit(batch_id).cast("long")
-        flat = flatten_listing(batch, with_etl_time=False).persist()
+    tagged = with_reasons(flatten_listing(nested, with_etl_time=False))
+    seen = _seen_keys(nested.sparkSession, topic, delivered, os.path.join(checkpoint, "deliveries"))
+    first = first_per_key_stream(tagged, "house_id", ["event_time", "trace_id"], seen, unless="reasons")
+    return [append_stream(first, topic, os.path.join(checkpoint, "deliveries"), trigger=trigger),
+            reject_stream(tagged, rejects, os.path.join(checkpoint, "rejects"), trigger)]
+
+
+def reject_stream(tagged: DataFrame, rejects: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append the rows that failed a rule, with their reasons (DQ-1)."""
+    def run(batch, batch_id):
+        write_load(batch.where(F.size("reasons") > 0), rejects, load_name(batch, batch_id))
+    return each_batch(tagged, run, checkpoint, trigger)
+
+
+def run_listing_pipeline(nested: DataFrame, target: str, checkpoint: str, trigger: dict | None = None,
+                         rejects: str | None = None) -> StreamingQuery:
+    """Listing stream -> ODS, last write per (house_id, city) wins; rejected rows are appended to ``rejects``
+    (DQ-1), from the same read."""
+    def run(batch, batch_id):
+        batch = batch.persist()
         try:
-            valid, bad = validate(flat)
-            order = ["event_time", "trace_id"]
-            order += [c for c in valid.columns if c not in (*order, "house_id")]
-            first = dedupe_first(valid, "house_id", order, total_order=False)
-            if delivered is not None:
-                first = anti_delivered(first, delivered, "house_id")
-            try:
-                sent = spark.read.schema("house_id string, batch_id long").parquet(topic)
-                first = anti_delivered(first, sent.where(F.col("batch_id") != mark), "house_id")
-            except AnalysisException as e:  # nothing delivered yet
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
-            overwrite_partitions(first.withColumn("batch_id", mark), topic, by="batch_id")
-            overwrite_partitions(bad.withColumn("batch_id", mark), rejects, by="batch_id")
+            upsert_batch(batch.where(F.size("reasons") == 0).drop("reasons"), batch_id, target, list(ODS_KEYS),
+                         ["event_time", "trace_id"], ["city"])
+            if rejects:
+                write_load(batch.where(F.size("reasons") > 0), rejects, load_name(batch, batch_id))
         finally:
-            flat.unpersist()
-
-    w = nested.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"processingTime": "1 minute"})).start()
-
-
-def run_listing_pipeline(nested: DataFrame, target: str, checkpoint: str,
-                         trigger: dict | None = None) -> StreamingQuery:
-    """Listing stream -> ODS table, last write per (house_id, city) wins."""
-    return upsert_stream(listing_ods_stream(nested), target, list(ODS_KEYS),
-                         ["event_time", "trace_id"], checkpoint, ("city",), trigger)
+            batch.unpersist()
+    return each_batch(with_reasons(flatten_listing(nested)), run, checkpoint, trigger)

@@ -1,109 +1,135 @@
-"""Streaming sinks: partitioned append, keyed upsert, de-duplication (SNK-3/4/6, STR-3/7/8).
-
-Exactly-once: the file sink commits through its own metadata log; the
-``foreachBatch`` writers are idempotent per ``batch_id`` (a retried batch
-rewrites the same partitions with the same content).
+"""Streaming sinks: idempotent loads, keyed upserts, de-duplication (SNK-3/4/6, STR-3/7/8).
+
+Loads.  Every sink writes a micro-batch as one *load*: a partition
+``load_id=<query id>-<batch id>`` below the table's own partitions, replaced
+by a dynamic overwrite.  A retried batch replaces its own rows; a query that
+starts on a fresh checkpoint has a new query id, so it never touches rows that
+another run delivered.  ``sinks.compaction`` merges the loads of a partition
+while streams go on writing.
+
+Upserts.  A folder is upserted by appending changes: a batch is reduced to
+its latest row per key and written as a load, so what a batch reads and writes
+depends on the batch alone.  ``read_upserted`` picks the latest row per key on
+read, and the compaction job folds old changes in.  Catalog tables of formats
+with row-level operations are merged instead.
 """
 
 from __future__ import annotations
 
-import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ..operators.aggregate import latest_per_key
-from ..sinks.files import clear_folder, is_table, overwrite_partitions
+from ..sinks.files import is_table, overwrite_partitions
+from ..sources.batch import ensure_table
 
+LOAD_COL = "load_id"
 
-def _trigger(writer, trigger: dict | None):
-    return writer.trigger(**(trigger or {"processingTime": "1 minute"}))
 
+def load_name(batch: DataFrame, batch_id: int) -> str:
+    """Name of a micro-batch that no other batch of any query has, and that a retry gets again.
 
-def append_stream(df: DataFrame, path: str, checkpoint: str,
-                  partition_by: Sequence[str] | str | None = None, trigger: dict | None = None,
-                  name: str | None = None) -> StreamingQuery:
-    """Append-mode Parquet file sink (optionally partitioned); windowed
-    aggregates emit each window once, after the watermark closes it."""
-    w = (df.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).option("compression", "zstd"))
-    if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    The query id is Spark's: it is kept in the checkpoint and is new on a fresh one."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query or 'batch'}-{batch_id:010d}"
+
+
+def write_load(df: DataFrame, target: str, load: str, partition_by: Sequence[str] = ()) -> None:
+    """Write ``df`` as one load of a folder or catalog table (SNK-3, SNK-6)."""
+    overwrite_partitions(df.withColumn(LOAD_COL, F.lit(load)), target, by=[*partition_by, LOAD_COL])
+
+
+def ensure_load_table(spark: SparkSession, name: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
+    """Create a catalog table that streams can write loads to, if it is absent."""
+    columns = T.StructType([*schema.fields, T.StructField(LOAD_COL, T.StringType())])
+    ensure_table(spark, name, columns, [*partition_by, LOAD_COL])
+
+
+def _columns(partition_by: Sequence[str] | str | None) -> list[str]:
+    return [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
+
+
+def each_batch(df: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None = None,
+               name: str | None = None) -> StreamingQuery:
+    """Start a query that hands every micro-batch to ``run``."""
+    w = df.writeStream.outputMode("append").foreachBatch(run).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
-    return _trigger(w, trigger).start(path)
+    return w.trigger(**(trigger or {"processingTime": "1 minute"})).start()
 
 
-BUCKET_COL = "key_bucket"
+def append_stream(df: DataFrame, target: str, checkpoint: str,
+                  partition_by: Sequence[str] | str | None = None, trigger: dict | None = None,
+                  name: str | None = None) -> StreamingQuery:
+    """Append every batch to a folder or catalog table as a load; windowed aggregates emit
+    each window once, after the watermark closes it."""
+    parts = _columns(partition_by)
+    if is_table(target):
+        ensure_load_table(df.sparkSession, target, df.schema, parts)
+    return each_batch(df, lambda batch, i: write_load(batch, target, load_name(batch, i), parts), checkpoint, trigger, name)
 
 
-def with_key_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    """Add ``key_bucket = pmod(xxhash64(keys), buckets)`` for bucketed upserts."""
-    return df.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*[F.col(k) for k in keys]),
-                                            F.lit(buckets)).cast("int"))
+def batch_fanout(df: DataFrame, outputs: dict, partition_by: Sequence[str],
+                 checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """One source read, several stateless sinks (SNK-5).
+
+    ``outputs`` maps a folder or catalog table to a ``DataFrame -> DataFrame``
+    function.  Each micro-batch is persisted once and written to every
+    target as the same load, so a retried batch replaces its own rows everywhere.
+    """
+    for target, fn in outputs.items():
+        if is_table(target):
+            ensure_load_table(df.sparkSession, target, fn(df).schema, partition_by)
 
+    def run(batch, batch_id):
+        load = load_name(batch, batch_id)
+        batch = batch.persist()
+        try:
+            for target, fn in outputs.items():
+                write_load(fn(batch), target, load, partition_by)
+        finally:
+            batch.unpersist()
+    return each_batch(df, run, checkpoint, trigger)
+
+
+# ----------------------------------------------------------------- upserts --
 
 def upsert_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str],
-                 order_by: Sequence[str], partition_by: Sequence[str],
-                 buckets: int | None = None) -> None:
-    """Merge one micro-batch into a Parquet table: last write per key wins.
-
-    Only partitions touched by the batch are read and rewritten; with
-    ``buckets`` the table is also partitioned by a hash bucket of the key, so
-    a batch rewrites only the buckets its keys fall in rather than whole
-    ``partition_by`` partitions.  The merged rows are first written to a
-    staging folder (``_staging`` is hidden from readers of ``target``) and then
-    swapped in with a dynamic partition overwrite, so the job never
-    overwrites the files it reads.  A batch whose staged copy is complete is
-    resumed from it (a crash between delete and move cannot lose rows), and
-    replaying a finished batch yields the same rows (latest-per-key is
-    idempotent).
+                 order_by: Sequence[str], partition_by: Sequence[str]) -> None:
+    """Upsert one micro-batch: last write per key wins.
+
+    Into a folder, the batch's latest row per key is appended as a load; nothing that is
+    there is read or rewritten.  Into a catalog table it is merged with ``MERGE INTO``.
     """
-    spark = batch.sparkSession
     if is_table(target):
         merge_batch(batch, batch_id, target, keys, order_by)
         return
-    parts = list(partition_by)
-    if buckets:
-        batch = with_key_bucket(batch, keys, buckets)
-        parts.append(BUCKET_COL)
-    # one staging folder per table and batch; it is complete once its commit
-    # marker (_SUCCESS) is there, and then a retry only repeats the swap
-    staged = os.path.join(target, "_staging", f"batch-{batch_id}")
-    if not finished(spark, staged):
-        batch = batch.persist()
-        try:
-            latest = latest_per_key(batch, keys, order_by)
-            try:
-                existing = spark.read.schema(latest.schema).parquet(target)
-                side = latest.select(*[F.col(p).alias(f"__t_{p}") for p in parts]).distinct()
-                # null-safe: the rows of a NULL partition are replaced, so they must be merged too
-                touched = [F.col(p).eqNullSafe(F.col(f"__t_{p}")) for p in parts]
-                existing = existing.join(side, touched, "left_semi")
-                merged = latest_per_key(existing.unionByName(latest), keys, order_by)
-            except AnalysisException as e:  # first batch: the table does not exist yet
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
-                merged = latest
-            # a static overwrite: only that leaves the commit marker in the folder itself
-            (merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
-             .option("compression", "zstd").partitionBy(*parts).parquet(staged))
-        finally:
-            batch.unpersist()
-    overwrite_partitions(spark.read.schema(batch.schema).parquet(staged), target, by=parts)
-    clear_folder(spark, staged, batch.schema)
+    write_load(latest_per_key(batch, keys, order_by), target, load_name(batch, batch_id), partition_by)
+
+
+def read_upserted(spark: SparkSession, target: str, keys: Sequence[str], order_by: Sequence[str],
+                  schema: T.StructType | None = None, total_order: bool = True) -> DataFrame:
+    """The rows of an upserted folder: of all changes, the latest row per key.
+
+    A filter on key columns is pushed below the pick, so partitions that are part of the key (city) are pruned."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    changes = reader.parquet(target)
+    columns = schema.fieldNames() if schema is not None else [c for c in changes.columns if c != LOAD_COL]
+    return latest_per_key(changes.select(*columns), keys, order_by, total_order=total_order)
 
 
-def finished(spark, folder: str) -> bool:
-    """Whether ``folder`` holds a committed write with rows in it (a swapped copy is emptied)."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
-        return False
-    return any(s.isDirectory() for s in fs.listStatus(path))
+def merge_sql(table: str, view: str, keys: Sequence[str], order_by: Sequence[str]) -> str:
+    """``MERGE INTO`` by null-safe key equality; an existing row is replaced only by one that is not older."""
+    on = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
+    newer = (f"struct({', '.join(f's.`{c}`' for c in order_by)}) >= "
+             f"struct({', '.join(f't.`{c}`' for c in order_by)})")
+    return (f"MERGE INTO {table} t USING {view} s ON {on} WHEN MATCHED AND {newer} THEN UPDATE SET * "
+            f"WHEN NOT MATCHED THEN INSERT *")
 
 
 def merge_batch(batch: DataFrame, batch_id: int, table: str, keys: Sequence[str],
@@ -111,25 +137,18 @@ def merge_batch(batch: DataFrame, batch_id: int, table: str, keys: Sequence[str]
     """Upsert one micro-batch into a catalog table with ``MERGE INTO``.
 
     For table formats with row-level operations (Iceberg, Delta): the batch
-    is reduced to its latest row per key, then merged; an existing row is
-    replaced only by a row that is not older (struct comparison of
-    ``order_by``), so replaying a batch changes nothing.  Plain Parquet
-    tables cannot merge; use a folder path for them.
+    is reduced to its latest row per key, then merged, so replaying a batch
+    changes nothing.  Plain Parquet tables cannot merge; use a folder for them.
     """
     spark = batch.sparkSession
     view = f"lakestrata_upsert_{abs(hash(table))}_{batch_id}"
     latest_per_key(batch, keys, order_by).createOrReplaceTempView(view)
-    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-    newer = (f"struct({', '.join(f's.`{c}`' for c in order_by)}) >= "
-             f"struct({', '.join(f't.`{c}`' for c in order_by)})")
     try:
-        spark.sql(f"MERGE INTO {table} t USING {view} s ON {on} "
-                  f"WHEN MATCHED AND {newer} THEN UPDATE SET * "
-                  f"WHEN NOT MATCHED THEN INSERT *")
+        spark.sql(merge_sql(table, view, keys, order_by))
     except Exception as e:  # the engine reports an unsupported table operation
         if "UNSUPPORTED_FEATURE" in str(e):
             raise ValueError(f"{table} does not support MERGE INTO; upsert into a folder "
-                             f"path (Parquet rewrite) or a row-level table format") from e
+                             f"path (change log) or a row-level table format") from e
         raise
     finally:
         spark.catalog.dropTempView(view)
@@ -137,19 +156,12 @@ def merge_batch(batch: DataFrame, batch_id: int, table: str, keys: Sequence[str]
 
 def upsert_stream(df: DataFrame, target: str, keys: Sequence[str], order_by: Sequence[str],
                   checkpoint: str, partition_by: Sequence[str] = ("city",),
-                  trigger: dict | None = None, buckets: int | None = 16) -> StreamingQuery:
-    """Keyed upsert of a stream into a partitioned table (SNK-4, STR-7).
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Keyed upsert of a stream into a partitioned table (SNK-4, STR-7); see ``upsert_batch``."""
+    return each_batch(df, lambda batch, i: upsert_batch(batch, i, target, keys, order_by, partition_by), checkpoint, trigger)
 
-    A catalog table name as ``target`` is merged with ``MERGE INTO`` (for
-    row-level table formats); a folder path is upserted by rewriting the
-    touched partitions (and, with ``buckets``, only the touched key buckets).
-    """
-    def run(batch, batch_id):
-        upsert_batch(batch, batch_id, target, keys, order_by, partition_by, buckets)
-
-    w = df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
 
+# ----------------------------------------------------------- de-duplication --
 
 def dedupe_stream(df: DataFrame, key: Sequence[str] | str, event_time: str | None = None,
                   delay: str | None = None) -> DataFrame:
@@ -166,23 +178,67 @@ def dedupe_stream(df: DataFrame, key: Sequence[str] | str, event_time: str | Non
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def batch_fanout(df: DataFrame, outputs: dict, partition_by: Sequence[str],
-                 checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """One source read, several stateless sinks (SNK-5).
-
-    ``outputs`` maps a folder to a ``DataFrame -> DataFrame`` function.  Each
-    micro-batch is persisted once and written to every folder under a
-    ``batch_id=`` partition with dynamic overwrite, so a retried batch
-    replaces its own files instead of duplicating them.
+def _first_rows(batches, key: str, order: Sequence[str], unless: str | None):
+    """The least row per key, by ``order``, of one task's part of a micro-batch."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    batches = list(batches)
+    if not batches:
+        return
+    rows = pa.Table.from_batches(batches)
+    if unless:
+        rows = rows.filter(pc.equal(pc.fill_null(pc.list_value_length(rows.column(unless)), 0), 0))
+    rows = rows.take(pc.sort_indices(rows.select([key, *order]), [(c, "ascending") for c in (key, *order)],
+                                     null_placement="at_start"))
+    ids = rows.column(key).combine_chunks()
+    new = pa.concat_arrays([pa.array([True] * min(1, len(ids)), pa.bool_()), pc.not_equal(ids[1:], ids[:-1])])
+    yield from rows.filter(new).to_batches()
+
+
+def first_per_key_stream(df: DataFrame, key: str, order_by: Sequence[str], seen: DataFrame,
+                         unless: str | None = None) -> DataFrame:
+    """First row per key of a stream, skipping the keys of the stream ``seen`` (DQ-2, DQ-3, STR-8).
+
+    Within a micro-batch the least row by ``order_by`` is first (rows of a key meet in one task of
+    the batch; ties are broken by a hash of the row).  Keys of earlier batches are kept in the
+    state store by ``dropDuplicates``, which looks up the batch's keys only: what a batch reads does
+    not grow with what was delivered.  ``seen`` fills the same state in the first batch.  Rows whose list
+    column ``unless`` is not empty (reasons of a rejection) are left out before, as rows without a key are.
     """
-    def run(batch, batch_id):
-        batch = batch.persist()
-        try:
-            for path, fn in outputs.items():
-                out = fn(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
-                overwrite_partitions(out, path, by=list(partition_by) + ["batch_id"])
-        finally:
-            batch.unpersist()
+    old, tie = "__seen", "__tie"
+    # of a key that was seen, the marked row comes first
+    rows = df.where(F.col(key).isNotNull()).withColumn(old, F.lit(0)).withColumn(
+        tie, F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]))
+    marks = seen.select(key).withColumn(old, F.lit(-1))
+    both = rows.unionByName(marks, allowMissingColumns=True)
+    order = [old, *order_by, tie]
+    first = both.repartition(F.col(key)).mapInArrow(lambda batches: _first_rows(batches, key, order, unless), both.schema)
+    out = first.dropDuplicates([key]).where(F.col(old) == 0).drop(old, tie)
+    return out.drop(unless) if unless else out
+
+
+# -------------------------------------------------------------------- late --
+
+class LateRows(StreamingQueryListener):
+    """Counts rows dropped behind the watermark, by query id (STR-4).  ``spark.streams.addListener(LateRows())``."""
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event):
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.dropped[str(event.progress.id)] = self.dropped.get(str(event.progress.id), 0) + late
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
 
-    w = df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a query dropped behind the watermark, over the progress reports it still holds."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from lakestrata import catalog, fixtures
+from lakestrata import catalog, catalog_more as more, fixtures
 from lakestrata.operators.aggregate import latest_per_key
 from lakestrata.operators.nested import to_listing_message
 from lakestrata.plans import clicks, listings
@@ -13,7 +13,7 @@ from lakestrata.session import scratch_path
 from lakestrata.sinks.files import publish_events
 from lakestrata.sources.batch import (ensure_table, read_table, register_source)
 from lakestrata.streaming import jobs
-from lakestrata.streaming.sinks import upsert_batch
+from lakestrata.streaming.sinks import read_upserted, upsert_batch
 from lakestrata.streaming.sources import read_click_stream, read_listing_stream
 from tests.conftest import SF0001, rows
 
@@ -32,7 +32,7 @@ def test_click_statement_set_four_sinks(spark):
     dwd = spark.read.parquet(os.path.join(out, "dwd_user_behavior"))
     assert ods.count() == batch_src.count()
     assert dwd.count() == clicks.click_dwd(batch_src).count()
-    assert set(ods.columns) >= {"user_id", "ts_ltz", "dt", "batch_id"}
+    assert set(ods.columns) >= {"user_id", "ts_ltz", "dt", "load_id"}
     funnel = spark.read.parquet(os.path.join(out, "dws_behavior_funnel"))
     assert funnel.count() > 0 and funnel.where(F.col("step_name").isNull()).count() == 0
 
@@ -44,23 +44,19 @@ def test_listing_ingestion_upserts_valid_rows(spark):
     q = jobs.run_listing_pipeline(read_listing_stream(spark, "text", staged, max_files=1),
                                        target, ck, NOW)
     q.awaitTermination()
-    got = spark.read.parquet(target)
+    got = read_upserted(spark, target, ["house_id", "city"], ["event_time", "trace_id"])
     assert got.count() == got.select("house_id", "city").distinct().count()
     assert got.count() == catalog.ods(spark, SF0001).select("house_id", "city").distinct().count()
 
 
-def test_bucketed_upsert_equals_plain(spark, tmp_dir):
+def test_change_log_in_halves_equals_latest_per_key(spark, tmp_dir):
     ods = catalog.ods(spark, SF0001)
-    halves = [ods.where(F.col("event_time") % 2 == i) for i in (0, 1)]
     keys, order = ["house_id", "city"], ["event_time", "trace_id"]
-    for b, path in ((None, f"{tmp_dir}/plain"), (8, f"{tmp_dir}/bucketed")):
-        for i, h in enumerate(halves):
-            upsert_batch(h, i, path, keys, order, ["city"], buckets=b)
-    plain = spark.read.schema(ods.schema).parquet(f"{tmp_dir}/plain")
-    bucketed = spark.read.schema(ods.schema).parquet(f"{tmp_dir}/bucketed")
+    for i in (0, 1):
+        upsert_batch(ods.where(F.col("event_time") % 2 == i), i, f"{tmp_dir}/log", keys, order, ["city"])
+    got = read_upserted(spark, f"{tmp_dir}/log", keys, order, ods.schema)
     want = latest_per_key(ods, keys, order)
-    assert rows(plain, "house_id", "city", "trace_id") == rows(want, "house_id", "city", "trace_id")
-    assert rows(bucketed, "house_id", "city", "trace_id") == rows(plain, "house_id", "city", "trace_id")
+    assert rows(got, "house_id", "city", "trace_id") == rows(want, "house_id", "city", "trace_id")
 
 
 def test_run_daily_writes_all_layers_and_reruns_idempotently(spark, tmp_dir):
@@ -81,12 +77,18 @@ def test_publish_events_keeps_per_user_order(spark, tmp_dir):
     hot = msgs.withColumn("user_id", F.when(F.col("ts") % 3 == 0, F.lit("hot"))
                           .otherwise(F.col("user_id")))
     publish_events(hot, key="user_id", path=f"{tmp_dir}/topic", partitions=6)
-    files = sorted(glob.glob(f"{tmp_dir}/topic/part-*.json"))
-    replay = [(r["user_id"], r["ts"]) for f in files for r in map(js.loads, open(f))]
-    assert len(replay) == msgs.count()
-    assert replay == sorted(replay)          # per-key (and global key) order holds
-    hot_files = [f for f in files if any('"user_id":"hot"' in line for line in open(f))]
-    assert len(hot_files) > 1                # the hot key is split over several files
+    where = {}
+    n = 0
+    for f in sorted(glob.glob(f"{tmp_dir}/topic/partition=*/part-*")):
+        spot = f.split("partition=")[1].split("/")[0]
+        last = {}
+        for r in map(js.loads, open(f)):
+            assert last.get(r["user_id"], 0) <= r["ts"]      # in order within the file
+            assert where.setdefault(r["user_id"], f) == f    # one file per user
+            last[r["user_id"]] = r["ts"]
+            n += 1
+        assert int(spot) in range(6)
+    assert n == msgs.count()
 
 
 def test_ensure_table_read_table_register_source(spark, tmp_dir):
@@ -145,7 +147,7 @@ def test_cli_jobs(spark, tmp_dir):
     assert spark.read.parquet(paths["ads_top10_attention_houses_daily"]).count() > 0
     n = cli.main(["compact", "--path", paths["dwd_ershoufang_fact"], "--partition", "ds"],
                  spark=spark)
-    assert n >= 1 and spark.read.parquet(paths["dwd_ershoufang_fact"]).count() == \
+    assert n == 0 and spark.read.parquet(paths["dwd_ershoufang_fact"]).count() == \
         catalog.dwd(spark, SF0001).count()
     topic = fixtures.stage_json(clicks.click_messages(fixtures.click(spark, SF0001)),
                             f"{tmp_dir}/topic")
@@ -153,6 +155,27 @@ def test_cli_jobs(spark, tmp_dir):
               "--checkpoint", f"{tmp_dir}/ck"], spark=spark)
     assert spark.read.parquet(f"{tmp_dir}/lake/dws_category_metrics").count() > 0
 
+    listing_topic = fixtures.stage_json(to_listing_message(more.defective_listing(spark, SF0001)), f"{tmp_dir}/listings")
+    cli.main(["listings", "--path", listing_topic, "--target", f"{tmp_dir}/ods_log", "--rejects", f"{tmp_dir}/bad",
+              "--available-now", "--checkpoint", f"{tmp_dir}/ck2"], spark=spark)
+    cli.main(["ingest", "--path", listing_topic, "--target", f"{tmp_dir}/delivered", "--rejects", f"{tmp_dir}/bad2",
+              "--available-now", "--max-files", "2", "--checkpoint", f"{tmp_dir}/ck3"], spark=spark)
+    bad = spark.read.parquet(f"{tmp_dir}/bad").count()
+    assert bad > 0 and bad == spark.read.parquet(f"{tmp_dir}/bad2").count()
+    assert spark.read.parquet(f"{tmp_dir}/delivered").groupBy("house_id").count().where("count > 1").count() == 0
+    n = cli.main(["compact", "--path", f"{tmp_dir}/ods_log", "--key", "house_id", "--key", "city", "--order", "event_time",
+                  "--order", "trace_id"], spark=spark)
+    # the daily job reads the change log resolved to the latest rows
+    paths = cli.main(["daily", "--ods", f"{tmp_dir}/ods_log", "--out", f"{tmp_dir}/wh2", "--tz", "UTC", "--blacklist", "x"],
+                     spark=spark)
+    fact = spark.read.parquet(paths["dwd_ershoufang_fact"])
+    assert fact.count() == fact.select("house_id", "city").distinct().count() > 0
+    log = f"{tmp_dir}/clicks.csv"
+    with open(log, "w") as f:
+        f.write("u1,i,c,pv,1511544070\nu1,i,c,pv,1511544071\nu2,i,c,buy,5\nbroken\n")
+    cli.main(["publish", "--csv", log, "--out", f"{tmp_dir}/published", "--tz", "UTC"], spark=spark)
+    assert spark.read.text(f"{tmp_dir}/published").count() == 2
+
 
 def test_run_daily_concurrent_loads_match_sequential(spark, tmp_dir):
     ods = catalog.ods(spark, SF0001)

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from lakestrata.sinks.files import compact, file_count, overwrite_partitions
+from lakestrata.sinks import compaction
+from lakestrata.sinks.compaction import compact, recover
+from lakestrata.sinks.files import file_count, overwrite_partitions, topic_messages
 from tests.conftest import SF0001, rows
 
 
@@ -88,7 +90,7 @@ def test_compact_keeps_folder_names_maps_and_stream_layout(spark, tmp_dir):
     assert {d for d in os.listdir(tmp_dir) if "=" in d} == {"code=007", "code=7", "code=__HIVE_DEFAULT_PARTITION__"}
 
 
-def test_upsert_keeps_null_partition_rows_and_survives_a_crash_in_the_swap(spark, tmp_dir, monkeypatch):
+def test_upsert_keeps_null_partition_rows_and_survives_a_crash_in_the_write(spark, tmp_dir, monkeypatch):
     from lakestrata.streaming import sinks
     batch = lambda *r: spark.createDataFrame(list(r), "house_id string, city string, t int")
     go = lambda b, i: sinks.upsert_batch(b, i, f"{tmp_dir}/t", ["house_id", "city"], ["t"], ["city"])
@@ -96,11 +98,8 @@ def test_upsert_keeps_null_partition_rows_and_survives_a_crash_in_the_swap(spark
     real = sinks.overwrite_partitions
 
     def dies(df, target, by):
-        """Deletes what it was to replace, then fails."""
-        df.limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(f"{tmp_dir}/x")
-        for d in ("city=A", "city=__HIVE_DEFAULT_PARTITION__"):
-            for f in os.listdir(f"{target}/{d}"):
-                os.remove(f"{target}/{d}/{f}")
+        """Writes one row, then fails."""
+        real(df.limit(1), target, by)
         raise RuntimeError("executor lost")
     monkeypatch.setattr(sinks, "overwrite_partitions", dies)
     second = batch(("h3", None, 2), ("h4", "A", 2), ("h2", "A", 3))
@@ -109,5 +108,114 @@ def test_upsert_keeps_null_partition_rows_and_survives_a_crash_in_the_swap(spark
     monkeypatch.setattr(sinks, "overwrite_partitions", real)
     go(second, 1)
     go(second, 1)
-    got = spark.read.schema("house_id string, t int, city string").parquet(f"{tmp_dir}/t")
+    got = sinks.read_upserted(spark, f"{tmp_dir}/t", ["house_id", "city"], ["t"])
     assert rows(got, "house_id", "t") == [("h1", 1), ("h2", 3), ("h3", 2), ("h4", 2)]
+
+
+def _loads(spark, path, loads, per_load=300):
+    for n, load in enumerate(loads):
+        df = spark.range(n * per_load, (n + 1) * per_load).selectExpr("cast(id % 2 as string) dt", "id", f"'{load}' load_id")
+        df.repartition(2).write.mode("append").partitionBy("dt", "load_id").parquet(path)
+
+
+def test_compact_merges_closed_loads_and_leaves_the_rest(spark, tmp_dir):
+    big = spark.range(100_000).selectExpr("'9' dt", "id", "'q-0000000000' load_id").coalesce(1)
+    big.write.mode("append").partitionBy("dt", "load_id").parquet(tmp_dir)
+    _loads(spark, tmp_dir, ["q-0000000001", "q-0000000002", "q-0000000003", "r-0000000007"])
+    before = _files(tmp_dir)
+    n = compact(spark, tmp_dir, "dt", target_bytes=100_000)
+    after = _files(tmp_dir)
+    # the newest load of each query and the large partition are the same files as before
+    stay = {p for p in before if "dt=9" in p or "q-0000000003" in p or "r-0000000007" in p}
+    assert {p: before[p] for p in stay} == {p: after[p] for p in after if p in before}
+    assert n == len(after) - len(stay) == 2 and not any("q-0000000001" in p for p in after)
+    got = spark.read.schema("id long, dt string, load_id string").parquet(tmp_dir)
+    assert got.where("dt != '9'").count() == 1200 and got.select("id", "dt").distinct().count() == 101_200
+    assert compact(spark, tmp_dir, "dt", target_bytes=100_000) == 0        # nothing left to do
+    assert _files(tmp_dir) == after
+
+
+@pytest.mark.parametrize("target", [20_000, 60_000])
+def test_compacted_files_are_about_the_target(spark, tmp_dir, target):
+    df = spark.range(40_000).selectExpr("cast(id % 2 as string) dt", "uuid() u")
+    df.repartition(24).write.mode("append").partitionBy("dt").parquet(tmp_dir)
+    compact(spark, tmp_dir, "dt", target_bytes=target * 10)
+    sizes = [os.path.getsize(p) for p in _files(tmp_dir)]
+    total = sum(sizes)
+    assert len(sizes) <= total / (target * 10) + 4 and max(sizes) <= 1.6 * target * 10
+
+
+@pytest.mark.parametrize("step", ["remove", "data", "moves", "deletes"])
+def test_compaction_survives_a_crash_at_every_step(spark, tmp_dir, monkeypatch, step):
+    _loads(spark, tmp_dir, ["q-0000000001", "q-0000000002", "q-0000000003"])
+    want = rows(spark.read.schema("id long, dt string").parquet(tmp_dir).select("id", "dt"))
+    real_rewrite, real_finish = compaction._rewrite, compaction.finish
+
+    def dies(*args, **kw):
+        raise RuntimeError("driver lost")
+
+    def half(spark_, path, folder):
+        """Moves (and, for the later step, deletes) some files, then dies."""
+        fs, root = compaction._fs(spark_, f"{folder}/data")
+        one = fs.listFiles(root, True)
+        while one.hasNext():
+            p = one.next().getPath()
+            if p.getName().endswith(".parquet"):
+                inner = p.toString().split("/data/")[1]
+                target = spark_._jvm.org.apache.hadoop.fs.Path(f"{path}/{inner}")
+                fs.mkdirs(target.getParent())
+                fs.rename(p, target)
+                if step == "moves":
+                    break
+        if step == "deletes":
+            old = spark_.read.text(f"{folder}/remove").first()[0]
+            fs.delete(spark_._jvm.org.apache.hadoop.fs.Path(old), False)
+        raise RuntimeError("driver lost")
+    if step == "remove":
+        def rewrite(session, path, folder, job, picked, *rest):
+            session.createDataFrame(picked[["path"]]).write.text(f"{folder}/remove")
+            raise RuntimeError("driver lost")
+        monkeypatch.setattr(compaction, "_rewrite", rewrite)
+    else:
+        monkeypatch.setattr(compaction, "finish", dies if step == "data" else half)
+    with pytest.raises(RuntimeError):
+        compact(spark, tmp_dir, "dt")
+    monkeypatch.setattr(compaction, "_rewrite", real_rewrite)
+    monkeypatch.setattr(compaction, "finish", real_finish)
+    assert recover(spark, tmp_dir) == (step != "remove")
+    read = spark.read.schema("id long, dt string").parquet(tmp_dir).select("id", "dt")
+    assert rows(read) == want
+    compact(spark, tmp_dir, "dt")
+    assert rows(spark.read.schema("id long, dt string").parquet(tmp_dir).select("id", "dt")) == want
+    assert not os.listdir(f"{tmp_dir}/_compact")
+
+
+def test_compact_catalog_table(spark, tmp_dir):
+    from lakestrata.sources.batch import ensure_table
+    df = spark.range(3000).selectExpr("id", "cast(id % 3 as string) dt")
+    ensure_table(spark, "lakestrata_compact_t", df.schema, ["dt"], location=f"{tmp_dir}/t")
+    try:
+        for i in range(4):
+            df.where(f"id % 4 = {i}").write.insertInto("lakestrata_compact_t")
+        assert compact(spark, "lakestrata_compact_t", "dt") == 3
+        assert rows(spark.table("lakestrata_compact_t")) == rows(df)
+        assert file_count(spark, f"{tmp_dir}/t") == 3
+    finally:
+        spark.sql("DROP TABLE lakestrata_compact_t")
+
+
+def test_topic_messages_are_written_by_one_task_a_partition_in_order(spark):
+    from tests.test_plans import plan
+    df = spark.range(5000).selectExpr("IF(id % 3 = 0, 'hot', cast(id % 50 as string)) user_id", "5000 - id ts", "id item")
+    out = topic_messages(df, partitions=4)
+    assert "REPARTITION" in plan(out) or "repartitionbyid" in plan(out).lower() or "Exchange" in plan(out)
+    parts = out.rdd.glom().collect()
+    spots = [{r["partition"] for r in p} for p in parts]
+    assert all(len(s) <= 1 for s in spots) and sum(len(s) for s in spots) == len(set().union(*spots))
+    import json
+    for p in parts:
+        seen = {}
+        for r in p:
+            ts = json.loads(r["value"])["ts"]
+            assert seen.get(r["key"], 0) <= ts
+            seen[r["key"]] = ts

@@ -10,7 +10,8 @@ from lakestrata import catalog, fixtures
 from lakestrata.plans import clicks
 from lakestrata.session import scratch_path
 from lakestrata.streaming import jobs
-from lakestrata.streaming.sinks import upsert_batch
+from lakestrata.sinks.compaction import compact
+from lakestrata.streaming.sinks import read_upserted, upsert_batch
 from lakestrata.streaming.sources import read_click_stream
 from tests.conftest import SF0001, rows
 
@@ -34,7 +35,7 @@ def _metrics(spark, src_dir, out, ck):
     q = jobs.category_metrics_stream(
         read_click_stream(spark, source="text", path=src_dir, max_files=1), out, ck, NOW)
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("load_id")
 
 
 def test_stream_equals_batch_on_closed_windows(spark):
@@ -43,7 +44,7 @@ def test_stream_equals_batch_on_closed_windows(spark):
     out, ck = scratch_path(spark, "out"), scratch_path(spark, "ck")
     q = jobs.category_metrics_stream(read_click_stream(spark, "text", staged), out, ck, NOW)
     q.awaitTermination()
-    streamed = spark.read.parquet(out)
+    streamed = spark.read.parquet(out).drop("load_id")
     batch = clicks.category_window_metrics(catalog.click_src(spark, SF0001))
     wm = catalog.click_src(spark, SF0001).agg(F.max("ts_ltz")).first()[0] - dt.timedelta(seconds=3)
     closed = batch.where(F.col("win_end") <= F.lit(wm).cast("timestamp_ntz"))
@@ -88,12 +89,102 @@ def test_upsert_is_idempotent_and_keeps_city_changes(spark, tmp_dir):
     b1 = spark.createDataFrame([("h1", "A", 3, "t4", 30), ("h1", "B", 3, "t5", 99),
                                 ("h2", "A", 0, "t0", 1)], cols)
     keys, order = ["house_id", "city"], ["event_time", "trace_id"]
+    read = lambda: rows(read_upserted(spark, target, keys, order, b0.schema), "house_id", "city", "price")
     upsert_batch(b0, 0, target, keys, order, ["city"])
     upsert_batch(b1, 1, target, keys, order, ["city"])
-    once = rows(spark.read.schema(b0.schema).parquet(target), "house_id", "city", "price")
+    once = read()
     upsert_batch(b1, 1, target, keys, order, ["city"])   # replay of batch 1
-    again = rows(spark.read.schema(b0.schema).parquet(target), "house_id", "city", "price")
-    assert once == again == [("h1", "A", 30), ("h1", "B", 99), ("h2", "A", 5)]
+    assert once == read() == [("h1", "A", 30), ("h1", "B", 99), ("h2", "A", 5)]
+    # a fold keeps what readers see, also while the newest batch stays apart
+    compact(spark, target, "city", keys=keys, order_by=order, everything=True)
+    assert once == read()
+    # without a schema the load column is left out
+    assert set(read_upserted(spark, target, keys, order).columns) == set(b0.columns)
+
+
+def _bytes(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
+
+
+def test_a_batch_writes_no_more_when_the_table_has_grown(spark, tmp_dir):
+    """Bytes and files of an upserted batch do not depend on what the table holds (20 batches)."""
+    keys, order = ["house_id", "city"], ["event_time"]
+    sizes, before = [], 0
+    for i in range(20):
+        batch = spark.range(0, 400).selectExpr("cast(id % 300 as string) house_id", "'A' city",
+                                               f"id + 1000 * {i} event_time", "repeat('x', 50) title")
+        upsert_batch(batch, i, f"{tmp_dir}/t", keys, order, ["city"])
+        now = _bytes(f"{tmp_dir}/t")
+        sizes.append(now - before)
+        before = now
+    assert max(sizes) <= 1.2 * min(sizes)
+    assert read_upserted(spark, f"{tmp_dir}/t", keys, order).count() == 300
+
+
+def test_fresh_checkpoints_add_rows_and_a_retry_replaces_its_own(spark, tmp_dir):
+    from lakestrata.streaming.sinks import append_stream, batch_fanout
+    src, out = f"{tmp_dir}/src", f"{tmp_dir}/out"
+    t0 = dt.datetime(2024, 1, 1)
+    _write_msgs(src, "a.json", [_msg(t0 + dt.timedelta(seconds=i)) for i in range(100)])
+    for ck, want in (("c1", 100), ("c1", 100), ("c2", 200)):
+        q = batch_fanout(read_click_stream(spark, "text", src), {f"{out}/fan": clicks.click_ods}, ["dt"], f"{tmp_dir}/{ck}", NOW)
+        q.awaitTermination()
+        p = append_stream(read_click_stream(spark, "text", src), f"{out}/append", f"{tmp_dir}/a{ck}", trigger=NOW)
+        p.awaitTermination()
+        assert spark.read.parquet(f"{out}/fan").count() == spark.read.parquet(f"{out}/append").count() == want
+    # a batch whose commit was lost is run again under the same name
+    for f in os.listdir(f"{tmp_dir}/c2/commits"):
+        os.remove(f"{tmp_dir}/c2/commits/{f}")
+    q = batch_fanout(read_click_stream(spark, "text", src), {f"{out}/fan": clicks.click_ods}, ["dt"], f"{tmp_dir}/c2", NOW)
+    q.awaitTermination()
+    assert spark.read.parquet(f"{out}/fan").count() == 200
+
+
+def test_ingest_batches_read_what_arrives_and_not_what_was_delivered(spark, tmp_dir):
+    """Twenty batches with houses seen before and new ones: input rows a batch stay flat, each house comes once."""
+    src, out = f"{tmp_dir}/src", f"{tmp_dir}/out"
+    for i in range(20):
+        msgs = [{"header": {"source": "s", "event_time": 100 * i + k, "trace_id": f"t{i}-{k}"},
+                 "core_data": {"house_id": f"h{h}", "house_url": "u", "city": "c", "district": "d", "community": "m",
+                               "total_price": 1.0, "unit_price": 2, "area_sqm": 3.0}}
+                for k, h in enumerate([*range(10 * i, 10 * i + 10), *range(0, 10)])]
+        _write_msgs(src, f"{i:02d}.json", msgs)
+        os.utime(f"{src}/{i:02d}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    before = spark.createDataFrame([("h3",), ("h195",), (None,)], "house_id string")
+    from lakestrata.streaming.sources import read_listing_stream
+    queries = jobs.listing_ingest_stream(read_listing_stream(spark, "text", path=src, max_files=1), f"{out}/topic",
+                                         f"{out}/rejects", f"{tmp_dir}/ck", before, NOW)
+    for q in queries:
+        q.awaitTermination()
+        assert q.exception() is None
+    sizes = [p["numInputRows"] for p in queries[0].recentProgress if p["numInputRows"]]
+    assert len(sizes) == 20 and set(sizes[1:]) == {20} and sizes[0] == 22
+    got = spark.read.parquet(f"{out}/topic")
+    assert sorted(r[0] for r in got.select("house_id").collect()) == sorted(f"h{i}" for i in range(200) if i not in (3, 195))
+    assert got.where("house_id = 'h5'").first()["trace_id"] == "t0-5"
+
+
+def test_late_rows_are_counted(spark, tmp_dir):
+    from lakestrata.streaming.sinks import LateRows, late_rows
+    src, t0 = f"{tmp_dir}/src", dt.datetime(2024, 1, 1, 1, 0, 0)
+    late = LateRows()
+    spark.streams.addListener(late)
+    try:
+        for i, minutes in enumerate((0, 60, 1)):      # the third row is behind the watermark
+            _write_msgs(src, f"{i}.json", [_msg(t0 + dt.timedelta(minutes=minutes))])
+            q = jobs.category_metrics_stream(read_click_stream(spark, "text", src), f"{tmp_dir}/out", f"{tmp_dir}/ck", NOW)
+            q.awaitTermination()
+        assert late_rows(q) == 1
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+        assert late.dropped[str(q.id)] == 1
+    finally:
+        spark.streams.removeListener(late)
+
+
+def test_merge_matches_null_keys():
+    from lakestrata.streaming.sinks import merge_sql
+    sql = merge_sql("db.t", "v", ["house_id", "city"], ["event_time"])
+    assert "t.`city` <=> s.`city`" in sql and "t.`house_id` <=> s.`house_id`" in sql
 
 
 def test_bounded_dedupe_forgets_keys_behind_the_watermark(spark, tmp_dir):
@@ -114,7 +205,7 @@ def test_bounded_dedupe_forgets_keys_behind_the_watermark(spark, tmp_dir):
     q = append_stream(dedupe_stream(stream, "k", "ts_ltz", "10 minutes").drop("ts_ltz"), out, ck,
                       trigger=NOW)
     q.awaitTermination()
-    got = spark.read.parquet(out)
+    got = spark.read.parquet(out).drop("load_id")
     # within the watermark the duplicate is dropped; after it the key may re-appear
     assert got.where("k = 'u|c'").count() == 2 and got.where("k = 'u|x'").count() == 1
     assert got.where("k = 'u|c' AND ts < 1704067300").count() == 1   # the t0+1s copy was dropped
