@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import random
 import re
 import tempfile
 from collections import Counter, defaultdict
@@ -211,36 +212,46 @@ def test_proximity_matches_brute_force(spark):
         assert got == want
 
 
-def brute_line_dedup(docs):
-    copies = defaultdict(set)
-    for i, t in docs:
-        lines = (t or "").split("\n")
-        for a, b, counts in line_dedup.chunks(t):
-            if counts:
-                copies["\n".join(lines[a:b])].add(((i is None, i or 0), t, a, b))
-    gone = defaultdict(set)
-    for found in copies.values():
-        for (_, i), t, a, b in sorted(found)[1:]:
-            gone[(i, t)].add((a, b - a))
-    return [(i, len((t or "").split("\n")), sorted(gone.get((i or 0, t), ()))) for i, t in docs]
-
-
 def test_line_dedup_removes_repeated_chunks_only(spark):
     lines = [f"line number {k} of the shared part" for k in range(12)]
     shared, long = "\n".join(lines), " ".join(f"w{k}" for k in range(60))
+    code = ["int f(int a) {\n  for (;;) {\n    a += %d * b%d;\n    c%d(a);\n  }\n}" % (k, k, k) for k in range(4)]
     docs = [(1, f"start one\n{shared}\nend one"), (2, f"start\ntwo here\n{shared}\nend two"), (3, shared), (4, "only\nmine\nhere"),
             (5, f"a\n{long}\nb"), (6, f"c d\n{long}\ne f"), (7, "short line"), (8, "short line"), (9, None), (9, None), (10, ""),
-            (3, shared), (11, "z\n" * 500)]
+            (3, shared), (11, "z\n" * 500), (12, "\n\n".join(code)), (13, f"x\n\n{shared}\n\n\ny")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     rows = line_dedup.dedup_lines(df).collect()
-    got = [(r.doc_id, r.n_lines, [(s.first_line, s.n_lines) for s in r.removed]) for r in rows]
-    assert H.same_rows([(a, b, str(c)) for a, b, c in got], [(a, b, str(c)) for a, b, c in brute_line_dedup(docs)])
     by = {r.doc_id: r for r in rows}
-    assert not by[1].removed and by[2].removed and by[3].kept_in == [1] and by[6].text == "c d\ne f" and by[9].text is None
-    assert line_dedup.dedup_lines(H.odd_documents(spark)).count() == len(H.odd_rows())
+    assert len(rows) == len(docs) and not by[1].runs and by[1].text == docs[0][1]
+    assert by[2].text == "start\ntwo here\nend two" and by[3].text == "" and by[3].kept_in == [1]
+    assert by[6].text == "c d\ne f" and by[5].text == docs[4][1] and by[9].text is None and by[10].text == ""
+    assert by[8].text == "short line" and by[12].text == docs[13][1]          # short repeats and code stay
+    assert by[13].text == "x\n\n\n\ny" and by[11].text.count("z") <= line_dedup.MOST_LINES + 1
+    odd = line_dedup.dedup_lines(H.odd_documents(spark))
+    assert odd.columns == ["doc_id", "n_lines", "runs", "kept_in", "text"] and odd.count() == len(H.odd_rows())
     assert line_dedup.dedup_lines(H.no_documents(spark)).count() == 0
 
 
+def test_boundaries_resist_shifts():
+    """Whatever precedes a passage, its chunks are the same from the first whole one on."""
+    r = random.Random(8)
+    passage = [f"{r.random()} some words {k}".encode() for k in range(40)]
+    want = None
+    for shift in range(12):
+        before = [f"{r.random()} other words here".encode() for _ in range(shift)]
+        inner = {(a - shift, b - shift) for a, b in line_dedup.chunks(before + passage) if a > shift}
+        want = inner if want is None else want
+        assert len(inner ^ want) <= 2 and len(inner) > 20
+    for width in (1, 2, 5):
+        h = [r.getrandbits(64) for _ in range(30)]
+        rolled = line_dedup.rolling(h, width)
+        for i in range(width - 1, 30):
+            direct = 0
+            for x in h[i - width + 1:i + 1]:
+                direct = (direct * line_dedup._BASE + x) & (1 << 64) - 1
+            assert rolled[i] == direct
+
+
 def repeated_runs(docs):
     """Lines to remove by trying every run of lines of every text."""
     blank = lambda line: not H.WORD.search(line)
@@ -260,39 +271,55 @@ def repeated_runs(docs):
     return gone
 
 
-def test_line_dedup_removes_whole_repeated_runs(spark):
+def test_line_dedup_removes_planted_passages_and_repeated_runs_only(spark):
     rng = np.random.default_rng(5)
-    passage = "\n\n".join(" ".join(f"p{k}w{j}" for j in range(20)) for k in range(3))  # 60 words, no long line
-    vocab = [f"line {k}" for k in range(40)] + [" ".join(f"long{k}x{j}" for j in range(50 + k)) for k in range(5)] + ["", " \t"] * 4
+    r = random.Random(6)
+    vocab = [f"line {k} of the common kind" for k in range(40)] + [" ".join(f"long{k}x{j}" for j in range(50 + k)) for k in range(5)] + ["", " \t"] * 4
     docs = [(k, "\n".join(rng.choice(vocab, int(rng.integers(1, 12))))) for k in range(60)]
-    for k in range(60, 100):
-        before, after = (f"own {side} {k}\n" * int(rng.integers(0, 3)) for side in "ab")
-        docs.append((k, f"{before}{passage}\n{after}"))
-    rows = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
-    want, text = repeated_runs(docs), dict(docs)
-    assert any(want[k] for k in range(60)) and all(len(want[k]) >= 5 for k in range(61, 100))
-    for r in rows:
-        assert {k for s in r.runs for k in range(s.first_line, s.first_line + s.n_lines)} == want[r.doc_id]
-        assert r.text == "\n".join(x for k, x in enumerate(text[r.doc_id].split("\n")) if k not in want[r.doc_id])
-        assert all(s.first_line + s.n_lines < t.first_line for s, t in zip(r.runs, r.runs[1:]))
+    planted = {}
+    for p in range(60):
+        n = r.choice((2, 2, 3, 3, 4, 6, 9, 15))
+        lines = [" ".join(f"p{p}k{k}w{j}" for j in range(-(-60 // n))) for k in range(n)]
+        for copy in range(3):
+            k = 60 + 3 * p + copy
+            before = [f"own words of {k} before {x}" for x in range(r.randrange(4))]
+            body = "\n\n".join(lines) if p % 3 == 0 else "\n".join(lines)
+            after = [f"own words of {k} after {x}" for x in range(r.randrange(4))]
+            docs.append((k, "\n".join([*before, body, *after])))
+            if copy:
+                planted[k] = (len(before), len(before) + len(body.split("\n")))
+    rows = {x.doc_id: x for x in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    allowed, text = repeated_runs(docs), dict(docs)
+    hit = whole = 0
+    for i, x in rows.items():
+        gone = {k for s in x.runs for k in range(s.first_line, s.first_line + s.n_lines)}
+        assert gone <= allowed[i]                       # only lines of repeated runs, never of a first copy alone
+        assert x.text == "\n".join(y for k, y in enumerate(text[i].split("\n")) if k not in gone)
+        assert all(s.first_line + s.n_lines < t.first_line for s, t in zip(x.runs, x.runs[1:]))
+        if i in planted:
+            whole += planted[i][1] - planted[i][0]
+            hit += len(gone & set(range(*planted[i])))
+            assert not gone or gone == set(range(*planted[i]))
+    assert hit >= 0.95 * whole
+    kept = {y for x in rows.values() for y in (x.text or "").split("\n")}
+    assert all(y in kept for _, t in docs for y in t.split("\n"))     # a copy of every line stays
 
 
 def test_line_dedup_compares_bytes_when_hashes_clash(spark, monkeypatch):
     real = line_dedup._chunk_rows
 
-    def clash(batches, wanted):
+    def clash(batches, wanted, bits):
         import pyarrow as pa
         if wanted is not None:
-            wanted = type("All", (), {"value": b"\xff" * (1 << line_dedup.BITMAP_BITS - 3)})
-        for b in real(batches, wanted):
+            wanted = type("All", (), {"value": b"\xff" * (1 << bits - 3)})
+        for b in real(batches, wanted, bits):
             k = b.schema.names
             cols = [pa.array([7] * b.num_rows, pa.int64()) if n in ("k1", "k2") else b.column(n) for n in k]
             yield pa.RecordBatch.from_arrays(cols, names=k)
     monkeypatch.setattr(line_dedup, "_chunk_rows", clash)
-    docs = [(1, "a b\nc d"), (2, "a b\nc d"), (3, "e f\ng h"), (4, "i j\nk l"), (5, "e f\ng h")]
+    docs = [(1, "a b c\nc d e"), (2, "a b c\nc d e"), (3, "e f g\ng h i"), (4, "i j k\nk l m"), (5, "e f g\ng h i")]
     found = line_dedup.repeated_chunks(spark.createDataFrame(docs, "doc_id long, text string")).collect()
-    want = {(i, n) for i, _, spans in brute_line_dedup(docs) for _, n in spans}
-    assert {(r.doc_id, r.n_lines) for r in found} == want
+    assert {(r.doc_id, r.first_line, r.n_lines, r.kept_in) for r in found} == {(2, 0, 2, 1), (5, 0, 2, 3)}
 
 
 @pytest.mark.parametrize("module", [decontamination])
