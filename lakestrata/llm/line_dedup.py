@@ -8,14 +8,14 @@ inserted before a passage, its inner chunks are the same.  With a window of one
 lines has a whole chunk in 15 of 16 cases, one of three lines in 63 of 64.
 
 Repeated chunks.  Chunks are keyed by 128 bits of hash and counted over the whole
-corpus.  For keys that occur twice or more the bytes of the chunk and of its two neighbours are
-fetched (a bitmap sized by the number of those keys keeps most other chunks out of that shuffle).
+corpus.  For keys that occur twice or more the bytes of the chunk and the 128-bit hashes of the lines of its
+two neighbours are fetched (a bitmap sized by the number of those keys keeps most other chunks out of that shuffle).
 Per key the smallest and the largest content are aggregated (partially in every task, and by salted key
 after the shuffle, so a chunk that is everywhere is never gathered); equal ones prove all copies
 equal.  A key with differing contents is resolved by grouping on the content itself.
 
 Runs.  Every copy but the first by (doc_id, text hash, position) is laid against that first copy and
-extended line by line into its neighbours as long as the bytes agree.  Spans of one text with the same
+extended line by line into its neighbours as long as the line hashes agree.  Spans of one text with the same
 alignment (the same first text at the same distance) that overlap or touch are one run.  A run
 is removed if it has two lines with words and ``MIN_WORDS`` words, or ``LONG_WORDS`` words.  Closing braces
 and other short lines that happen to repeat are therefore kept.
@@ -82,7 +82,7 @@ def chunks(lines: list[bytes]) -> list[tuple[int, int]]:
 
 def _chunk_rows(batches, wanted, bits):
     """Keys and places of the chunks; with ``wanted`` (a bitmap of keys) only those in it, with content and neighbours."""
-    from xxhash import xxh3_128_intdigest
+    from xxhash import xxh3_128_digest, xxh3_128_intdigest
     content, bitmap = wanted is not None, wanted.value if wanted is not None else b""
     sign = lambda v: v - (1 << 64) if v >> 63 else v
     for batch in batches:
@@ -100,8 +100,9 @@ def _chunk_rows(batches, wanted, bits):
                         if not bitmap[bit >> 3] >> (bit & 7) & 1:
                             continue
                         bodies[0].append(whole)
-                        bodies[1].append(b"\n".join(lines[max(own[c - 1][0], a - MOST_LINES) if c else 0:a]))
-                        bodies[2].append(b"\n".join(lines[b:min(own[c + 1][1], b + MOST_LINES) if c + 1 < len(own) else b]))
+                        bodies[1].append(b"".join(map(xxh3_128_digest, lines[max(own[c - 1][0], a - MOST_LINES) if c else 0:a])))
+                        bodies[2].append(b"".join(map(xxh3_128_digest, lines[b:min(own[c + 1][1], b + MOST_LINES)
+                                                                             if c + 1 < len(own) else b])))
                     rows.append(r)
                     k1.append(sign(digest >> 64))
                     k2.append(sign(digest & _MASK))
@@ -138,9 +139,9 @@ def _bitmap(keys: DataFrame):
 
 
 def _extended(batches):
-    """Lay every copy against its first copy: the lines around that agree byte by byte belong to the span."""
+    """Lay every copy against its first copy: the lines around that agree belong to the span."""
     same = lambda x, y: next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
-    lines = lambda text: text.split(b"\n") if text else []
+    lines = lambda hashes: [hashes[k:k + 16] for k in range(0, len(hashes), 16)]
     for batch in batches:
         spans = []
         for i in range(0, batch.num_rows, 4096):
@@ -170,7 +171,9 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     compared = stage(copies.groupBy(*KEY, "salt").agg(F.min("content").alias("lo"), F.max("content").alias("hi"), least)
                      .groupBy(*KEY).agg((F.min("lo") == F.max("hi")).alias("equal"), F.min("first").alias("first")), "compared")
     equal = copies.join(compared.where("equal").select(*KEY, "first").hint("merge"), KEY)
-    mixed = copies.join(compared.where(~F.col("equal")).select(*KEY), KEY, "left_semi")
+    # hash clashes: a table of its own, whose size the planner knows (as a rule it is empty)
+    clashes = stage(compared.where(~F.col("equal")).select(*KEY), "clashes")
+    mixed = copies.join(clashes, KEY, "left_semi")
     firsts = mixed.groupBy(*KEY, "content").agg(least)
     members = equal.unionByName(mixed.join(firsts, [*KEY, "content"]))
     # <=> on the place: ids may be null inside it
