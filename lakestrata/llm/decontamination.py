@@ -7,19 +7,21 @@ the segment's word stream (one unused position lies between two documents, so
 no run of positions crosses them).  Segments never need each other, so the
 build and every search are one pass without a shuffle of postings.
 
-Search.  The query set (benchmark items) is cut into blocks of bounded size;
-each block is sent to the tasks that scan the segments.  A window (phrase) is
-looked up from its rarest term: that term's positions, moved to the window's
-start, are intersected with the moved lists of the next rarer terms until none
-or only exact matches are left.  ``proximity_matches`` finds places where all
-terms of a query occur within ``slop`` words, from the same lists.
+Search.  The queries (distinct windows of the benchmark items) are a table like any other;
+nothing of it passes the driver.  Counts of their terms over all segments name the rarest term of each
+query, and a join by that term names the segments where it can occur; queries with a term
+that occurs nowhere are gone by then.  Each segment is then read once more with the
+queries named for it (in parts of about ``QUERIES_A_PART``): from the segment's rarest term, its positions, moved
+to the window's start, are intersected with the moved lists of the next rarer terms until none or
+only exact matches are left.  ``proximity_matches`` finds places where all terms of a query occur
+within ``slop`` words, from the same lists.  Who owns a window is joined at the end.
 
 Words are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after lower-casing A-Z.
 
 Edge cases: a null text has no words; an item without words has no window; an
 item with a null id marks hits but is not counted or named; repeated items
 count once, repeated rows are decided row by row; empty tables give no hits;
-only doc_id/text and item_id/text are read.
+only doc_id/text and item_id/text are read; a very long text is one segment of its own.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import filter_by_rows, row_key, stage
 
 WINDOW = 10
-SEGMENT_BYTES, BLOCK_BYTES = 8 << 20, 4 << 20
+SEGMENT_BYTES, QUERIES_A_PART = 8 << 20, 20_000
 _KEPT = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
               for b in range(256))
 _SEGMENT = pa.schema([("segment", pa.string()), ("row_hash", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())),
@@ -152,47 +154,68 @@ def _rows(batches):
             yield batch.slice(i, 1)
 
 
-class Block:
-    """Windows of a block of items, with the items each one comes from."""
-
-    def __init__(self, items: list[tuple], window: int | None):
-        """``window`` None: every item is one query of its distinct words."""
-        self.vocab: dict[bytes, int] = {}
-        queries: dict[tuple, set] = {}
-        for item, text in items:
-            w = [self.vocab.setdefault(t, len(self.vocab)) for t in words(text)]
-            spans = ([tuple(sorted(set(w)))] if window is None else
-                     [tuple(w[i:i + window]) for i in range(max(1, len(w) - window + 1))]) if w else []
-            for q in spans:
-                queries.setdefault(q, set()).add(item)
-        self.groups: dict[int, tuple[np.ndarray, list]] = {}
-        for q, owners in queries.items():
-            self.groups.setdefault(len(q), ([], []))
-            self.groups[len(q)][0].append(q)
-            self.groups[len(q)][1].append(sorted(str(x) for x in owners if x is not None))
-        self.groups = {n: (np.array(a, np.int64), o) for n, (a, o) in self.groups.items()}
-
-    def local(self, seg: Segment):
-        """Queries whose terms all occur in the segment, as its term numbers, with their owners."""
-        number = np.array([seg.term.get(t, -1) for t in self.vocab], np.int64)
-        for table, owners in self.groups.values():
-            there = number[table]
-            for q in np.flatnonzero((there >= 0).all(axis=1)):
-                yield there[q].tolist(), owners[q]
-
-
-def _search(batches, block, mode, slop):
-    queries = block.value
+def _windows(batches, window):
+    """Queries of each item: its windows, or (``window`` None) one query of its distinct words."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 256):
+            part, terms, owner = batch.slice(i, 256), [], []
+            for item, text in zip(part.column("item").to_pylist(), part.column("text").to_pylist()):
+                w = words(text)
+                spans = ([sorted(set(w))] if window is None else
+                         [w[k:k + window] for k in range(max(1, len(w) - window + 1))]) if w else []
+                terms += spans
+                owner += [item] * len(spans)
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.list_(pa.binary())), pa.array(owner, pa.string())],
+                                             names=["terms", "item"])
+
+
+def build_queries(items: DataFrame, window: int | None = WINDOW) -> DataFrame:
+    """Distinct queries of ``items`` (item_id, text): ``query`` (a number), ``terms`` and the ``owners`` as strings."""
+    rows = items.select(F.col("item_id").cast("string").alias("item"), "text").distinct()
+    each = rows.mapInArrow(partial(_windows, window=window), "terms array<binary>, item string").distinct()
+    made = each.groupBy("terms").agg(F.array_sort(F.collect_set("item")).alias("owners"))
+    return stage(made.select(F.monotonically_increasing_id().alias("query"), "terms", "owners"), "queries")
+
+
+def _terms(batches):
+    """One row for each term of a segment, with its count."""
+    for batch in batches:
+        for name, terms, counts in zip(*(batch.column(c).to_pylist() for c in ("segment", "terms", "term_counts"))):
+            n = np.frombuffer(counts, "<i4")
+            if len(n):
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(n)), pa.array(terms.split(b" "), pa.binary()), pa.array(n)],
+                                                 names=["segment", "term", "n"])
+
+
+def _wanted(index: DataFrame, queries: DataFrame) -> DataFrame:
+    """Queries named for each segment, in parts: segment, part, queries (number, terms)."""
+    term = queries.select("query", F.explode(F.array_distinct("terms")).alias("term"))
+    occurs = stage(index.select("segment", "terms", "term_counts").mapInArrow(_terms, "segment string, term binary, n int")
+                   .join(term.select("term").distinct(), "term", "left_semi"), "occurs")
+    totals = stage(occurs.groupBy("term").agg(F.sum("n").alias("total")), "totals")
+    rarest = term.join(totals, "term", "left").groupBy("query").agg(
+        F.min_by("term", F.struct("total", "term")).alias("term"), F.count("total").alias("found"), F.count(F.lit(1)).alias("terms"))
+    named = rarest.where("found = terms").select("query", "term").join(occurs.select("term", "segment"), "term")
+    parts = max(1, -(-queries.count() // QUERIES_A_PART))
+    return (named.join(queries.select("query", "terms"), "query")
+            .groupBy("segment", F.pmod(F.xxhash64("query"), F.lit(parts)).alias("part"))
+            .agg(F.collect_list(F.struct("query", "terms")).alias("queries")))
+
+
+def _search(batches, mode, slop):
     for one in _rows(batches):
-        row = {n: one.column(n)[0].as_py() for n in ("n_words", "terms", "term_counts", "postings")}
-        seg, hits, owners = Segment(row), [], {}
-        for terms, items in queries.local(seg):
+        row = {n: one.column(n)[0].as_py() for n in ("n_words", "terms", "term_counts", "postings", "queries")}
+        seg, hits, found_in = Segment(row), [], {}
+        for q in row["queries"]:
+            terms = [seg.term.get(t, -1) for t in q["terms"]]
+            if min(terms) < 0:
+                continue
             found = seg.phrase(terms) if mode == "phrase" else seg.near(terms, slop)
             if len(found):
                 span = np.arange(len(terms)) if mode == "phrase" else np.zeros(1, np.int64)
                 hits.append((found[:, None] + span).ravel())
                 for d in np.unique(seg.doc_of(found)).tolist():
-                    owners.setdefault(d, set()).update(items)
+                    found_in.setdefault(d, []).append(q["query"])
         if not hits:
             continue
         pos = np.unique(np.concatenate(hits))
@@ -203,33 +226,22 @@ def _search(batches, block, mode, slop):
         yield pa.RecordBatch.from_arrays(
             [pa.array([name] * len(slots)), pa.array(slots, pa.int32()),
              pa.array([p - seg.start[d] for d, p in zip(slots, np.split(pos, cut))], pa.list_(pa.int64())),
-             pa.array([sorted(owners[d]) for d in slots.tolist()], pa.list_(pa.string()))],
-            names=["segment", "slot", "at", "items"])
-
-
-def _blocks(items: DataFrame, window: int | None, limit: int):
-    """Blocks of whole items of about ``limit`` bytes each, as broadcast variables."""
-    spark = items.sparkSession
-    rows = items.select("item_id", "text")
-    size = rows.agg(F.sum(F.octet_length("text") + 32)).first()[0] or 0
-    n = max(1, -(-size // limit))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    for k in range(n):
-        got = [tuple(r) for r in rows.where(part == k).distinct().collect()]
-        yield spark.sparkContext.broadcast(Block(got, window))
+             pa.array([found_in[d] for d in slots.tolist()], pa.list_(pa.int64()))],
+            names=["segment", "slot", "at", "queries"])
 
 
-def _matches(index: DataFrame, items: DataFrame, window, mode: str, slop: int, block_bytes: int) -> DataFrame:
+def _matches(index: DataFrame, items: DataFrame, window, mode: str, slop: int) -> DataFrame:
     """segment, slot, at (word positions), items of every document with matches."""
-    found = None
-    for block in _blocks(items, window, block_bytes):
-        one = index.select("segment", "n_words", "terms", "term_counts", "postings").mapInArrow(
-            partial(_search, block=block, mode=mode, slop=slop),
-            "segment string, slot int, at array<long>, items array<string>")
-        found = one if found is None else found.unionByName(one)
-    return found.groupBy("segment", "slot").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("at"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    queries = build_queries(items, window)
+    wanted = stage(_wanted(index, queries), "wanted")
+    payload = index.select("segment", "n_words", "terms", "term_counts", "postings")
+    hits = stage(payload.join(wanted, "segment").drop("part").mapInArrow(
+        partial(_search, mode=mode, slop=slop), "segment string, slot int, at array<long>, queries array<long>"), "hits")
+    owners = hits.select("segment", "slot", F.explode("queries").alias("query")).join(
+        queries.select("query", F.explode("owners").alias("item")), "query")
+    named = owners.groupBy("segment", "slot").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    places = hits.groupBy("segment", "slot").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("at"))
+    return places.join(named, ["segment", "slot"], "left")
 
 
 def _indexed_documents(index: DataFrame) -> DataFrame:
@@ -244,17 +256,15 @@ def _report(index: DataFrame, matches: DataFrame) -> DataFrame:
                     F.coalesce(F.col("items"), none).alias("items")))
 
 
-def phrase_matches(index: DataFrame, items: DataFrame, window: int = WINDOW,
-                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def phrase_matches(index: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per indexed document: n_words, ``at`` (hit word positions) and ``items`` with occurring windows."""
-    return _report(index, _matches(index, items, window, "phrase", 0, block_bytes))
+    return _report(index, _matches(index, items, window, "phrase", 0))
 
 
-def proximity_matches(index: DataFrame, items: DataFrame, slop: int = 20,
-                      block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def proximity_matches(index: DataFrame, items: DataFrame, slop: int = 20) -> DataFrame:
     """As ``phrase_matches``, for items whose distinct words all occur within ``slop`` words;
     ``at`` holds the first position of each smallest span."""
-    return _report(index, _matches(index, items, None, "near", slop, block_bytes))
+    return _report(index, _matches(index, items, None, "near", slop))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

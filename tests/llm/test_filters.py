@@ -230,7 +230,7 @@ def brute_windows(docs, items, n=10):
     return out
 
 
-def test_decontamination_of_odd_rows_in_small_segments_and_blocks(spark, tmp_dir):
+def test_decontamination_of_odd_rows_in_small_segments_and_parts(spark, tmp_dir, monkeypatch):
     passage = "the dog while it rained all day long in the old town"
     items = [(1, "x " + passage), (10, "Two WORDS"), (2, "two words"), (3, None), (4, ""), (None, "one"), (5, passage),
              (5, passage), (6, "lorem ipsum dolor " * 5), (7, "never seen words at all")]
@@ -238,10 +238,11 @@ def test_decontamination_of_odd_rows_in_small_segments_and_blocks(spark, tmp_dir
     df = H.odd_documents(spark).select("doc_id", "text").union(spark.createDataFrame(docs[-1:], "doc_id long, text string"))
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = brute_windows(docs, items)
-    for block in (1 << 20, 40):
+    for part in (1 << 20, 3):
+        monkeypatch.setattr(decontamination, "QUERIES_A_PART", part)
         index = decontamination.build_index(df, 300)
         got = [(r.doc_id, r.n_words, len(r["at"]), len(r["items"]), hashlib.sha256(",".join(r["items"]).encode()).hexdigest(),
-                bool(r["at"])) for r in decontamination.phrase_matches(index, bench, 10, block).collect()]
+                bool(r["at"])) for r in decontamination.phrase_matches(index, bench, 10).collect()]
         assert H.same_rows(got, want)
     docs2 = H.odd_documents(spark)
     clean = decontamination.decontaminate(docs2, bench)
