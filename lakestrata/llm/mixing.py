@@ -37,8 +37,11 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
 
 
-def seeded_hash(doc_id: Column, seed: int) -> Column:
-    return F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))
+def seeded_hash(doc_id: Column, text: Column, seed: int) -> Column:
+    """Place of a document in its source's order, from its id and text: rows that share an id (or have none) are
+    spread over the ranges by their texts."""
+    of_text = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    return F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), of_text)
                              .cast("binary")), 1, 16)
 
 
@@ -109,7 +112,7 @@ def _assign(sized: DataFrame, weights: Sequence[float], max_epochs: float) -> Da
 
 
 def _keys(docs: DataFrame, seed: int) -> list[Column]:
-    h = seeded_hash(F.col("doc_id"), seed)
+    h = seeded_hash(F.col("doc_id"), F.col("text"), seed)
     return [source_key(F.col("source")).alias("skey"), F.substring(h, 1, RANGE_DIGITS).alias("piece"), h.alias("h")]
 
 
@@ -139,7 +142,7 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_e
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size,
-         substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16) AS h
+         substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 16) AS h
   FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
