@@ -146,9 +146,15 @@ def q_contract_defaults(spark, sf):
     src = (src.withColumn("tags", F.when(F.col("house_id").endswith("-2"), F.lit(None))
                           .otherwise(F.col("tags")))
            .withColumn("version", F.when(F.col("house_id").endswith("-3"), F.lit(None))
-                       .otherwise(F.col("version"))))
-    out = quality.apply_contract(src)
-    return out.select("trace_id", "room_num", "hall_num", "bathroom_num", "floor_total",
+                       .otherwise(F.col("version")))
+           .withColumn("row", F.col("trace_id"))
+           .withColumn("trace_id", F.when(~F.col("house_id").endswith("-4"), F.col("trace_id")))
+           .withColumn("event_time", F.when(~F.col("house_id").endswith("-1"), F.col("event_time"))))
+    out = quality.apply_contract(src).withColumn(
+        "trace_id_form", F.when(F.col("trace_id") == F.col("row"), "given")
+        .when(F.col("trace_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"), "made").otherwise("missing")).withColumn(
+        "event_time_set", F.col("event_time").isNotNull())
+    return out.select(F.col("row").alias("trace_id"), "trace_id_form", "event_time_set", "room_num", "hall_num", "bathroom_num", "floor_total",
                       "total_price", "unit_price", "area_sqm", "build_year", "tags", "version")
 
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import constants as K
 from .aggregate import latest_per_key
@@ -64,8 +65,21 @@ def apply_contract(df: DataFrame, types: Mapping[str, str] = CONTRACT_TYPES,
                    defaults: Mapping[str, object] = COUNT_DEFAULTS,
                    array_defaults: Sequence[str] = ("tags",),
                    version_col: str | None = "version") -> DataFrame:
-    """Coerce to the contract types (``try_cast``) and fill defaults (PRJ-18)."""
+    """Coerce to the contract types (``try_cast``) and fill defaults (PRJ-18).
+
+    Columns the frame has: counts 0, lists and the ``raw_info`` map empty, the version; a missing
+    ``event_time`` is the time of the load, a missing ``trace_id`` an id of UUID form made from the
+    row as it came, so that a retried task gives it again.
+    """
     out = df
+    if "trace_id" in out.columns:
+        row = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).cast("binary"))
+        form = F.concat_ws("-", *[F.substring(row, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+        out = out.withColumn("trace_id", F.coalesce("trace_id", form))
+    if "event_time" in out.columns:
+        out = out.withColumn("event_time", F.coalesce("event_time", F.unix_seconds(F.current_timestamp())))
+    if "raw_info" in out.columns and isinstance(df.schema["raw_info"].dataType, T.MapType):
+        out = out.withColumn("raw_info", F.coalesce("raw_info", F.create_map().cast(df.schema["raw_info"].dataType)))
     for c, t in types.items():
         if c in out.columns:
             out = out.withColumn(c, F.col(c).try_cast(t))

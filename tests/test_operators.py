@@ -160,3 +160,13 @@ def test_day_range_reaches_the_scan_and_changes_nothing(spark, tmp_dir):
             assert part.count() == want.count() > 0
     p = plan(listings.listing_fact(ods, (), "Asia/Shanghai", "20181104", "20181104"))
     assert "GreaterThanOrEqual(event_time," in p and "LessThan(event_time," in p
+
+
+def test_contract_fills_header_and_attributes_the_same_way_twice(spark):
+    from lakestrata.operators.quality import apply_contract
+    df = spark.createDataFrame([(None, None, "h1", None), (None, 5, "h2", {"a": "b"}), ("t", 6, "h1", None)],
+                               "trace_id string, event_time long, house_id string, raw_info map<string,string>")
+    one, two = ({r["house_id"] + str(r["event_time"])[:1]: r for r in apply_contract(df).collect()} for _ in range(2))
+    made = [r["trace_id"] for r in one.values()]
+    assert len(set(made)) == 3 and "t" in made and sorted(made) == sorted(r["trace_id"] for r in two.values())
+    assert all(r["event_time"] is not None and r["raw_info"] is not None for r in one.values())
