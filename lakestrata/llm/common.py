@@ -95,6 +95,12 @@ def row_key(cols: Sequence[str]) -> Column:
     return F.xxhash64(*parts)
 
 
+def whole_row_key(df: DataFrame) -> Column:
+    """Hash of a whole row; columns that hold maps, which have no hash of their own, by their JSON."""
+    return F.xxhash64(*[F.to_json(F.struct(col(f.name))) if "map<" in f.dataType.simpleString() else x
+                        for f in df.schema.fields for x in (col(f.name), col(f.name).isNull())])
+
+
 def filter_by_rows(docs: DataFrame, rows: DataFrame, key_cols: Sequence[str], keep: bool) -> DataFrame:
     """Rows of ``docs`` whose (doc_id, row_key) occurs (``keep``) or does not occur in ``rows``.
 

@@ -32,11 +32,14 @@ Equal documents share one fingerprint and are collapsed before any join.
 Edge cases: a null text counts as empty; texts without words have fingerprint
 zero and link like any other; null ids take part but are never the smallest id
 unless a group has no other; repeated rows link to each other; an empty table
-gives an empty result; only doc_id and text are read.
+gives an empty result; only doc_id and text are read; a very long text is hashed
+in pieces of ``PIECE`` bytes.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import lru_cache, partial
 from itertools import combinations, repeat
 
@@ -45,9 +48,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, fresh, row_key, stage
+from .common import col, fresh, row_key, stage, whole_row_key
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
+PIECE = 1 << 22                              # bytes of a text that are hashed at a time
 SEGMENTS = ((0, 22), (22, 21), (43, 21))     # first bit, width
 PAIRS = ((0, 1), (1, 2), (2, 0))             # exact segment, fuzzy segment
 DIRECT = 32
@@ -56,21 +60,37 @@ GENERATOR = 0b101011100011                   # fixed value: x^11+x^9+x^7+x^6+x^5
 _UPPER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _EACH = np.uint64(0x0101010101010101)
 _SHIFTS = np.arange(8, dtype=np.uint64)[:, None]
+_GAP = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def word_pieces(raw: bytes, size: int = PIECE) -> Iterator[list[bytes]]:
+    """The words of a text in lists, each of a piece of about ``size`` bytes that ends at white space."""
+    at = 0
+    while at < len(raw):
+        gap = _GAP.search(raw, at + size)
+        end = gap.start() if gap else len(raw)
+        yield raw[at:end].split()
+        at = end
 
 
 def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     """64-bit SimHash of the word shingles, as an unsigned integer."""
     from xxhash import xxh64_intdigest
-    words = (text or "").encode().translate(_UPPER).split()
-    if not words:
-        return 0
-    n = max(1, len(words) - width + 1)
-    shingles = map(b" ".join, zip(*(words[k:] for k in range(width)))) if len(words) >= width else [b" ".join(words)]
-    h = np.zeros(-(-n // 255) * 255, np.uint64)
-    h[:n] = np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n)
-    # eight bit counters per 64-bit integer: blocks of 255 hashes cannot overflow a byte
-    sums = ((h >> _SHIFTS) & _EACH).reshape(8, -1, 255).sum(axis=2, dtype=np.uint64)
-    count = sums.view(np.uint8).reshape(8, -1, 8).sum(axis=1, dtype=np.int64)  # [bit in byte, byte]
+    n, count, words = 0, np.zeros((8, 8), np.int64), []
+    for piece in word_pieces((text or "").encode().translate(_UPPER)):
+        words = words + piece if words else piece
+        if len(words) < width:
+            continue
+        own = len(words) - width + 1
+        shingles = map(b" ".join, zip(*(words[k:] for k in range(width))))
+        h = np.zeros(-(-own // 255) * 255, np.uint64)
+        h[:own] = np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), np.uint64, own)
+        # eight bit counters per 64-bit integer: blocks of 255 hashes cannot overflow a byte
+        sums = ((h >> _SHIFTS) & _EACH).reshape(8, -1, 255).sum(axis=2, dtype=np.uint64)
+        count += sums.view(np.uint8).reshape(8, -1, 8).sum(axis=1, dtype=np.int64)  # [bit in byte, byte]
+        n, words = n + own, words[own:]
+    if not n:      # fewer words than a shingle: the whole sequence
+        return int(xxh64_intdigest(b" ".join(words), SEED)) if words else 0
     return int.from_bytes(np.packbits(2 * count > n, axis=0, bitorder="little").tobytes(), "little")
 
 
@@ -219,7 +239,7 @@ def one_per_group(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     name = lambda d, h: F.concat_ws(":", F.coalesce(d.cast("string"), F.lit("null")), h.cast("string"))
     side = stage(chosen.select(name(F.col("p.doc_id"), F.col("p.row_hash")).alias(key)), "chosen")
     rows = docs.withColumn(key, name(col("doc_id"), row_key(["text"]))).join(side, key, "left_semi")
-    first = F.row_number().over(Window.partitionBy(key).orderBy(row_key(docs.columns)))
+    first = F.row_number().over(Window.partitionBy(key).orderBy(whole_row_key(docs)))
     return rows.withColumn(seen, first).where(F.col(seen) == 1).select(*map(col, docs.columns))
 
 

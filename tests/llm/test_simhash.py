@@ -93,3 +93,21 @@ def test_near_duplicates_of_odd_rows(spark):
         assert by_group.pop(roots[k], 1) is None and r.doc_id == ids.get(roots[k]) and r.copies == "extra copies"
     assert simhash.near_duplicates(H.no_documents(spark)).count() == 0
     assert simhash.one_per_group(H.no_documents(spark)).count() == 0
+
+
+def test_pieces_change_no_fingerprint(monkeypatch):
+    r = random.Random(4)
+    texts = [" ".join(r.choice("ab cd E\x85 é漢 word\n\n x\t".split(" ")) for _ in range(r.randrange(300))) for _ in range(60)]
+    whole = [simhash.fingerprint(t) for t in texts]
+    assert whole == [brute(t) for t in texts]
+    for size in (1, 3, 50):
+        assert [simhash.fingerprint(t) for t in texts] == whole
+        assert all([w for p in simhash.word_pieces(t.encode(), size) for w in p] == t.encode().split() for t in texts)
+        monkeypatch.setattr(simhash, "word_pieces", lambda raw, n=size, f=simhash.word_pieces: f(raw, n))
+
+
+def test_one_per_group_with_a_map_column(spark):
+    df = spark.createDataFrame([(1, "a b c d", {"x": 1}), (1, "a b c d", None), (2, "a b c d", {"x": 2}), (3, "other words here now", {})],
+                               "doc_id long, text string, extra map<string,int>")
+    got = simhash.one_per_group(df)
+    assert got.columns == df.columns and sorted(r.doc_id for r in got.collect()) == [1, 3]
