@@ -3,6 +3,11 @@
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor
 kept; its result is written as Parquet to the shared folder and read again as
 the next stage's ``docs``.
+
+Edge cases, in every stage: rows with null ids, texts, languages or sources, empty and very long texts,
+repeated rows and extra columns (maps too) are handled as the operators' docstrings say, and all columns are
+carried to the last stage.  Quality rules drop null and empty texts (fewer than 50 words); of repeated
+rows one stays; an empty table passes through all stages.
 """
 
 from __future__ import annotations
