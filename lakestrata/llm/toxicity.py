@@ -50,7 +50,7 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     size = np.fromiter(map(len, marked), np.int64, len(marked))
     word = np.repeat(np.arange(len(marked)), size)
     at = np.arange(len(c)) - np.repeat(np.cumsum(size) - size, size)
-    power = np.cumprod(np.full(int(size.max(initial=0)) + 1, _BASE))
+    power = np.cumprod(np.full(max(int(size.max(initial=0)), *GRAMS) + 1, _BASE))  # also without any word
     whole = np.add.reduceat(c * power[at], np.cumsum(size) - size) if len(marked) else np.zeros(0, np.uint64)
     hashes, owners = [whole], [np.arange(len(marked))]
     for n in GRAMS:

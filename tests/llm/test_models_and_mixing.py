@@ -164,3 +164,35 @@ def test_release_removes_staged_tables(spark):
     assert os.path.exists(path)
     common.release(spark)
     assert not os.path.exists(path)
+
+
+def plain_quality_features(text):
+    """Hashed word and shape 1- and 2-grams, one at a time."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    shape = [bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in w)
+             for w in (text or "").encode().split()]
+    w, s, m = [zlib.crc32(x) for x in low], [zlib.crc32(x) * 0x85EBCA6B % 2**32 for x in shape], 2**32
+    grams = w + s
+    for k, x in enumerate((w, s), 1):
+        grams += [(a * 0x9E3779B1 % m) ^ (b + k) % m for a, b in zip(x, x[1:])]
+    ids = [(h ^ h >> 15) & (1 << quality_classifier.BITS) - 1 for h in grams]
+    ids += [0] * sum(a == b for a, b in zip(w, w[1:]))
+    count = {i: ids.count(i) for i in set(ids)}
+    size = sum(n * n for n in count.values()) ** 0.5
+    return {i: n / size for i, n in count.items()}
+
+
+def test_scores_equal_a_plain_sum_over_the_fitted_model(spark):
+    rng = np.random.default_rng(2)
+    texts = [t for _, t, *_ in H.odd_rows() if len(t or "") < 5000] + ["A a A b B1 b! é漢 é漢", "stupid Stupid\nstupid"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for module in (quality_classifier, toxicity):
+        model = (rng.normal(0, 1, 1 << module.BITS).astype(np.float32), 0.25)
+        got = {r.doc_id: r.score for r in module.score(df, model, F.lit(False)).collect()}
+        for i, t in enumerate(texts):
+            if module is toxicity:
+                ids, share = toxicity.bag(t)
+                total = float((model[0][ids].astype(float) * share).sum())
+            else:
+                total = sum(float(model[0][k]) * v for k, v in plain_quality_features(t).items())
+            assert abs(got[i] - 1 / (1 + np.exp(-(total + 0.25)))) < 1e-5, (module.__name__, t)
