@@ -74,7 +74,8 @@ def iban_pattern() -> str:
     for country, n in IBAN_LENGTHS.items():
         by_length.setdefault(n, []).append(country)
     each = "|".join(rf"(?:{'|'.join(names)})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, names in by_length.items())
-    return rf"(?i)(?<![A-Z0-9])(?:{each})(?![A-Z0-9])"
+    # the form is tested before the countries are
+    return rf"(?i)(?<![A-Z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{each})(?![A-Z0-9])"
 
 
 def mod97(s: Column) -> Column:
