@@ -190,6 +190,18 @@ def test_compaction_survives_a_crash_at_every_step(spark, tmp_dir, monkeypatch,
     assert not os.listdir(f"{tmp_dir}/_compact")
 
 
+@pytest.mark.parametrize("arrow", ["true", "false"])
+def test_compact_with_and_without_arrow(spark, tmp_dir, monkeypatch, arrow):
+    """Without Arrow the plan's counts come from pandas as longs, which no row number of a partition may be."""
+    df = spark.range(400).selectExpr("id", "cast(id % 3 as string) AS dt")
+    df.repartition(6).write.partitionBy("dt").mode("append").parquet(tmp_dir)
+    session = compaction._strings_session(spark)
+    session.conf.set("spark.sql.execution.arrow.pyspark.enabled", arrow)
+    monkeypatch.setattr(compaction, "_strings_session", lambda _: session)
+    assert compact(spark, tmp_dir, "dt") == 3
+    assert rows(spark.read.schema("id long, dt string").parquet(tmp_dir)) == rows(df)
+
+
 def test_compact_catalog_table(spark, tmp_dir):
     from lakestrata.sources.batch import ensure_table
     df = spark.range(3000).selectExpr("id", "cast(id % 3 as string) dt")
