@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from lakestrata.operators import quality
 from lakestrata.operators.aggregate import (distribution_map, latest_per_key, share_of_total,
                                             top_values)
+from lakestrata.operators.nested import parse_listing_json
 from lakestrata.operators.rank import ranks_with_cutoff, top_n_per_group
-from tests.conftest import rows
+from tests.conftest import SF0001, rows
 
 
 def test_distribution_map_skips_null_keys_and_counts(spark):
@@ -170,3 +171,23 @@ def test_contract_fills_header_and_attributes_the_same_way_twice(spark):
     made = [r["trace_id"] for r in one.values()]
     assert len(set(made)) == 3 and "t" in made and sorted(made) == sorted(r["trace_id"] for r in two.values())
     assert all(r["event_time"] is not None and r["raw_info"] is not None for r in one.values())
+
+
+def test_a_filter_on_message_fields_does_not_parse_again(spark):
+    from lakestrata import catalog
+    plan = catalog.RAW["listing_json_parse"](spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    values = spark.createDataFrame([("{\"core_data\":{\"house_id\":\"h\",\"unit_price\":\"n/a\"}}", 1), ("broken", 2), (None, 3)], "value string, n int")
+    got = parse_listing_json(values).select("n", "core_data.house_id", "core_data.unit_price", "header")
+    assert rows(got) == [(1, "h", None, None), (2, None, None, None), (3, None, None, None)]
+
+
+def test_listing_moves_lines_twice_and_gives_the_rows_of_its_sql(spark):
+    from lakestrata import fixtures
+    names = ("lineitem", "orders", "customer", "nation", "region", "part")
+    plain = spark.sql(fixtures.LISTING_SQL, **{t: fixtures.table(spark, SF0001, t) for t in names})
+    got = fixtures.listing(spark, SF0001)
+    assert got.columns == plain.columns and got.count() == plain.count()
+    assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+    joins = [line.strip(" :+-") for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert any("o_custkey" in j for j in joins) and not any("o_custkey" in j for j in joins[:-1])
