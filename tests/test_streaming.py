@@ -223,3 +223,18 @@ def test_merge_into_parquet_table_is_refused_clearly(spark, tmp_dir):
                          ["event_time", "trace_id"], ["city"])
     finally:
         spark.sql("DROP TABLE lakestrata_merge_t")
+
+
+def test_topics_are_compressed_in_bounded_files(spark, tmp_dir, monkeypatch):
+    from lakestrata import fixtures
+    monkeypatch.setattr(fixtures, "TOPIC_FILE_ROWS", 1000)
+    df = spark.range(5000).selectExpr("id", "concat('house-', id) AS house_id", "'a value that is long' AS text").coalesce(1)
+    path = fixtures.stage_json(df, f"{tmp_dir}/topic")
+    files = [f"{path}/{n}" for n in os.listdir(path) if n.startswith("part-")]
+    assert len(files) == 5 and sum(os.path.getsize(f) for f in files) < 5000 * 20
+    got = spark.read.schema(df.schema).json(path)
+    assert got.count() == 5000 and got.exceptAll(df).isEmpty()
+    stream = spark.readStream.text(path).selectExpr("get_json_object(value, '$.house_id') AS house_id")
+    stream.writeStream.format("parquet").option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start(
+        f"{tmp_dir}/out").awaitTermination()
+    assert spark.read.parquet(f"{tmp_dir}/out").distinct().count() == 5000
