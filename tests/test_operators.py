@@ -191,3 +191,21 @@ def test_listing_moves_lines_twice_and_gives_the_rows_of_its_sql(spark):
     assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
     joins = [line.strip(" :+-") for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
     assert any("o_custkey" in j for j in joins) and not any("o_custkey" in j for j in joins[:-1])
+
+
+def test_first_seen_sorts_only_what_it_returns(spark):
+    from lakestrata import catalog_more
+    plan = catalog_more.first_seen(spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+    window = next(line for line in plan.splitlines() if "row_number" in line)
+    assert "total_price" not in window and "raw_p1_desc" not in window
+
+
+def test_validate_makes_no_reasons_for_valid_rows(spark):
+    cols = list(quality.REQUIRED_STRINGS) + list(quality.REQUIRED_NUMBERS) + ["room_num"]
+    good, missing, text = ["s"] * 6 + ["1", "2", "3", "4"], [None] + ["s"] * 5 + ["1", "x", "3", None], ["s"] * 6 + ["1", "2", "3", "n/a"]
+    df = spark.createDataFrame([good, missing, text], ", ".join(f"{c} string" for c in cols))
+    valid, rejected = quality.validate(df)
+    assert valid.columns == cols and [list(r) for r in valid.collect()] == [good]
+    assert sorted(r.reasons for r in rejected.select("reasons").collect()) == [
+        ["missing:source", "not_numeric:unit_price"], ["not_integer:room_num"]]
+    assert "filter(array" not in valid._jdf.queryExecution().optimizedPlan().toString()
