@@ -86,3 +86,13 @@ def test_ranks_with_cutoff_reads_its_input_twice(spark):
     p = plan(listings.hot_communities(catalog.dwd_table(spark, SF0001)))
     assert p.count("WindowGroupLimit") <= 4 and p.count("Scan ExistingRDD") <= 2
 
+
+
+def test_latest_listings_are_sorted_once_after_the_shuffle(spark):
+    keys, order = ["house_id", "city"], ["event_time", "trace_id"]
+    query = catalog.RAW["upsert_latest_per_key"](spark, SF0001)
+    ods = catalog.ods(spark, SF0001)
+    few, many = (latest_per_key(ods, keys, order, few=x) for x in (True, False))
+    for df, picks in ((query, 0), (few, 0), (many, 1)):
+        assert plan(df).count("Arguments: [house_id") >= 1 and plan(df).count(", Partial") == picks
+    assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()
