@@ -231,3 +231,26 @@ def test_topic_messages_are_written_by_one_task_a_partition_in_order(spark):
             ts = json.loads(r["value"])["ts"]
             assert seen.get(r["key"], 0) <= ts
             seen[r["key"]] = ts
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_upsert_deals_rows_out_once(spark, tmp_dir, adaptive):
+    """A batch is shuffled by key only, and written unsorted, from the tasks that picked; reads carry no unused column."""
+    from lakestrata.streaming.sinks import read_upserted, upsert_batch
+    from tests.test_plans import plan
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.adaptive.enabled", adaptive)
+    df = session.range(4000).selectExpr("concat('h', id % 1000) AS k", "concat('c', id % 1000 % 3) AS city", "id AS t",
+                                        "repeat(cast(id AS string), 20) AS wide")
+    keys = ["k", "city"]
+    for i in (0, 1, 2):
+        upsert_batch(df.where(F.col("t") % 3 == i), i, f"{tmp_dir}/log", keys, ["t"], ["city"])
+    log = read_upserted(session, f"{tmp_dir}/log", keys, ["t"], df.schema)
+    assert rows(log) == rows(df.where("t >= 3000"))
+    assert int(session.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 1
+    narrow = plan(log.select("k", "t"))
+    exchange = narrow[narrow.rindex("Exchange\n"):].split("\n\n")[0]
+    assert "wide" not in exchange and ", Partial" not in narrow
+    assert compact(session, f"{tmp_dir}/log", "city", keys=keys, order_by=["t"], everything=True) == 3
+    assert rows(read_upserted(session, f"{tmp_dir}/log", keys, ["t"], df.schema)) == rows(log)
