@@ -254,3 +254,14 @@ def test_upsert_deals_rows_out_once(spark, tmp_dir, adaptive):
     assert "wide" not in exchange and ", Partial" not in narrow
     assert compact(session, f"{tmp_dir}/log", "city", keys=keys, order_by=["t"], everything=True) == 3
     assert rows(read_upserted(session, f"{tmp_dir}/log", keys, ["t"], df.schema)) == rows(log)
+
+
+def test_table_schemas_explodes_one_row_a_table(spark):
+    from tests.test_plans import plan
+    p = plan(entry.queries()["table_schemas"](spark, SF0001))
+    # every generator reads the one row of flags of an aggregate (a filter on its count in between)
+    assert p.count("+- Generate") + p.count(":- Generate") == 14
+    tree = [ln.strip(" :+-") for ln in p.split("\n\n")[0].splitlines()]
+    below = [next(x for x in tree[i + 1:] if not x.startswith(("Project", "Filter", "LocalLimit"))) for i, x in enumerate(tree)
+             if x.startswith("Generate")]
+    assert all("Aggregate" in x for x in below)
