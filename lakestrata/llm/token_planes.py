@@ -32,6 +32,7 @@ from .common import stage, text_slices
 from .tokens import encoder, public_path
 
 BLOCK_IDS, SEGMENT_IDS, END_ID = 65_536, 1 << 20, 0
+SLICE_BYTES = 4 << 20  # text that is encoded at a time; words and ids in flight take some 20 times that
 
 
 def pack_planes(ids: np.ndarray, bits: bool = False) -> list[bytes]:
@@ -88,7 +89,7 @@ def _encode(batches, name, bits, block_ids, segment_ids, arrow_kind):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
     for batch in batches:
-        for some in text_slices(batch):
+        for some in text_slices(batch, limit=SLICE_BYTES):
             made = enc.batch([t or "" for t in some.column("text").to_pylist()])
             for doc, ids in zip(some.column("doc_id").to_pylist(), made):
                 docs.append(doc)

@@ -37,8 +37,8 @@ PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 HARD = re.compile(f"(?<=[^{SPACE}])(?=[{SPACE}])")
 # A white-space character before a plain space: such a space starts no part of its own.
 GLUED = [chr(c) + " " for c in range(0x3001) if re.match(f"[{SPACE}]", chr(c))]
-MEMO_PARTS = 1_500_000  # parts remembered per worker; the memo is emptied when full
-MEMO_BYTES = 128 << 20  # and so are their names and ids above this size
+MEMO_PARTS = 500_000    # parts remembered per worker, some 200 bytes each beside names and ids; a full memo
+MEMO_BYTES = 64 << 20   # (or one whose names and ids are above this size) keeps those that were asked for again
 # What may follow a space as one part that needs no look inside: for the byte-level pattern a word of
 # Latin-1 letters and the ASCII signs after it (two pre-tokens), else anything without white space.
 SIMPLE = r"^(?P<a>[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)(?P<b>[!-&(-/:-@\[-`{-~]*)$"
@@ -87,8 +87,25 @@ class Encoder:
         self.number: dict[str, int] = {}                     # part -> its number
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0  # ids of all parts
         self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.asked = np.zeros(0, np.int32)                      # calls that asked for a part
         self.held = 0                                           # characters of all parts
 
+    def trim(self) -> None:
+        """Forget the parts that one call alone has asked for, most of a text's vocabulary, and the least asked for
+        of the others where they fill more than half the memo."""
+        names, asked, flat, at, size = list(self.number), self.asked, self.flat, self.at, self.size
+        keep = np.flatnonzero(asked > 1)
+        keep = keep[np.argsort(-asked[keep], kind="stable")][:MEMO_PARTS // 2]
+        cost = np.cumsum(4 * size[keep] + np.fromiter((len(names[i]) for i in keep.tolist()), np.int64, len(keep)))
+        keep = keep[cost <= MEMO_BYTES // 2]
+        self.forget()
+        self.number = {names[i]: k for k, i in enumerate(keep.tolist())}
+        self.flat = flat[ragged(at[keep], size[keep])]
+        self.used, self.held = len(self.flat), sum(map(len, self.number))
+        # counts start anew, so that parts which are no longer met leave with the next trim
+        self.size, self.asked = size[keep], np.ones(len(keep), np.int32)
+        self.at = np.cumsum(self.size) - self.size
+
     def whole(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
@@ -110,9 +127,12 @@ class Encoder:
             self.flat[self.used:total] = np.fromiter(chain.from_iterable(made), np.uint32, total - self.used)
             self.at = np.concatenate([self.at, self.used + np.cumsum(size) - size])
             self.size, self.used = np.concatenate([self.size, size]), total
+            self.asked = np.concatenate([self.asked, np.zeros(len(new), np.int32)])
             self.held += sum(map(len, new))
             number.update(zip(new, range(len(number), len(number) + len(new))))
-        return np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
+        out = np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
+        self.asked[out] += 1  # once a call, however often it repeats the part
+        return out
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text (unsigned 32-bit).
@@ -129,7 +149,7 @@ class Encoder:
         if not texts:
             return []
         if len(self.number) > MEMO_PARTS or self.held + 4 * self.used > MEMO_BYTES:
-            self.forget()
+            self.trim()
         lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         first = lists.offsets.to_numpy()
         words = lists.values.dictionary_encode()

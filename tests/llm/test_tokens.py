@@ -41,6 +41,21 @@ def test_long_texts_and_full_memo(name, monkeypatch):
     assert e.resync(texts[-1], 1000, 10) == e.whole(texts[-1])
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_full_memo_keeps_what_is_asked_for_again(name, monkeypatch):
+    e = tokens.Encoder(tokens.public_path(name))
+    monkeypatch.setattr(tokens, "MEMO_PARTS", 100)
+    rng, largest = random.Random(2), 0
+    for _ in range(20):
+        texts = ["often met " + " ".join("".join(rng.choice("abcde") for _ in range(9)) for _ in range(30))]
+        assert [b.tolist() for b in e.batch(texts)] == [e.whole(t) for t in texts]
+        largest = max(largest, len(e.number))
+    assert largest <= 100 + 40
+    e.trim()
+    assert " met" in e.number and len(e.number) <= 50
+    assert e.piece_ids("often met seldom met") == e.whole("often met seldom met")
+
+
 def test_token_counts_of_odd_rows(spark):
     docs, e = H.odd_documents(spark), enc(NAMES[1])
     got = token_counts.token_counts(docs, chunk=1000, overlap=50).collect()
