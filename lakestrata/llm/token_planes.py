@@ -32,7 +32,7 @@ from .common import stage, text_slices
 from .tokens import encoder, public_path
 
 BLOCK_IDS, SEGMENT_IDS, END_ID = 65_536, 1 << 20, 0
-SLICE_BYTES = 4 << 20  # text that is encoded at a time; words and ids in flight take some 20 times that
+SLICE_BYTES = 4 << 20  # text that is encoded at a time; words and ids in flight take some 10 times that
 
 
 def pack_planes(ids: np.ndarray, bits: bool = False) -> list[bytes]:
