@@ -238,3 +238,23 @@ def test_topics_are_compressed_in_bounded_files(spark, tmp_dir, monkeypatch):
     stream.writeStream.format("parquet").option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start(
         f"{tmp_dir}/out").awaitTermination()
     assert spark.read.parquet(f"{tmp_dir}/out").distinct().count() == 5000
+
+
+def test_first_per_key_shuffles_rows_once_and_keeps_the_first(spark, tmp_dir):
+    from lakestrata.streaming.sinks import append_stream, first_per_key_stream
+    check = "spark.sql.streaming.unsupportedOperationCheck"
+    data = spark.range(4000).selectExpr("cast(id % 40 as string) k", "cast(abs(hash(id)) % 100 as int) t", "id v",
+                                        "IF(id % 40 = 7 OR id % 3 = 0, array('bad'), cast(array() as array<string>)) why")
+    data.repartition(7).write.parquet(f"{tmp_dir}/in")
+    spark.createDataFrame([("3",), ("99",)], "k string").write.parquet(f"{tmp_dir}/seen")
+    stream = spark.readStream.schema(data.schema).parquet(f"{tmp_dir}/in")
+    seen = spark.readStream.schema("k string").parquet(f"{tmp_dir}/seen")
+    first = first_per_key_stream(stream, "k", ["t", "v"], seen, unless="why")
+    q = append_stream(first, f"{tmp_dir}/out", f"{tmp_dir}/ck", trigger=NOW, sorts=True)
+    q.awaitTermination()
+    plan = q._jsq.explainInternal(False)
+    assert plan.count("Exchange") == 1 and "Arrow" not in plan
+    assert spark.conf.get(check) == "true"
+    want = data.where("size(why) = 0 AND k <> '3'").groupBy("k").agg(F.min(F.struct("t", "v")).alias("m")).select("k", "m.*")
+    assert rows(spark.read.parquet(f"{tmp_dir}/out"), "k", "t", "v") == rows(want)
+    assert want.count() == 38
