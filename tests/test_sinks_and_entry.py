@@ -265,3 +265,25 @@ def test_table_schemas_explodes_one_row_a_table(spark):
     below = [next(x for x in tree[i + 1:] if not x.startswith(("Project", "Filter", "LocalLimit"))) for i, x in enumerate(tree)
              if x.startswith("Generate")]
     assert all("Aggregate" in x for x in below)
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_dir):
+    import glob
+    import time
+
+    from lakestrata.session import write_staged
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    df = spark.range(2000).selectExpr("id", "cast(id % 3 as string) dt")
+    before = files()
+    overwrite_partitions(df, f"{tmp_dir}/t", by="dt")
+    write_staged(df.repartition("id"), "no-shuffle-left")
+    for _ in range(50):  # they are removed in the background
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert rows(spark.read.schema("id long, dt string").parquet(f"{tmp_dir}/t")) == rows(df)
