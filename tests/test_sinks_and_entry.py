@@ -287,3 +287,14 @@ def test_writes_leave_no_shuffle_files(spark, tmp_dir):
     assert not files() - before
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
     assert rows(spark.read.schema("id long, dt string").parquet(f"{tmp_dir}/t")) == rows(df)
+
+
+def test_rows_of_few_partitions_are_written_in_place(spark, tmp_dir):
+    from lakestrata.sinks.files import OPEN_FILES, InPlace, clustered, place
+    for days, in_place in ((OPEN_FILES, True), (OPEN_FILES + 1, False)):
+        df = spark.range(500).selectExpr("id", f"cast(id % {days} as string) ds")
+        by = place(df, "ds")
+        assert isinstance(by, InPlace) == in_place and list(by) == ["ds"]
+        assert ("Rebalance" in clustered(df, by)._jdf.queryExecution().optimizedPlan().toString()) != in_place
+        overwrite_partitions(df, f"{tmp_dir}/{days}", by=by)
+        assert rows(spark.read.schema("id long, ds string").parquet(f"{tmp_dir}/{days}")) == rows(df)
