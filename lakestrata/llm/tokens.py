@@ -25,7 +25,7 @@ import json
 import os
 import re
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ SPACE = " \t\n\r\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 HARD = re.compile(f"(?<=[^{SPACE}])(?=[{SPACE}])")
 # A white-space character before a plain space: such a space starts no part of its own.
-GLUED = [chr(c) + " " for c in range(0x3001) if re.match(f"[{SPACE}]", chr(c))]
+GLUED = f"[{SPACE}] "
 MEMO_PARTS = 500_000    # parts remembered per worker, some 200 bytes each beside names and ids; a full memo
 MEMO_BYTES = 64 << 20   # (or one whose names and ids are above this size) keeps those that were asked for again
 # What may follow a space as one part that needs no look inside: for the byte-level pattern a word of
@@ -112,11 +112,16 @@ class Encoder:
     def numbers(self, parts: list[str], simple: bool = False) -> np.ndarray:
         """Numbers of parts; unknown ones are encoded.  ``simple`` ones are single pre-tokens of Latin letters or signs."""
         number = self.number
-        new = [p for p in dict.fromkeys(parts) if p not in number]
-        if new:
+        out = np.fromiter(map(number.get, parts, repeat(-1)), np.int64, len(parts))
+        unknown = np.flatnonzero(out < 0)
+        if len(unknown):
+            missed = [parts[i] for i in unknown.tolist()]
+            new = list(dict.fromkeys(missed))
             tok, raw = self.tok, new
-            if simple and self.model:
-                tok, raw = self.model, [p.encode().decode("latin-1").translate(self.letters) for p in new]
+            if simple and self.model:  # of ASCII, only the space has another letter
+                space = self.letters[32]
+                tok, raw = self.model, [p.replace(" ", space) if p.isascii() else
+                                        p.encode().decode("latin-1").translate(self.letters) for p in new]
             made = []
             for i in range(0, len(raw), 4096):
                 made += [e.ids for e in tok.encode_batch_fast(raw[i:i + 4096], add_special_tokens=False)]
@@ -130,7 +135,7 @@ class Encoder:
             self.asked = np.concatenate([self.asked, np.zeros(len(new), np.int32)])
             self.held += sum(map(len, new))
             number.update(zip(new, range(len(number), len(number) + len(new))))
-        out = np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
+            out[unknown] = np.fromiter(map(number.__getitem__, missed), np.int64, len(missed))
         self.asked[out] += 1  # once a call, however often it repeats the part
         return out
 
@@ -139,18 +144,18 @@ class Encoder:
 
         Texts are split at spaces and their words numbered by Arrow; the
         distinct words are cut into parts, and the ids gathered by number."""
-        glued = [any(map(t.__contains__, GLUED)) for t in texts]
-        if any(glued):  # white space before a plain space: cut part by part
-            made = iter(self._batch([t for t, g in zip(texts, glued) if not g]))
-            return [self._by_parts(t) if g else next(made) for t, g in zip(texts, glued)]
-        return self._batch(texts)
-
-    def _batch(self, texts: list[str]) -> list[np.ndarray]:
-        if not texts:
+        column = pa.array(texts, pa.large_string())
+        glued = pc.match_substring_regex(column, GLUED)
+        made = iter(self._batch(column.filter(pc.invert(glued))))
+        # white space before a plain space: cut part by part
+        return [self._by_parts(t) if g else next(made) for t, g in zip(texts, glued.to_pylist())]
+
+    def _batch(self, texts: pa.Array) -> list[np.ndarray]:
+        if not len(texts):
             return []
         if len(self.number) > MEMO_PARTS or self.held + 4 * self.used > MEMO_BYTES:
             self.trim()
-        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        lists = pc.split_pattern(texts, " ")
         first = lists.offsets.to_numpy()
         words = lists.values.dictionary_encode()
         distinct = words.dictionary

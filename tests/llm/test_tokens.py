@@ -96,3 +96,44 @@ def test_token_file_round_trip_and_random_access(spark, bits):
             for x in [np.array(e.whole(t or "") + [0], "<u4")]]
     assert H.same_rows([(r.doc_id, r.n_tokens, r.ids_crc32) for r in got], want)
     assert token_planes.read_documents(token_planes.write_token_file(H.no_documents(spark))).count() == 0
+
+
+def test_glued_spaces_are_found_in_one_pass():
+    """Every white-space character before a plain space is found, and nothing else is."""
+    import re
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from lakestrata.llm.tokens import GLUED, SPACE
+    texts = [f"a{chr(c)} b" for c in range(0x3002) if not 0xD800 <= c < 0xE000] + ["a b", "", " ", "  ", "a \nb"]
+    found = pc.match_substring_regex(pa.array(texts, pa.large_string()), GLUED).to_pylist()
+    assert found == [bool(re.search(f"[{SPACE}] ", t)) for t in texts] and sum(found) > 20
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_the_memo_is_asked_once_a_part(name):
+    """One look-up in the memo for a known part, and the ids of the whole texts, known parts or not."""
+    from lakestrata.llm.tokens import Encoder, public_path
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counted.asked += 1
+            return super().get(*a)
+
+        def __contains__(self, k):
+            Counted.asked += 1
+            return super().__contains__(k)
+
+        def __getitem__(self, k):
+            Counted.asked += 1
+            return super().__getitem__(k)
+    enc = Encoder(public_path(name))
+    texts = ["Plain words, caf\xe9s \xff and caf\xe9s! a-b", "x  y\t z", "", "words words \xa0 日本"]
+    for _ in range(2):
+        assert [x.tolist() for x in enc.batch(texts)] == [enc.whole(t) for t in texts]
+    enc.number, parts = Counted(enc.number), list(enc.number)
+    assert enc.numbers(parts).tolist() == list(range(len(parts)))
+    assert Counted.asked == len(parts)
