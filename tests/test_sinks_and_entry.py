@@ -289,6 +289,19 @@ def test_writes_leave_no_shuffle_files(spark, tmp_dir):
     assert rows(spark.read.schema("id long, dt string").parquet(f"{tmp_dir}/t")) == rows(df)
 
 
+def test_overlapping_settings_restore_the_first_value(spark):
+    from lakestrata.session import session_conf
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    one, two = session_conf(spark, key, "true"), session_conf(spark, key, "true")
+    one.__enter__()
+    two.__enter__()  # of another thread, say
+    one.__exit__(None, None, None)
+    assert spark.conf.get(key) == "true"
+    two.__exit__(None, None, None)
+    assert spark.conf.get(key) == before == "false"
+
+
 def test_rows_of_few_partitions_are_written_in_place(spark, tmp_dir):
     from lakestrata.sinks.files import OPEN_FILES, InPlace, clustered, place
     for days, in_place in ((OPEN_FILES, True), (OPEN_FILES + 1, False)):
