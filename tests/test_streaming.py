@@ -6,9 +6,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from lakestrata import catalog, fixtures
+from lakestrata import catalog, catalog_more as more, fixtures
+from lakestrata.operators.nested import to_listing_message
 from lakestrata.plans import clicks
-from lakestrata.session import scratch_path
+from lakestrata.session import scratch_path, session_conf
 from lakestrata.streaming import jobs
 from lakestrata.sinks.compaction import compact
 from lakestrata.streaming.sinks import read_upserted, upsert_batch
@@ -258,3 +259,27 @@ def test_first_per_key_shuffles_rows_once_and_keeps_the_first(spark, tmp_dir):
     want = data.where("size(why) = 0 AND k <> '3'").groupBy("k").agg(F.min(F.struct("t", "v")).alias("m")).select("k", "m.*")
     assert rows(spark.read.parquet(f"{tmp_dir}/out"), "k", "t", "v") == rows(want)
     assert want.count() == 38
+
+
+def test_message_log_is_dealt_out_once_and_read_by_many_tasks(spark, tmp_dir, monkeypatch):
+    from lakestrata.streaming.sources import read_listing_stream
+    monkeypatch.setattr(fixtures, "LOG_BLOCK", 64 << 10)
+    msgs = to_listing_message(fixtures.listing(spark, SF0001)).coalesce(1)
+    log = fixtures.stage_log(msgs, f"{tmp_dir}/log", F.col("core_data.unit_price") % 2)
+    for part in range(2):
+        read = []
+        src = read_listing_stream(spark, "parquet", f"{log}/part={part}", max_files=1, arrival=True)
+
+        def run(batch, i):
+            read.extend(batch.select("core_data.house_id", "header.trace_id", "arrival_offset").collect())
+        src.writeStream.foreachBatch(run).option("checkpointLocation", f"{tmp_dir}/ck{part}").trigger(availableNow=True).start().awaitTermination()
+        assert sorted(r[:2] for r in read) == rows(msgs.where(F.col("core_data.unit_price") % 2 == part).select(
+            "core_data.house_id", "header.trace_id"))
+        assert len({r.arrival_offset for r in read}) == len(read)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        assert spark.read.schema("value string").parquet(f"{log}/part=0").selectExpr("spark_partition_id() p").distinct().count() > 1
+    finally:
+        spark.conf.set(key, before)
