@@ -209,3 +209,15 @@ def test_validate_makes_no_reasons_for_valid_rows(spark):
     assert sorted(r.reasons for r in rejected.select("reasons").collect()) == [
         ["missing:source", "not_numeric:unit_price"], ["not_integer:room_num"]]
     assert "filter(array" not in valid._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rules_on_typed_columns_read_no_text(spark):
+    typed = spark.createDataFrame(
+        [("s", "h", "u", "c", "d", "q", 1.5, 2, 3.0, 4, 2000), ("s", "h", "u", None, "d", "q", None, 2, 3.0, None, None)],
+        "source string, house_id string, house_url string, city string, district string, community string, total_price double, "
+        "unit_price int, area_sqm double, room_num int, build_year long")
+    tagged = quality.with_reasons(typed)
+    assert [r.reasons for r in tagged.collect()] == [[], ["missing:city", "not_numeric:total_price"]]
+    assert "cast(" not in tagged._jdf.queryExecution().optimizedPlan().toString()
+    text = quality.with_reasons(typed.withColumn("room_num", F.lit("n/a")).withColumn("unit_price", F.lit("x")))
+    assert text.first().reasons == ["not_numeric:unit_price", "not_integer:room_num"]

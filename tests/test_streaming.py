@@ -283,3 +283,13 @@ def test_message_log_is_dealt_out_once_and_read_by_many_tasks(spark, tmp_dir, mo
         assert spark.read.schema("value string").parquet(f"{log}/part=0").selectExpr("spark_partition_id() p").distinct().count() > 1
     finally:
         spark.conf.set(key, before)
+
+
+def test_rejects_are_written_where_they_are_read(spark, tmp_dir):
+    import glob
+    rejects = spark.range(40).selectExpr("cast(id AS string) house_id", "array('missing:city') reasons").repartition(2)
+    rejects.write.parquet(f"{tmp_dir}/src")
+    stream = spark.readStream.schema(rejects.schema).parquet(f"{tmp_dir}/src")
+    more._run(jobs.reject_stream(stream, f"{tmp_dir}/out", f"{tmp_dir}/ck", NOW))
+    assert len(glob.glob(f"{tmp_dir}/out/*/*.parquet")) == 2  # no shuffle
+    assert rows(spark.read.schema(rejects.schema).parquet(f"{tmp_dir}/out").select("house_id")) == rows(rejects.select("house_id"))
