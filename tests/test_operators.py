@@ -221,3 +221,16 @@ def test_rules_on_typed_columns_read_no_text(spark):
     assert "cast(" not in tagged._jdf.queryExecution().optimizedPlan().toString()
     text = quality.with_reasons(typed.withColumn("room_num", F.lit("n/a")).withColumn("unit_price", F.lit("x")))
     assert text.first().reasons == ["not_numeric:unit_price", "not_integer:room_num"]
+
+
+def test_packed_texts_come_back_as_they_were(spark):
+    from lakestrata.operators.texts import pack_texts, text_columns, unpack_texts
+    given = [(1, "k", "a", None, ""), (2, "k", None, None, None), (3, "k", "", "", ""), (4, "k", "x\x01y", "b", "c"),
+             (5, "k", "\x02", "b", None), (6, "k", "早\n", "\\x01", " ")]
+    df = spark.createDataFrame(given, "id int, key string, a string, b string, c string")
+    texts = text_columns(df, ["key"])
+    packed = pack_texts(df, texts)
+    assert texts == ["a", "b", "c"] and packed.where("__texts IS NOT NULL AND coalesce(a, b, c) IS NULL").count() == 4
+    assert rows(unpack_texts(packed, texts).select(*df.columns)) == given
+    raw = df.selectExpr("id", "cast(X'FF41' AS string) a", "b")  # no valid text
+    assert unpack_texts(pack_texts(raw, ["a", "b"]), ["a", "b"]).where("cast(a AS binary) = X'FF41'").count() == len(given)

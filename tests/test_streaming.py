@@ -293,3 +293,20 @@ def test_rejects_are_written_where_they_are_read(spark, tmp_dir):
     more._run(jobs.reject_stream(stream, f"{tmp_dir}/out", f"{tmp_dir}/ck", NOW))
     assert len(glob.glob(f"{tmp_dir}/out/*/*.parquet")) == 2  # no shuffle
     assert rows(spark.read.schema(rejects.schema).parquet(f"{tmp_dir}/out").select("house_id")) == rows(rejects.select("house_id"))
+
+
+def test_keys_of_a_first_per_key_stream_lie_on_disk(spark, tmp_dir):
+    import glob
+    from lakestrata.streaming.sinks import KEYED_CONF, append_stream, first_per_key_stream
+    key = "spark.sql.streaming.stateStore.providerClass"
+    with session_conf(spark, key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"):
+        before = {k: spark.conf.get(k, None) for k in KEYED_CONF}
+        rows_ = "id string, t long, a string, b string"
+        spark.createDataFrame([("x", 2, "\x01", None), ("x", 1, "a", ""), ("y", 1, None, "b")], rows_).write.parquet(f"{tmp_dir}/src")
+        spark.createDataFrame([("y",)], "id string").write.parquet(f"{tmp_dir}/seen")
+        first = first_per_key_stream(spark.readStream.schema(rows_).parquet(f"{tmp_dir}/src"), "id", ["t"],
+                                     spark.readStream.schema("id string").parquet(f"{tmp_dir}/seen"))
+        more._run(append_stream(first, f"{tmp_dir}/out", f"{tmp_dir}/ck", trigger=NOW, sorts=True))
+        assert {k: spark.conf.get(k, None) for k in KEYED_CONF} == before
+    assert rows(spark.read.schema(rows_).parquet(f"{tmp_dir}/out").select("id", "t", "a", "b")) == [("x", 1, "a", "")]
+    assert glob.glob(f"{tmp_dir}/ck/state/0/*/*.zip") and not glob.glob(f"{tmp_dir}/ck/state/0/*/*.delta")
